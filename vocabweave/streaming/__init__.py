@@ -1,0 +1 @@
+"""Left empty on purpose: every input of this engine is a batch table."""
