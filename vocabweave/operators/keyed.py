@@ -45,9 +45,10 @@ def salted_join(
     """
     keys = list(on)
     hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys, min_rows))
+    hashable = [name for name, kind in left.dtypes if "map<" not in kind]
     dealt = left.join(hot, keys, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")).otherwise(0),
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(SALTS)).cast("int")).otherwise(0),
     )
     repeated = right.join(hot, keys, "left").withColumn(
         "_salt",
@@ -66,36 +67,61 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return df.withColumn("_first", F.row_number().over(window)).where("_first = 1").drop("_first")
 
 
-def dense_number(df: DataFrame, order: str, ties: Sequence[str], name: str) -> DataFrame:
-    """Number all rows 1..n by (``order``, ``ties``) without moving them into one task.
+def _sliced(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows range-partitioned by ``order`` and written, with the stable number of their slice."""
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(slices, *order)).withColumn("_slice", F.spark_partition_id())
 
-    ``order`` is numeric. Rows are split at percentiles of it; each slice is numbered on its
-    own and shifted by the rows before it. The driver sees one number per slice boundary.
+
+def dense_number(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Number all rows 1..n by ``order``, a total order, without moving them into one task.
+
+    Each range slice is numbered on its own and shifted by the rows before it; only the
+    slice sizes, one row per slice, pass through a single task and the broadcast.
     """
-    spark = df.sparkSession
-    slices = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = cut_lineage(df)
-    steps = [i / slices for i in range(1, slices)]
-    cuts = rows.agg(F.percentile_approx(order, F.array(*map(F.lit, steps)), F.lit(10_000))).first()[0]
-    bounds = sorted(set(cuts or []))
-    bucket = F.lit(0)
-    for bound in bounds:
-        bucket = bucket + (F.col(order) > F.lit(bound)).cast("int")
-    sliced = rows.withColumn("_slice", bucket)
-    # one row per slice: at most `slices` rows go through this window and the broadcast
+    rows = _sliced(df, order)
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shift = (
-        sliced.groupBy("_slice")
+        rows.groupBy("_slice")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     )
-    local = F.row_number().over(Window.partitionBy("_slice").orderBy(order, *ties))
+    local = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
     return (
-        sliced.withColumn("_local", local)
+        rows.withColumn("_local", local)
         .join(F.broadcast(shift), "_slice")
-        .withColumn(name, (F.col("_shift") + F.col("_local")).cast("bigint"))
+        .withColumn(name, F.col("_shift") + F.col("_local"))
+        .drop("_slice", "_local", "_shift")
+    )
+
+
+def number_within(
+    df: DataFrame, key: str, order: Sequence[str], name: str, min_rows: int = MIN_HOT_ROWS
+) -> DataFrame:
+    """Number the rows of each key 1..n by ``order``; a hot key is numbered slice by slice."""
+    plain = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint")
+    hot = hot_keys(df, [key], min_rows)
+    if hot.isEmpty():
+        return df.withColumn(name, plain)
+    hot = F.broadcast(hot.drop("_hot"))
+    cold = df.join(hot, key, "left_anti").withColumn(name, plain)
+
+    rows = _sliced(df.join(hot, key, "left_semi"), [key, *order])
+    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # a hot key spans neighbouring slices, so this has at most (slices + hot keys) rows
+    shift = (
+        rows.groupBy(key, "_slice")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(key, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    )
+    local = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order))
+    numbered = (
+        rows.withColumn("_local", local)
+        .join(F.broadcast(shift), [key, "_slice"])
+        .withColumn(name, F.col("_shift") + F.col("_local"))
         .drop("_slice", "_local", "_shift")
     )
+    return cold.unionByName(numbered)
 
 
 def list_cells(
