@@ -35,16 +35,20 @@ def salted_join(
     how: str = "inner",
     hot_from: DataFrame | None = None,
     min_rows: int = MIN_HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join where ``left`` may hold a third of its rows under one key.
 
     Rows of a hot key on the left are dealt over SALTS tasks and only that key's rows on
     the right are repeated for each of them; all other keys join as usual. ``hot_from`` is
-    a cheaper frame with the same keys to look for hot ones in. ``how`` must keep the left
+    a cheaper frame with the same keys to look for hot ones in, ``hot`` the result of an
+    earlier ``hot_keys``. ``how`` must keep the left
     side's rows apart: inner, left, left_semi or left_anti.
     """
     keys = list(on)
-    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys, min_rows))
+    if hot is None:
+        hot = hot_keys(left if hot_from is None else hot_from, keys, min_rows)
+    hot = F.broadcast(hot)
     hashable = [name for name, kind in left.dtypes if "map<" not in kind]
     dealt = left.join(hot, keys, "left").withColumn(
         "_salt",

@@ -85,7 +85,7 @@ def build_coderels(nodes: DataFrame, concept_list: DataFrame, sab: str) -> DataF
     linked = salted_join(
         concept_list.select("node_id", "cui", "pos"), described, ["node_id"], hot_from=concept_list.select("node_id")
     )
-    terms = F.array_union(
+    terms = F.concat(
         F.array(F.struct(F.lit("PT").alias("tty"), F.col("node_label").alias("term"), F.col("node_definition").alias("def"))),
         F.transform(
             F.filter("node_synonyms", lambda s: s != ""),
