@@ -30,7 +30,7 @@ def read_relation_reference(documents: DataFrame, text: str = "value") -> tuple[
 
 def format_relation(label: Column) -> Column:
     """Lower-case label of letters, digits and underscores that starts with no digit."""
-    text = F.lower(F.translate(label, ".-()[]{}: ", "___________"))
+    text = F.lower(F.translate(label, ".-()[]{}: ", "__________"))
     return F.when(text.rlike(r"^\p{N}"), F.concat(F.lit("rel_"), text)).otherwise(text)
 
 
