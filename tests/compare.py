@@ -71,5 +71,5 @@ if __name__ == "__main__":
         try:
             problem = compare(session, con, query_name, options.folder)
         except Exception as error:  # noqa: BLE001
-            problem = f"{type(error).__name__}: {str(error)[:700]}"
+            problem = f"{type(error).__name__}: {str(error)[:300]}"
         print(f"{query_name:28s} {time.time() - start:6.1f}s {problem or 'ok'}", flush=True)

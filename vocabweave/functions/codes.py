@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -99,9 +100,16 @@ def _plain_form(raw: Column) -> Column:
     return text
 
 
+def pair_literal(pairs: list[tuple[str, str]]) -> Column:
+    """A constant array of (key, value) structs, folded before the query runs."""
+    rows = json.dumps([{"key": key, "value": value} for key, value in pairs])
+    return F.from_json(F.lit(rows), "array<struct<key:string,value:string>>")
+
+
 def prefix_source(raw: Column) -> Column:
     """Source of the last prefix in the map that ``raw`` contains, else null."""
-    return F.coalesce(*[F.when(raw.contains(prefix), F.lit(sab)) for prefix, sab in reversed(PREFIX_SOURCES)])
+    hits = F.filter(pair_literal(PREFIX_SOURCES), lambda pair: F.contains(raw, pair["key"]))
+    return F.try_element_at(hits, F.lit(-1))["value"]
 
 
 def standardize_code(raw: Column, sab: Column | str = "", as_coded: bool = False) -> Column:
@@ -133,14 +141,21 @@ def standardize_code(raw: Column, sab: Column | str = "", as_coded: bool = False
         chosen = chosen.when(condition, value)
     chosen = chosen.otherwise(_plain_form(raw))
 
-    head = F.substring_index(chosen, " ", 1)
-    bare_concept = chosen.startswith("C") & ~chosen.contains("CEDAR")
+    # the lambda names the chosen text, so the long CASE is evaluated once, not per use
+    return F.get(F.transform(F.array(chosen), lambda value: _finish(value, as_coded)), F.lit(0))
+
+
+def _finish(value: Column, as_coded: bool) -> Column:
+    """Text before the first blank is the SAB; blank-free ``C1...`` is a UMLS concept."""
+    head = F.substring_index(value, " ", 1)
+    rest = value.substr(F.length(head) + 2, F.length(value))
+    bare = value.startswith("C") & ~value.contains("CEDAR")
     if not as_coded:
-        bare_concept = bare_concept & chosen.rlike("^C[0-9]")
+        bare = bare & value.rlike("^C[0-9]")
     return (
-        F.when(chosen.contains(" "), F.concat(F.upper(head), F.lit(":"), chosen.substr(F.length(head) + 2, F.length(chosen))))
-        .when(bare_concept, F.concat(F.lit("UMLS:"), chosen))
-        .otherwise(chosen)
+        F.when(value.contains(" "), F.concat(F.upper(head), F.lit(":"), rest))
+        .when(bare, F.concat(F.lit("UMLS:"), value))
+        .otherwise(value)
     )
 
 

@@ -22,10 +22,11 @@ LIST_LIMIT = 10_000
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Keys (null keys left out) that hold too many rows for one task; at most SHARES rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # the same counts feed the total and the filter, so their shuffle is shared
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     hot = counts.where((F.col("_n") >= min_rows) & (F.col("_n") * SHARES > total))
-    return hot.dropna(subset=list(keys)).select(*keys, F.lit(True).alias("_hot"))
+    return hot.select(*keys, F.lit(True).alias("_hot"))
 
 
 def salted_join(
@@ -146,7 +147,7 @@ def list_cells(
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     long_keys = sizes.where(F.col("_n") > limit).select(key, F.lit(True).alias("_long"))
     flagged = salted_join(df, long_keys, [key], "left", min_rows=min_rows)
-    entry = F.struct(*[F.col(c) for c in [*order, value]])
+    entry = F.struct(*dict.fromkeys([*order, value]))
     gathered = (
         flagged.where("_long IS NULL")
         .groupBy(key)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabweave.functions.codes import after_last
+from vocabweave.functions.codes import after_last, pair_literal
 from vocabweave.functions.fixed_values import OBO_PREFIX, RDF_TYPE, RDFS_TYPE, RELATION_LABELS
 from vocabweave.operators.keyed import first_per_key, salted_join
 
@@ -78,8 +78,9 @@ def load_small_map(table: DataFrame, key: str, value: str) -> list[tuple[str, st
 
 def label_of_suffix(label: Column, pairs: Sequence[tuple[str, str]] = RELATION_LABELS) -> Column:
     """Label of the first code in the map that ``label`` ends with, any case; else null."""
+    codes = pair_literal([(code.strip().lower(), name.strip()) for code, name in pairs])
     text = F.lower(F.trim(label))
-    return F.coalesce(*[F.when(text.endswith(code.strip().lower()), F.lit(name.strip())) for code, name in pairs])
+    return F.get(F.filter(codes, lambda pair: F.endswith(text, pair["key"])), F.lit(0))["value"]
 
 
 def relation_names(

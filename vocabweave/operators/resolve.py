@@ -217,8 +217,8 @@ def assign_concepts(
 
     ``mode`` is ``own_code`` (a shared first choice goes to nobody) or ``greedy``.
     """
-    if xrefs is None:
-        xrefs = xref_rows(nodes)
+    # three steps read the spelled-out cross-references; written once, they are spelled once
+    xrefs = cut_lineage(xref_rows(nodes) if xrefs is None else xrefs)
     candidates = cut_lineage(candidate_concepts(nodes, xrefs, coderels))
     choice = ranked_choice(nodes, candidates)
     if mode == "own_code":

@@ -71,7 +71,7 @@ def query(name: str, sql: str | None = None):
     def register(plan: Callable[[Inputs], DataFrame]):
         QUERIES[name] = lambda spark, folder: plan(Inputs(spark, folder))
         if sql is not None:
-            ORACLES[name] = with_views(sql)
+            ORACLES[name] = sql
         return plan
 
     return register

@@ -30,6 +30,13 @@ def source_exists(sources: DataFrame, sab: str) -> bool:
     return not sources.where(F.upper("sab") == sab.upper()).isEmpty()
 
 
+def mark_known_sources(candidates: DataFrame, sources: DataFrame) -> DataFrame:
+    """(sab, known) for several sources at once."""
+    have = sources.select(F.upper("sab").alias("_key")).distinct().withColumn("_known", F.lit(True))
+    joined = candidates.withColumn("_key", F.upper("sab")).join(have, "_key", "left")
+    return joined.select("sab", F.coalesce("_known", F.lit(False)).alias("known"))
+
+
 def new_rel_labels(edges: DataFrame, rel_labels: DataFrame, sab: str) -> DataFrame:
     """Predicates that are no relation label yet."""
     predicates = edges.groupBy("predicate").agg(F.min("ord").alias("ord"))

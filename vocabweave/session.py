@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,3 +44,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="vocabweave-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate tables beside the checkpoints that all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="vocabweave-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
