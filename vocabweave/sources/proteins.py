@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocabweave.functions.text import bracket_ids, first_word, outer_groups, recommended_name
@@ -29,13 +29,15 @@ def symbol_lookup(proteins: DataFrame, symbols: DataFrame) -> DataFrame:
     return salted_join(named, ids, ["symbol"], hot_from=named.select("symbol")).select("subject", "object")
 
 
-def protein_edges(proteins: DataFrame, symbols: DataFrame) -> DataFrame:
-    terms = F.flatten(
-        F.array(*[
-            F.transform(bracket_ids(F.col(f"`{column}`")), lambda term, p=predicate: F.struct(F.lit(p).alias("predicate"), term.alias("object")))
-            for column, predicate in ASPECTS
-        ])
+def _aspect_terms(column: str, predicate: str) -> Column:
+    return F.transform(
+        bracket_ids(F.col(f"`{column}`")), lambda term: F.struct(F.lit(predicate).alias("predicate"), term.alias("object"))
     )
+
+
+def protein_edges(proteins: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Gene products and the annotation terms of the three aspects."""
+    terms = F.flatten(F.array(*[_aspect_terms(column, predicate) for column, predicate in ASPECTS]))
     annotated = proteins.select(_protein_id().alias("subject"), F.explode(terms).alias("t")).select("subject", "t.*")
     products = symbol_lookup(proteins, symbols).select("subject", F.lit("gene_product_of").alias("predicate"), "object")
     return products.unionByName(annotated)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocabweave.functions.codes import after_last, standardize_code, text_id
@@ -48,19 +48,22 @@ def class_table_nodes(classes: DataFrame, sab: str) -> DataFrame:
 TERM_SHEET_BASE = ["term", "code", "definition", "synonyms", "dbxrefs", "ord"]
 
 
+def _listed_terms(column: str, predicate: str) -> Column:
+    """(predicate, term) of each comma-separated term of a cell; none for a blank cell."""
+    filled = F.filter(F.array(f"`{column}`"), lambda cell: cell != "")
+    return F.transform(
+        F.flatten(F.transform(filled, lambda cell: F.split(cell, ","))),
+        lambda term: F.struct(F.lit(predicate).alias("predicate"), term.alias("term")),
+    )
+
+
 def unpivot_relations(sheet: DataFrame) -> DataFrame:
     """(subject, predicate, term): one row per term listed in a relation column.
 
     The first relation column is ``isa`` whatever its header says.
     """
     columns = [c for c in sheet.columns if c not in TERM_SHEET_BASE]
-    cells = [
-        F.transform(
-            F.flatten(F.transform(F.filter(F.array(f"`{c}`"), lambda cell: cell != ""), lambda cell: F.split(cell, ","))),
-            lambda term, name=("isa" if i == 0 else c): F.struct(F.lit(name).alias("predicate"), term.alias("term")),
-        )
-        for i, c in enumerate(columns)
-    ]
+    cells = [_listed_terms(c, "isa" if i == 0 else c) for i, c in enumerate(columns)]
     rows = sheet.select(F.col("code").alias("subject"), F.explode(F.flatten(F.array(*cells))).alias("r"))
     return rows.select("subject", "r.predicate", "r.term")
 
