@@ -85,16 +85,20 @@ SPELLINGS_AFTER_PREFIXES = [
 
 # Pieces rewritten in the plain form, in order.
 PLAIN_PIECES = [("NCIT ", "NCI:"), ("MESH ", "MSH:"), ("NCBITaxon ", "NCBI:")]
-PLAIN_PATTERNS = [(r".*UMLS.*\s", "UMLS:"), (r".*SNOMED.*\s", "SNOMEDCT_US:"), (r"^fma ?", "FMA:")]
+PLAIN_PATTERNS = [("UMLS", r".*UMLS.*\s", "UMLS:"), ("SNOMED", r".*SNOMED.*\s", "SNOMEDCT_US:"), ("fma", r"^fma ?", "FMA:")]
 LATE_PIECES = [("Hugo.owl HGNC ", "HGNC:"), ("gene symbol report?hgnc id=", "HGNC:")]
 
 
 def _plain_form(raw: Column) -> Column:
+    """Last path piece with blanks for delimiters; patterns only run on text that holds their word."""
     text = after_last(F.translate(raw, ":#_", "   "), "/")
     for old, new in PLAIN_PIECES:
         text = F.replace(text, F.lit(old), F.lit(new))
-    for pattern, new in PLAIN_PATTERNS:
-        text = F.regexp_replace(text, pattern, new)
+    rewritten, holds_word = text, F.lit(False)
+    for word, pattern, new in PLAIN_PATTERNS:
+        rewritten = F.regexp_replace(rewritten, pattern, new)
+        holds_word = holds_word | raw.contains(word)
+    text = F.when(holds_word, rewritten).otherwise(text)
     for old, new in LATE_PIECES:
         text = F.replace(text, F.lit(old), F.lit(new))
     return text

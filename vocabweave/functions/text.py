@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -69,15 +70,31 @@ def bracket_ids(cell: Column) -> Column:
     return F.transform(items, lambda item: F.substring_index(F.substring_index(item, "[", -1), "]", 1))
 
 
-def key_values(cell: Column, key: str) -> Column:
-    """Values of ``key`` in a ``key "value"; key "value";`` cell, comma-joined in order.
+def tidy_key_values(cell: Column) -> Column:
+    """Key-value cell with ``; `` before every key."""
+    spaced = F.replace(F.replace(F.ltrim(cell), F.lit(";"), F.lit("; ")), F.lit(";  "), F.lit("; "))
+    even = F.when(spaced.contains(";  "), F.regexp_replace(spaced, r";\s+", "; ")).otherwise(spaced)
+    return F.concat(F.lit("; "), even)
 
-    Null when the key is absent.
+
+def values_of_key(tidy: Column, key: str) -> Column:
+    """Values of ``key`` in a tidy cell, unquoted and comma-joined in order; blank when absent.
+
+    Nearly all keys occur at most once: then the text after the last mark is also the text
+    after the first, and no list is made.
     """
-    pairs = F.transform(F.split(F.replace(cell, F.lit('"'), F.lit("")), ";"), lambda pair: F.trim(pair))
-    hits = F.filter(pairs, lambda pair: F.split_part(pair, F.lit(" "), F.lit(1)) == key)
-    values = F.transform(hits, lambda pair: F.trim(F.split_part(pair, F.lit(" "), F.lit(2))))
-    return F.when(F.size(values) > 0, F.array_join(values, ","))
+    mark = f"; {key} "
+    tail = F.substring_index(tidy, mark, -1)
+
+    def value(text: Column) -> Column:
+        return F.trim(F.replace(F.substring_index(text, ";", 1), F.lit('"'), F.lit("")))
+
+    pieces = F.split(tidy, "; " + re.escape(key) + " ")
+    return (
+        F.when(~tidy.contains(mark), "")
+        .when(F.instr(tidy, mark) + len(mark) + F.length(tail) == F.length(tidy) + 1, value(tail))
+        .otherwise(F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), value), ","))
+    )
 
 
 def parenthesis_groups(text: Column) -> Column:

@@ -1,8 +1,9 @@
 """Joins, numbering and list building that stay balanced when one key is hot.
 
-A key is *hot* when it holds more than 1/``SHARES`` of the rows and at least ``min_rows``
-of them. At most ``SHARES`` keys can be hot, whatever the size of the table, so the table
-of hot keys is safe to broadcast.
+A key is *hot* when it holds at least 1/``SHARES`` of the rows and ``min_rows`` of them.
+At most ``SHARES`` keys can be hot, whatever the size of the table, so the hot keys fit in
+a broadcast. They are looked for with one pre-aggregated count; where there are none, the
+plain Spark plan is used.
 """
 
 from __future__ import annotations
@@ -19,14 +20,24 @@ SALTS = 64
 MIN_HOT_ROWS = 500_000
 LIST_LIMIT = 10_000
 
+LOOK = "look"
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Keys (null keys left out) that hold too many rows for one task; at most SHARES rows."""
-    # the same counts feed the total and the filter, so their shuffle is shared
+
+def key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int, int]:
+    """Rows per key (null keys left out), the number of rows and the size of the largest key."""
     counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.where((F.col("_n") >= min_rows) & (F.col("_n") * SHARES > total))
-    return hot.select(*keys, F.lit(True).alias("_hot"))
+    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
+    return counts, total or 0, largest or 0
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
+    """Keys that hold too many rows for one task: none, or a local table of at most SHARES rows."""
+    counts, total, largest = key_sizes(df, keys)
+    least = max(min_rows, total // SHARES + 1)
+    if largest < least:
+        return None
+    rows = counts.where(F.col("_n") >= least).select(*keys).collect()
+    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema).withColumn("_hot", F.lit(True))
 
 
 def salted_join(
@@ -36,19 +47,21 @@ def salted_join(
     how: str = "inner",
     hot_from: DataFrame | None = None,
     min_rows: int = MIN_HOT_ROWS,
-    hot: DataFrame | None = None,
+    hot: DataFrame | None | str = LOOK,
 ) -> DataFrame:
     """Equi-join where ``left`` may hold a third of its rows under one key.
 
     Rows of a hot key on the left are dealt over SALTS tasks and only that key's rows on
     the right are repeated for each of them; all other keys join as usual. ``hot_from`` is
     a cheaper frame with the same keys to look for hot ones in, ``hot`` the result of an
-    earlier ``hot_keys``. ``how`` must keep the left
-    side's rows apart: inner, left, left_semi or left_anti.
+    earlier ``hot_keys``. ``how`` must keep the left side's rows apart: inner, left,
+    left_semi or left_anti.
     """
     keys = list(on)
-    if hot is None:
+    if isinstance(hot, str):
         hot = hot_keys(left if hot_from is None else hot_from, keys, min_rows)
+    if hot is None:
+        return left.join(right, keys, how)
     hot = F.broadcast(hot)
     hashable = [name for name, kind in left.dtypes if "map<" not in kind]
     dealt = left.join(hot, keys, "left").withColumn(
@@ -106,7 +119,7 @@ def number_within(
     """Number the rows of each key 1..n by ``order``; a hot key is numbered slice by slice."""
     plain = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint")
     hot = hot_keys(df, [key], min_rows)
-    if hot.isEmpty():
+    if hot is None:
         return df.withColumn(name, plain)
     hot = F.broadcast(hot.drop("_hot"))
     cold = df.join(hot, key, "left_anti").withColumn(name, plain)
@@ -144,15 +157,17 @@ def list_cells(
     A key with more than ``limit`` values is never gathered: it keeps one row per value with
     ``whole`` false, so no row grows with the data and no value is lost.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    long_keys = sizes.where(F.col("_n") > limit).select(key, F.lit(True).alias("_long"))
-    flagged = salted_join(df, long_keys, [key], "left", min_rows=min_rows)
-    entry = F.struct(*dict.fromkeys([*order, value]))
-    gathered = (
-        flagged.where("_long IS NULL")
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(entry)).alias("_list"))
-        .select(key, F.array_join(F.transform("_list", lambda e: e[value]), sep).alias(cell), F.lit(True).alias("whole"))
-    )
-    spread = flagged.where("_long").select(key, F.col(value).alias(cell), F.lit(False).alias("whole"))
-    return gathered.unionByName(spread)
+
+    def gathered(rows: DataFrame) -> DataFrame:
+        entry = F.struct(*dict.fromkeys([*order, value]))
+        lists = rows.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_list"))
+        joined = F.array_join(F.transform("_list", lambda e: e[value]), sep)
+        return lists.select(key, joined.alias(cell), F.lit(True).alias("whole"))
+
+    sizes, _, largest = key_sizes(df, [key])
+    if largest <= limit:
+        return gathered(df)
+    long_keys = sizes.where(F.col("_n") > limit).select(key)
+    short = salted_join(df, long_keys, [key], "left_anti", min_rows=min_rows)
+    spread = salted_join(df, long_keys, [key], "left_semi", min_rows=min_rows)
+    return gathered(short).unionByName(spread.select(key, F.col(value).alias(cell), F.lit(False).alias("whole")))

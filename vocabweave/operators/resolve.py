@@ -159,6 +159,7 @@ def resolve_shared_greedy(choice: DataFrame, lists: DataFrame, node_ord: DataFra
     open_offers = cut_lineage(
         salted_join(lists.select("node_id", "pos", "cui"), in_group.join(node_ord, "node_id"), ["node_id"])
     )
+    n_open = open_offers.count()
     while True:
         asked = open_offers.groupBy("node_id").agg(F.min(F.struct("pos", "cui", "grp", "ord")).alias("o")).select(
             "node_id", "o.*"
@@ -166,10 +167,12 @@ def resolve_shared_greedy(choice: DataFrame, lists: DataFrame, node_ord: DataFra
         kept = asked.groupBy("grp", "cui").agg(F.min(F.struct("ord", "node_id")).alias("k")).select(
             F.col("k.node_id").alias("node_id")
         )
-        refused = cut_lineage(asked.join(kept, "node_id", "left_anti").select("node_id", "cui"))
-        if refused.isEmpty():
+        refused = asked.join(kept, "node_id", "left_anti").select("node_id", "cui")
+        left_open = cut_lineage(open_offers.join(refused, ["node_id", "cui"], "left_anti"))
+        n_left = left_open.count()
+        if n_left == n_open:
             break
-        open_offers = cut_lineage(open_offers.join(refused, ["node_id", "cui"], "left_anti"))
+        open_offers, n_open = left_open, n_left
     grouped = in_group.join(asked.select("node_id", "cui"), "node_id", "left").select(
         "node_id", F.coalesce("cui", F.col("node_id")).alias("greedy_cui")
     )

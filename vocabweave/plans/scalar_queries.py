@@ -340,13 +340,11 @@ SELECT l_orderkey, l_partkey, l_linenumber, concat('order_id "', CAST(l_orderkey
 
 @query("kv_collect", """
 SELECT l_orderkey, l_partkey, CAST(l_orderkey AS STRING) AS order_id, concat(l_returnflag, ',', l_linestatus) AS tag,
-  CAST(l_linenumber AS STRING) AS line, CAST(NULL AS STRING) AS absent FROM lineitem
+  CAST(l_linenumber AS STRING) AS line, '' AS absent FROM lineitem
 """)
 def kv_collect(inputs: Inputs) -> DataFrame:
-    cell = F.col("cell")
-    return inputs.view("fx_key_values").select(
-        "l_orderkey", "l_partkey", *[text.key_values(cell, key).alias(key) for key in ("order_id", "tag", "line", "absent")]
-    )
+    rows = inputs.view("fx_key_values").withColumnRenamed("cell", "column_9")
+    return annotations.split_key_values(rows, ["order_id", "tag", "line", "absent"]).drop("l_linenumber")
 
 
 VIEWS["fx_lines"] = """

@@ -445,9 +445,14 @@ VIEWS["ox_links"] = f"""
 SELECT DISTINCT s, p, o FROM fx_triples WHERE p NOT IN ('{RDF_TYPE}', '{OWL_DISJOINT}') AND s IN (SELECT s FROM ox_classes) AND o IN (SELECT s FROM ox_classes)"""
 
 
+def triple_table(inputs: Inputs) -> DataFrame:
+    """The union as a stored table, which is what the jobs read."""
+    return cut_lineage(inputs.view("fx_triples"))
+
+
 @query("triples_metadata", "SELECT *, true AS synonyms_whole, true AS dbxrefs_whole FROM ox_metadata")
 def triples_metadata(inputs: Inputs) -> DataFrame:
-    return triples.class_metadata(inputs.view("fx_triples"))
+    return triples.class_metadata(triple_table(inputs))
 
 
 @query("triples_kept", f"""
@@ -457,7 +462,7 @@ SELECT s AS entity, 'class' AS kind FROM ox_classes
 UNION ALL SELECT s, 'axiom' FROM e GROUP BY s HAVING bool_or(coalesce(is_class, false)) AND NOT bool_or(is_class IS NOT NULL AND NOT is_class)
 """)
 def triples_kept(inputs: Inputs) -> DataFrame:
-    return triples.kept_entities(inputs.view("fx_triples"))
+    return triples.kept_entities(triple_table(inputs))
 
 
 @query("triples_edges", f"""
@@ -465,12 +470,12 @@ SELECT CASE WHEN contains(s, '_') THEN replace(split_part(s, '/', -1), '_', ':')
   CASE p WHEN '{RDFS_SUBCLASS}' THEN 'isa' ELSE 'located_in' END AS predicate, replace(split_part(o, '/', -1), '_', ':') AS object FROM ox_links
 """)
 def triples_edges(inputs: Inputs) -> DataFrame:
-    return triples.triple_edges(inputs.view("fx_triples"), "X", *relation_tables(inputs))
+    return triples.triple_edges(triple_table(inputs), "X", *relation_tables(inputs))
 
 
 @query("nodes_in_edges", "SELECT node_id, label FROM ox_metadata WHERE node_id IN (SELECT s FROM ox_links UNION SELECT o FROM ox_links)")
 def nodes_in_edges(inputs: Inputs) -> DataFrame:
-    table = inputs.view("fx_triples")
+    table = triple_table(inputs)
     return triples.nodes_in_links(triples.class_metadata(table), triples.class_links(table)).select("node_id", "label")
 
 
@@ -480,7 +485,7 @@ SELECT replace(split_part(node_id, '/', -1), '_', ':') AS node_id, CASE label WH
 FROM ox_metadata WHERE node_id IN (SELECT s FROM ox_links UNION SELECT o FROM ox_links)
 """)
 def triples_nodes(inputs: Inputs) -> DataFrame:
-    return triples.triple_nodes(inputs.view("fx_triples"), "X")
+    return triples.triple_nodes(triple_table(inputs), "X")
 
 
 @query("triple_stats", """
@@ -488,7 +493,7 @@ SELECT 'nodes' AS metric, count(*) AS n FROM (SELECT s FROM fx_triples UNION SEL
 UNION ALL SELECT 'triples', count(*) FROM fx_triples UNION ALL SELECT 'predicates', count(DISTINCT p) FROM fx_triples
 """)
 def triple_stats(inputs: Inputs) -> DataFrame:
-    return triples.triple_stats(inputs.view("fx_triples"))
+    return triples.triple_stats(triple_table(inputs))
 
 
 @query("pipe_agg", "SELECT p_brand, string_agg(p_name, '|' ORDER BY p_name) AS names, true AS whole FROM (SELECT DISTINCT p_brand, p_name FROM part) GROUP BY p_brand")

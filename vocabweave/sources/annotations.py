@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from vocabweave.functions.codes import strip_version, version_of
 from vocabweave.functions.fixed_values import GTF_KEYS
-from vocabweave.functions.text import key_values
+from vocabweave.functions.text import tidy_key_values, values_of_key
 from vocabweave.operators.keyed import first_per_key, hot_keys, salted_join
+from vocabweave.session import cut_lineage
 from vocabweave.sources.tables import union_sources
 
 # Columns of the four metadata files, joined on transcript_id.
@@ -35,8 +36,9 @@ def filter_columns(annotations: DataFrame, columns: Sequence[str] = ("all",)) ->
 
 def split_key_values(annotations: DataFrame, keys: Sequence[str] = GTF_KEYS) -> DataFrame:
     """One column per key of the key-value column; blank where a row lacks the key."""
-    values = [F.coalesce(key_values(F.col("column_9"), key), F.lit("")).alias(key) for key in keys]
-    return annotations.select("*", *values).drop("column_9")
+    tidy = annotations.withColumn("column_9", tidy_key_values(F.col("column_9")))
+    values = [values_of_key(F.col("column_9"), key).alias(key) for key in keys]
+    return tidy.select(*[c for c in annotations.columns if c != "column_9"], *values)
 
 
 def enrich(annotations: DataFrame, metadata: dict[str, DataFrame]) -> DataFrame:
@@ -76,10 +78,10 @@ def annotation_edges(enriched: DataFrame, valueset: DataFrame) -> DataFrame:
     (feature, predicate, value) rows.
     """
     def one(subject: Column, predicate: str, obj: Column, keep: Column) -> Column:
-        return F.when(keep, F.struct(subject.alias("subject"), F.lit(predicate).alias("predicate"), obj.alias("object")))
+        return F.struct(subject.alias("subject"), F.lit(predicate).alias("predicate"), F.when(keep, obj).alias("object"))
 
     def exploded(rows: DataFrame, *edges: Column) -> DataFrame:
-        return rows.select(F.explode(F.filter(F.array(*edges), lambda e: e.isNotNull())).alias("e")).select("e.*")
+        return rows.select(F.explode(F.array(*edges)).alias("e")).select("e.*").where("object IS NOT NULL")
 
     filled = lambda name: F.col(name) != ""
     prefixed = lambda sab, name: F.concat(F.lit(sab + ":"), F.col(name))
@@ -111,9 +113,10 @@ def annotation_edges(enriched: DataFrame, valueset: DataFrame) -> DataFrame:
         one(feature, "is_feature_type", F.col("feature_type"), F.lit(True)),
         one(feature, "is_gene_biotype", F.col("gene_type"), filled("gene_type")),
         one(feature, "is_transcript_biotype", F.col("transcript_type"), filled("transcript_type")),
-        one(feature, "has_directional_form_of", strand, strand.isNotNull()),
-    ).distinct()
-    coded = valueset_codes(valued.withColumnRenamed("object", "value"), valueset).select(
+        one(feature, "has_directional_form_of", strand, F.lit(True)),
+    )
+    valued = cut_lineage(valued.withColumnRenamed("object", "value").distinct())
+    coded = valueset_codes(valued, valueset).select(
         "subject", "predicate", F.col("code").alias("object")
     )
     return union_sources([of_transcripts, plain, parents, coded]).distinct()

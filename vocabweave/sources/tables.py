@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from vocabweave.functions.fixed_values import GTF_COLUMNS
 from vocabweave.functions.text import blank_to_int, pipe_split
 from vocabweave.operators.keyed import first_per_key
+from vocabweave.session import shared_folder
 
 EDGE_COLUMNS = ["subject", "predicate", "object"]
 NODE_COLUMNS = ["node_id", "node_label", "node_definition", "node_synonyms", "node_dbxrefs"]
@@ -216,8 +217,15 @@ def split_kinds(objects: DataFrame) -> DataFrame:
 
 
 def graph_from_objects(objects: DataFrame) -> Graph:
-    """Flat tables from graph objects (columns of GRAPH_OBJECT, ``step`` and ``ord``)."""
-    split = split_kinds(objects)
+    """Flat tables from graph objects (columns of GRAPH_OBJECT, ``step`` and ``ord``).
+
+    The objects are parsed once and stored with one partition per kind; each table then
+    reads only its own.
+    """
+    folder = shared_folder(objects.sparkSession, "graph-objects")
+    split_kinds(objects).write.partitionBy("kind").parquet(folder)
+    schema = objects.schema.add("kind", "string")
+    split = objects.sparkSession.read.schema(schema).parquet(folder)
 
     def prop(name: str):
         return F.coalesce(F.col("properties")[name], F.lit("")).alias(name)

@@ -13,6 +13,7 @@ from vocabweave.functions.fixed_values import (
 from vocabweave.functions.text import default_label
 from vocabweave.operators.keyed import LIST_LIMIT, list_cells, salted_join
 from vocabweave.operators.relations import standardize_relations
+from vocabweave.session import cut_lineage
 from vocabweave.sources.tables import union_sources
 
 
@@ -27,9 +28,9 @@ def class_metadata(triples: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
     either has one row per value of it. ``None`` stands for a missing value.
     """
     classes = ontology_classes(triples)
-    described = salted_join(
+    described = cut_lineage(salted_join(
         triples.where(F.col("p").isin(RDFS_LABEL, OBO_DEFINITION, OBO_SYNONYM, OBO_DBXREF)), classes, ["s"], "left_semi"
-    )
+    ))
 
     def smallest(predicate: str, name: str) -> DataFrame:
         return described.where(F.col("p") == predicate).groupBy("s").agg(F.min("o").alias(name))
