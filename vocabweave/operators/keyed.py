@@ -30,10 +30,10 @@ def key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int, int]:
     return counts, total or 0, largest or 0
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
     """Keys that hold too many rows for one task: none, or a local table of at most SHARES rows."""
     counts, total, largest = key_sizes(df, keys)
-    least = max(min_rows, total // SHARES + 1)
+    least = max(MIN_HOT_ROWS if min_rows is None else min_rows, total // SHARES + 1)
     if largest < least:
         return None
     rows = counts.where(F.col("_n") >= least).select(*keys).collect()
@@ -46,7 +46,7 @@ def salted_join(
     on: Sequence[str],
     how: str = "inner",
     hot_from: DataFrame | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    min_rows: int | None = None,
     hot: DataFrame | None | str = LOOK,
 ) -> DataFrame:
     """Equi-join where ``left`` may hold a third of its rows under one key.
@@ -114,7 +114,7 @@ def dense_number(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
 
 
 def number_within(
-    df: DataFrame, key: str, order: Sequence[str], name: str, min_rows: int = MIN_HOT_ROWS
+    df: DataFrame, key: str, order: Sequence[str], name: str, min_rows: int | None = None
 ) -> DataFrame:
     """Number the rows of each key 1..n by ``order``; a hot key is numbered slice by slice."""
     plain = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint")
@@ -150,7 +150,7 @@ def list_cells(
     cell: str,
     sep: str = "|",
     limit: int = LIST_LIMIT,
-    min_rows: int = MIN_HOT_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Joined list of ``value`` per ``key``: columns ``key``, ``cell``, ``whole``.
 
@@ -170,4 +170,4 @@ def list_cells(
     long_keys = sizes.where(F.col("_n") > limit).select(key)
     short = salted_join(df, long_keys, [key], "left_anti", min_rows=min_rows)
     spread = salted_join(df, long_keys, [key], "left_semi", min_rows=min_rows)
-    return gathered(short).unionByName(spread.select(key, F.col(value).alias(cell), F.lit(False).alias("whole")))
+    return gathered(short).unionByName(spread.select(key, F.col(value).cast("string").alias(cell), F.lit(False).alias("whole")))

@@ -265,15 +265,17 @@ def sample_graph(graph: Graph, max_nodes: int = 0, max_rels: int = 0) -> Graph:
     """First ``max_nodes`` objects of all node tables and ``max_rels`` of both link tables; 0 is all."""
 
     def first_rows(names: list[str], limit: int) -> dict[str, DataFrame]:
-        if not limit:
-            return {name: getattr(graph, name) for name in names}
-        keys = [getattr(graph, n).select(F.lit(i).alias("section"), "step", "ord") for i, n in enumerate(names)]
-        cut = union_sources(keys).orderBy("section", "step", "ord").limit(limit)
-        last = cut.agg(F.max(F.struct("section", "step", "ord")).alias("last"))
-        return {
-            n: getattr(graph, n).where(F.struct(F.lit(i).alias("section"), "step", "ord") <= last.scalar())
-            for i, n in enumerate(names)
-        }
+        rows = {}
+        for name in names:
+            table = getattr(graph, name)
+            size = table.count() if limit else 0
+            if limit and size > limit - sum(taken for _, taken in rows.values()):
+                left = limit - sum(taken for _, taken in rows.values())
+                ties = [c for c, kind in table.dtypes if c not in ("step", "ord") and "map<" not in kind]
+                rows[name] = table.orderBy("step", "ord", *ties).limit(left), left
+            else:
+                rows[name] = table, size
+        return {name: table for name, (table, _) in rows.items()}
 
     return replace(graph, **first_rows(list(NODE_KINDS.values()), max_nodes), **first_rows(["rels", "coderels"], max_rels))
 
