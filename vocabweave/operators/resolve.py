@@ -18,27 +18,32 @@ DIRECT, VIA_UMLS, VIA_OTHER, OWN, MINTED, ASSIGNED = 1, 2, 3, 4, 5, 6
 CHOICE = ["rank", "xref_ord", "step", "ord", "pos"]
 
 
+def edge_ends(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("subject").alias("node_id")).union(edges.select("object")).distinct()
+
+
 def missing_nodes(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edge endpoints that the node table does not define."""
-    ends = edges.select(F.col("subject").alias("node_id")).union(edges.select("object"))
-    return ends.distinct().join(nodes.select("node_id").distinct(), "node_id", "left_anti")
+    return edge_ends(edges).join(nodes.select("node_id").distinct(), "node_id", "left_anti")
 
 
 def complete_nodes(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """First row per node id, plus a row labelled with its id for every missing node."""
-    defined = first_per_key(nodes, ["node_id"], ["ord"])
-    last = F.lit(2**62)
-    added = missing_nodes(edges, nodes).select(
+    """First row per node id, plus a row labelled with its id for every missing node.
+
+    A row for every endpoint goes behind all node rows, so one "first per id" both drops
+    repeated nodes and keeps the endpoint rows of missing ones only.
+    """
+    blank = F.lit("")
+    ends = edge_ends(edges).select(
         "node_id",
         F.col("node_id").alias("node_label"),
-        F.lit("").alias("node_definition"),
-        F.array(F.lit("")).alias("node_synonyms"),
-        F.array(F.lit("")).alias("node_dbxrefs"),
-        last.alias("ord"),
-    )
-    whole = defined.unionByName(added, allowMissingColumns=True)
-    blanks = [c for c, kind in whole.dtypes if kind == "string"]
-    return whole.na.fill("", blanks)
+        blank.alias("node_definition"),
+        F.array(blank).alias("node_synonyms"),
+        F.array(blank).alias("node_dbxrefs"),
+        F.lit(2**62).alias("ord"),
+    )
+    whole = first_per_key(nodes.unionByName(ends, allowMissingColumns=True), ["node_id"], ["ord"])
+    return whole.na.fill("", [c for c, kind in whole.dtypes if kind == "string" and c != "node_id"])
 
 
 def xref_rows(nodes: DataFrame) -> DataFrame:

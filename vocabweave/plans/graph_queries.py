@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocabweave.functions.codes import standardize_dbxref
-from vocabweave.functions.text import pipe_split
+from vocabweave.functions.text import pipe_split, standardize_synonyms
 from vocabweave.operators import graph_queries as ask
 from vocabweave.operators import resolve
 from vocabweave.operators.keyed import dense_number, first_per_key, list_cells
@@ -14,6 +14,7 @@ from vocabweave.plans import ingest
 from vocabweave.plans.catalog import VIEWS, Inputs, query
 from vocabweave.session import cut_lineage, shared_folder
 from vocabweave.sources import tables
+from vocabweave.sources.field_vocabulary import padded_id
 from vocabweave.sources.tables import Graph
 
 
@@ -52,7 +53,7 @@ def source_nodes(inputs: Inputs) -> DataFrame:
 
 def source_xrefs(inputs: Inputs) -> DataFrame:
     spelled = standardize_dbxref(F.col("dbxref")).alias("xref")
-    return cut_lineage(inputs.view("fx_xrefs").select("node_id", "xref_ord", spelled))
+    return inputs.view("fx_xrefs").select("node_id", "xref_ord", spelled)
 
 
 def source_row(inputs: Inputs, sab: str) -> DataFrame:
@@ -67,8 +68,9 @@ def whole_nodes(inputs: Inputs) -> DataFrame:
 
 
 def choice(inputs: Inputs) -> DataFrame:
-    nodes = whole_nodes(inputs)
-    return resolve.ranked_choice(nodes, resolve.candidate_concepts(nodes, source_xrefs(inputs), base_coderels(inputs)))
+    nodes = cut_lineage(whole_nodes(inputs).select("node_id"))
+    candidates = cut_lineage(resolve.candidate_concepts(nodes, cut_lineage(source_xrefs(inputs)), base_coderels(inputs)))
+    return resolve.ranked_choice(nodes, candidates)
 
 
 def ingested(inputs: Inputs) -> ingest.Ingest:
@@ -91,7 +93,7 @@ def missing_nodes(inputs: Inputs) -> DataFrame:
 
 @query("xref_transitive", "SELECT node_id, rnk AS rank, xref_ord, cui FROM ox_candidates WHERE rnk IN (2, 3)")
 def xref_transitive(inputs: Inputs) -> DataFrame:
-    return resolve.transitive_concepts(source_xrefs(inputs), base_coderels(inputs)).select("node_id", "rank", "xref_ord", "cui")
+    return resolve.transitive_concepts(cut_lineage(source_xrefs(inputs)), base_coderels(inputs)).select("node_id", "rank", "xref_ord", "cui")
 
 
 @query("node_existing_cui", "SELECT node_id, cui FROM ox_candidates WHERE rnk = 4")
@@ -190,8 +192,6 @@ UNION ALL SELECT DISTINCT syn, 1 FROM (SELECT unnest(string_split(node_synonyms,
 WHERE syn <> '' AND syn NOT IN (SELECT node_label FROM ox_nodes) AND syn NOT IN (SELECT id FROM fx_terms)
 """)
 def new_terms(inputs: Inputs) -> DataFrame:
-    from vocabweave.functions.text import standardize_synonyms
-
     nodes = whole_nodes(inputs).withColumn("node_synonyms", standardize_synonyms(F.col("node_synonyms")))
     return ingest.new_terms(nodes, inputs.view("fx_terms")).select("id", F.col("kind").cast("bigint").alias("kind"))
 
@@ -309,8 +309,6 @@ SELECT o_custkey, concat('CUST:', CASE WHEN 1000 + row_number() OVER (ORDER BY f
   CAST(1000 + row_number() OVER (ORDER BY first_ord, o_custkey) AS STRING)) AS node_id FROM f
 """)
 def sequence_ids(inputs: Inputs) -> DataFrame:
-    from vocabweave.sources.field_vocabulary import padded_id
-
     firsts = inputs.table("orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_ord"))
     numbered = dense_number(firsts, ["first_ord", "o_custkey"], "n")
     return numbered.select("o_custkey", padded_id(F.col("n") + 1000, "CUST").alias("node_id"))
