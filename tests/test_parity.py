@@ -30,8 +30,7 @@ SALTED = [
 
 @pytest.mark.parametrize("name", SALTED)
 def test_same_rows_when_all_keys_are_hot(spark, connection, monkeypatch, name):
-    monkeypatch.setattr(keyed, "MIN_HOT_ROWS", 1)
+    monkeypatch.setattr(keyed, "MIN_HOT_ROWS", 2)
     monkeypatch.setattr(keyed, "SHARES", 10**9)
-    monkeypatch.setattr(keyed, "SALTS", 4)
     assert name in ORACLES
     assert compare(spark, connection, name, FOLDER) == ""

@@ -1,9 +1,9 @@
 """Joins, numbering and list building that stay balanced when one key is hot.
 
-A key is *hot* when it holds at least 1/``SHARES`` of the rows and ``min_rows`` of them.
-At most ``SHARES`` keys can be hot, whatever the size of the table, so the hot keys fit in
-a broadcast. They are looked for with one pre-aggregated count; where there are none, the
-plain Spark plan is used.
+A key is *hot* when it holds more rows than a task's fair share (all rows over the number
+of shuffle partitions, ``SHARES`` at least) and ``min_rows`` of them. There can be no more
+hot keys than shares, whatever the size of the table, so they fit in a broadcast. They are
+looked for with one pre-aggregated count; where there are none, the plain Spark plan is used.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from vocabweave.session import cut_lineage
 
 SHARES = 2000
-SALTS = 64
 MIN_HOT_ROWS = 500_000
 LIST_LIMIT = 10_000
 
@@ -31,13 +30,18 @@ def key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int, int]:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
-    """Keys that hold too many rows for one task: none, or a local table of at most SHARES rows."""
+    """None, or a local table of the keys that hold too many rows for one task.
+
+    ``_salts`` is the number of tasks that give each of them a fair share.
+    """
     counts, total, largest = key_sizes(df, keys)
-    least = max(MIN_HOT_ROWS if min_rows is None else min_rows, total // SHARES + 1)
-    if largest < least:
+    shares = max(SHARES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    fair = max(MIN_HOT_ROWS if min_rows is None else min_rows, total // shares + 1)
+    if largest < fair:
         return None
-    rows = counts.where(F.col("_n") >= least).select(*keys).collect()
-    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema).withColumn("_hot", F.lit(True))
+    salts = F.ceil(F.col("_n") / fair).cast("int").alias("_salts")
+    hot = counts.where(F.col("_n") >= fair).select(*keys, salts)
+    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
 def salted_join(
@@ -51,11 +55,11 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join where ``left`` may hold a third of its rows under one key.
 
-    Rows of a hot key on the left are dealt over SALTS tasks and only that key's rows on
-    the right are repeated for each of them; all other keys join as usual. ``hot_from`` is
-    a cheaper frame with the same keys to look for hot ones in, ``hot`` the result of an
-    earlier ``hot_keys``. ``how`` must keep the left side's rows apart: inner, left,
-    left_semi or left_anti.
+    Rows of a hot key on the left are dealt over as many tasks as they need and only that
+    key's rows on the right are repeated for each of them; all other keys join as usual.
+    ``hot_from`` is a cheaper frame with the same keys to look for hot ones in, ``hot`` the
+    result of an earlier ``hot_keys``. ``how`` must keep the left side's rows apart: inner,
+    left, left_semi or left_anti.
     """
     keys = list(on)
     if isinstance(hot, str):
@@ -63,16 +67,11 @@ def salted_join(
     if hot is None:
         return left.join(right, keys, how)
     hot = F.broadcast(hot)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
     hashable = [name for name, kind in left.dtypes if "map<" not in kind]
-    dealt = left.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(SALTS)).cast("int")).otherwise(0),
-    )
-    repeated = right.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))),
-    )
-    return dealt.drop("_hot").join(repeated.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
+    dealt = left.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*hashable), salts).cast("int"))
+    repeated = right.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return dealt.drop("_salts").join(repeated.drop("_salts"), [*keys, "_salt"], how).drop("_salt")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -121,7 +120,7 @@ def number_within(
     hot = hot_keys(df, [key], min_rows)
     if hot is None:
         return df.withColumn(name, plain)
-    hot = F.broadcast(hot.drop("_hot"))
+    hot = F.broadcast(hot.drop("_salts"))
     cold = df.join(hot, key, "left_anti").withColumn(name, plain)
 
     rows = _sliced(df.join(hot, key, "left_semi"), [key, *order])
