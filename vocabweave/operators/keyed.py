@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vocabweave.session import cut_lineage
+from vocabweave.session import checkpointed
 
 SHARES = 2000
 MIN_HOT_ROWS = 500_000
@@ -87,7 +87,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 def _sliced(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Rows range-partitioned by ``order`` and written, with the stable number of their slice."""
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(df.repartitionByRange(slices, *order)).withColumn("_slice", F.spark_partition_id())
+    return checkpointed(df.repartitionByRange(slices, *order)).withColumn("_slice", F.spark_partition_id())
 
 
 def dense_number(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:

@@ -28,29 +28,35 @@ def local_session(cores: str = "*", app: str = "vocabweave", **conf) -> SparkSes
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and return a frame that reads it.
+    """Write ``df`` as a table in the shared folder and return a frame that reads it.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``, so a lost
-    executor costs a re-read, not the whole history. Only a local session that names
-    none gets a folder of its own.
+    A lost executor then costs a re-read, not the whole history; readers take only the
+    columns they need, and the planner knows the size.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    path = shared_folder(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` as a reliable checkpoint, which also keeps its partitions as they are."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="vocabweave-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(_shared_base(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for intermediate tables beside the checkpoints that all executors share."""
+def _shared_base(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``; only a local session may go without."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="vocabweave-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate tables beside the checkpoints that all executors share."""
+    return f"{_shared_base(spark)}/{name}-{uuid.uuid4().hex}"
