@@ -305,8 +305,7 @@ def cui_rewrite(inputs: Inputs) -> DataFrame:
 
 @query("sequence_ids", """
 WITH f AS (SELECT o_custkey, min(o_orderkey) AS first_ord FROM orders GROUP BY o_custkey)
-SELECT o_custkey, concat('CUST:', CASE WHEN 1000 + row_number() OVER (ORDER BY first_ord, o_custkey) < 1000 THEN '' ELSE '' END,
-  CAST(1000 + row_number() OVER (ORDER BY first_ord, o_custkey) AS STRING)) AS node_id FROM f
+SELECT o_custkey, concat('CUST:', CAST(1000 + row_number() OVER (ORDER BY first_ord, o_custkey) AS STRING)) AS node_id FROM f
 """)
 def sequence_ids(inputs: Inputs) -> DataFrame:
     firsts = inputs.table("orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_ord"))
