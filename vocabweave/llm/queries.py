@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vocabweave.llm import decontamination
+from vocabweave.llm import bpe, decontamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,8 @@ def register(name: str, sql: str | None = None):
 @register("op4_decontamination")
 def op4(table):
     return decontamination.digest(decontamination.passages(table("documents"), table("benchmark")))
+
+
+@register("op7_byte_bpe")
+def op7(table):
+    return bpe.digest(bpe.encode(table("documents")))
