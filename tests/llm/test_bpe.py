@@ -34,9 +34,13 @@ ODD = [
 
 @pytest.mark.parametrize("block_chars, part_bytes", [(1 << 20, 1 << 20), (50, 500)])
 def test_odd_texts(spark, documents, block_chars, part_bytes):
-    found = bpe.digest(bpe.encode(documents(ODD), block_chars=block_chars, part_bytes=part_bytes))
-    assert rows(found) == sorted((brute(*r) for r in ODD), key=str)
+    sizes = {"block_chars": block_chars, "part_bytes": part_bytes}
+    expected = sorted((brute(*r) for r in ODD), key=str)
+    assert rows(bpe.digest(documents(ODD), **sizes)) == expected
+    decoded = bpe.decode(bpe.encode(documents(ODD), **sizes)).collect()
+    found = [(r.doc_id, len(r.ids) // 4, *(hashlib.sha256(x).hexdigest() for x in (r.ids, r.decoded))) for r in decoded]
+    assert sorted(found, key=str) == expected
 
 
 def test_empty_table(spark, documents):
-    assert rows(bpe.digest(bpe.encode(documents([])))) == []
+    assert rows(bpe.digest(documents([]))) == []

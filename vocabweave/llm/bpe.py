@@ -1,10 +1,11 @@
 """Byte-level BPE over a corpus: every distinct word is encoded once.
 
 1. Texts are split into pre-tokens. A block of texts keeps its distinct words and, per text, the
-   sequence of word numbers (its words by position). Both go to a table in the shared folder.
+   sequence of word numbers (its words by position).
 2. The words are dealt by their hash over all blocks; each part encodes a distinct word once and
    sends the ids back to the blocks that asked. A block asks for a word once, so a word that fills
-   a third of all texts is as cheap as any other.
+   a third of all texts is as cheap as any other. The word numbers of a block travel along, so
+   that both come from one run over the texts, whichever executors are lost on the way.
 3. Per block, ids are joined to the positions and texts are put together; decoding looks ids up in
    the table of token bytes, whose size is that of the vocabulary.
 
@@ -15,6 +16,7 @@ other columns of the table are ignored. Texts of any length are encoded whole.
 from __future__ import annotations
 
 import base64
+import hashlib
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,15 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocabweave.llm.blocks import ragged
-from vocabweave.session import cut_lineage
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 BLOCK_CHARS = 8 << 20
 PART_BYTES = 4 << 20
 
-ENCODED = "doc_id bigint, ids binary"
-
 
 @lru_cache(maxsize=2)
 def ranks(path: str) -> dict[bytes, int]:
@@ -86,88 +85,130 @@ def unpack_words(blob: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
-SPLIT = pa.schema([("block", pa.string()), ("part", pa.int32()), ("doc_id", pa.int64()), ("payload", pa.binary())])
+ROWS = "part int, block string, kind string, doc_ids array<bigint>, payload binary"
+SPLIT = pa.schema([("part", pa.int32()), ("block", pa.string()), ("kind", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
 def _splitter(parts: int, block_chars: int):
-    """Rows of a block: one per text (``part`` is -1) and one per part that has words of the block."""
+    """Rows of a block: its texts as word numbers, and its words in one row per part that has any."""
     split = regex.compile(PATTERN)
 
-    def emit(block: str, ids: list, texts: list[np.ndarray], words: dict[str, int]) -> pa.RecordBatch:
+    def emit(ids: list, texts: list[np.ndarray], words: dict[str, int]) -> pa.RecordBatch:
         # numbers by falling count, so that they compress well
-        codes = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+        codes = np.concatenate(texts)
         order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
         rank = np.empty(len(words), np.uint32)
         rank[order] = np.arange(len(words))
         spelled = [w.encode() for w in words]
         owner = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in spelled], np.int64)
-        rows = [(block, -1, doc, pack(rank[codes])) for doc, codes in zip(ids, texts, strict=True)]
+        payload = joined(len(words).to_bytes(4, "little"), pack(np.array([len(t) for t in texts])), pack(rank[codes]))
+        # a task that runs again gives its blocks the same names
+        digest = xxhash.xxh3_64_intdigest(payload)
+        block = f"{TaskContext.get().partitionId()}-{digest:x}"
+        rows = [(digest % parts, block, "texts", ids, payload)]
         by_part = np.argsort(owner, kind="stable")
         cuts = np.searchsorted(owner[by_part], np.arange(parts + 1))
         for part in np.flatnonzero(np.diff(cuts)).tolist():
             own = by_part[cuts[part] : cuts[part + 1]]
-            numbers = pack(rank[own])
-            rows.append((block, part, len(own), len(numbers).to_bytes(4, "little") + numbers + pack_words([spelled[i] for i in own.tolist()])))
+            rows.append((part, block, "words", [], joined(pack(rank[own]), pack_words([spelled[i] for i in own.tolist()]))))
         return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), SPLIT.types, strict=True)], schema=SPLIT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, blocks = TaskContext.get().partitionId(), 0
         ids, texts, words, chars = [], [], {}, 0
         for batch in batches:
             for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
                 text = text.as_py() or ""
-                codes = [words.setdefault(w, len(words)) for w in split.findall(text)]
                 ids.append(doc.as_py())
-                texts.append(np.array(codes, np.uint32))
+                texts.append(np.array([words.setdefault(w, len(words)) for w in split.findall(text)], np.uint32))
                 chars += len(text)
                 if chars >= block_chars:
-                    yield emit(f"{task}-{blocks}", ids, texts, words)
-                    ids, texts, words, chars, blocks = [], [], {}, 0, blocks + 1
+                    yield emit(ids, texts, words)
+                    ids, texts, words, chars = [], [], {}, 0
         if ids:
-            yield emit(f"{task}-{blocks}", ids, texts, words)
+            yield emit(ids, texts, words)
 
     return run
 
 
+def joined(*blobs: bytes) -> bytes:
+    return b"".join([len(blobs).to_bytes(4, "little"), *(len(b).to_bytes(4, "little") for b in blobs), *blobs])
+
+
+def parted(payload: bytes) -> list[bytes]:
+    n = int.from_bytes(payload[:4], "little")
+    ends = np.cumsum([4 + 4 * n, *np.frombuffer(payload, "<u4", n, 4).tolist()]).tolist()
+    return [payload[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def _encoder(path: str):
+    """Encodes the words of a part; texts pass through unchanged."""
+
     def encode(rows: pd.DataFrame) -> pd.DataFrame:
         known, spell = {}, encoding(path)._encode_single_piece
         out = []
-        for block, payload in zip(rows["block"], rows["payload"], strict=True):
-            size = int.from_bytes(payload[:4], "little")
-            ids = []
-            for word in unpack_words(payload[4 + size :]):
-                own = known.get(word)
-                if own is None:
-                    own = known[word] = spell(word)
-                ids.append(own)
-            lengths = pack(np.array([len(x) for x in ids], np.uint32))
-            flat = pack(np.array([x for own in ids for x in own], np.uint32))
-            head = b"".join(len(x).to_bytes(4, "little") for x in (payload[4 : 4 + size], lengths, flat))
-            out.append((block, head + payload[4 : 4 + size] + lengths + flat))
-        return pd.DataFrame(out, columns=["block", "payload"])
+        for kind, payload in zip(rows["kind"], rows["payload"], strict=True):
+            if kind == "words":
+                numbers, words = parted(payload)
+                ids = []
+                for word in unpack_words(words):
+                    own = known.get(word)
+                    if own is None:
+                        own = known[word] = np.array(spell(word), np.uint32).tobytes()
+                    ids.append(own)
+                payload = joined(numbers, pack(np.array([len(x) // 4 for x in ids], np.uint32)), pack(np.frombuffer(b"".join(ids), np.uint32)))
+            out.append(payload)
+        return rows.assign(payload=out)
 
     return encode
 
 
-def _assemble(key, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    numbers, lengths, flat = [], [], []
-    for payload in answers["payload"]:
-        sizes = [int.from_bytes(payload[i : i + 4], "little") for i in (0, 4, 8)]
-        ends = np.cumsum([12, *sizes]).tolist()
-        for to, a, b in zip((numbers, lengths, flat), ends[:-1], ends[1:], strict=True):
-            to.append(unpack(payload[a:b]).astype(np.int64))
-    if numbers:
+def _assembler(path: str, finish: str):
+    """Puts the texts of a block together from the ids of its words."""
+
+    def assemble(rows: pd.DataFrame) -> pd.DataFrame:
+        numbers, lengths, flat = ([np.zeros(0, np.int64)] for _ in range(3))
+        for payload in rows.loc[rows["kind"] == "words", "payload"]:
+            for to, blob in zip((numbers, lengths, flat), parted(payload), strict=True):
+                to.append(unpack(blob).astype(np.int64))
         numbers, lengths, flat = map(np.concatenate, (numbers, lengths, flat))
         starts = np.cumsum(lengths) - lengths
-        at = np.empty(len(numbers), np.int64)
-        at[numbers] = np.arange(len(numbers))
-        starts, lengths, flat = starts[at], lengths[at], flat.astype("<u4")
-    ids = []
-    for payload in texts["payload"]:
-        codes = unpack(payload)
-        ids.append(flat[ragged(starts[codes], lengths[codes])].tobytes() if len(codes) else b"")
-    return pd.DataFrame({"doc_id": texts["doc_id"].astype("Int64"), "ids": ids})
+        numbers, first = np.unique(numbers, return_index=True)  # equal blocks of a task have one name
+        starts, lengths = starts[first], lengths[first]
+        flat = flat.astype("<u4")
+        out = []
+        for doc_ids, payload in rows.loc[rows["kind"] == "texts", ["doc_ids", "payload"]].itertuples(index=False):
+            asked, sizes, codes = parted(payload)
+            if len(numbers) != int.from_bytes(asked, "little"):
+                raise ValueError("the rows of the texts changed between two runs of a task")
+            sizes, codes = unpack(sizes), unpack(codes)
+            ends = np.cumsum(sizes, dtype=np.int64)
+            for doc, a, b in zip(doc_ids, ends - sizes, ends, strict=True):
+                ids = flat[ragged(starts[codes[a:b]], lengths[codes[a:b]])]
+                doc = None if doc is None or doc != doc else int(doc)
+                out.append((doc, ids.tobytes()) if finish == "ids" else (doc, *_digests(ids, path)))
+        frame = pd.DataFrame(out, columns=["doc_id", "ids"] if finish == "ids" else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        return frame.astype({"doc_id": "Int64"})
+
+    return assemble
+
+
+def _decoded(ids: np.ndarray, path: str) -> bytes:
+    table = token_bytes(path)
+    return b"".join([table[i] for i in ids.tolist()])
+
+
+def _digests(ids: np.ndarray, path: str) -> tuple[int, str, str]:
+    return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(_decoded(ids, path)).hexdigest()
+
+
+def _assembled(documents, doc_id, text, vocabulary, block_chars, part_bytes, finish, schema) -> DataFrame:
+    rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # texts hold about a quarter of their size in words that are new in their block
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, math.ceil(size / 4 / part_bytes))
+    split = rows.mapInArrow(_splitter(parts, block_chars), ROWS).repartition(parts, "part")
+    answered = split.groupBy("part").applyInPandas(_encoder(vocabulary), ROWS)
+    return answered.groupBy("block").applyInPandas(_assembler(vocabulary, finish), schema)
 
 
 def encode(
@@ -175,25 +216,16 @@ def encode(
     block_chars: int = BLOCK_CHARS, part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit) of every text."""
-    rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    # texts hold about a quarter of their size in words that are new in their block
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(size / 4 / part_bytes))
-    split = cut_lineage(rows.mapInArrow(_splitter(parts, block_chars), "block string, part int, doc_id bigint, payload binary"))
-    asked = split.where("part >= 0").select("part", "block", "payload").repartition(parts, "part")
-    answers = asked.groupBy("part").applyInPandas(_encoder(vocabulary), "block string, payload binary")
-    texts = split.where("part = -1").select("block", "doc_id", "payload")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_assemble, ENCODED)
+    return _assembled(documents, doc_id, text, vocabulary, block_chars, part_bytes, "ids", "doc_id bigint, ids binary")
 
 
 def _decoder(path: str):
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [b"".join([table[i] for i in np.frombuffer(x.as_buffer(), "<u4").tolist()]) if x.is_valid else None for x in batch.column("ids")]
+            texts = [_decoded(np.frombuffer(x.as_buffer(), "<u4"), path) if x.is_valid else None for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])
 
-    return decode
+    return run
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -201,9 +233,13 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(_decoder(vocabulary), "doc_id bigint, ids binary, decoded binary")
 
 
-def digest(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Number of tokens and digests of the ids and of the decoded bytes, per row."""
-    return decode(encoded, vocabulary).select(
-        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+def digest(
+    documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
+    block_chars: int = BLOCK_CHARS, part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """Number of tokens and digests of the ids and of the bytes they decode to, of every text.
+
+    Ids are decoded where they are put together, so neither they nor the bytes leave the task.
+    """
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return _assembled(documents, doc_id, text, vocabulary, block_chars, part_bytes, "digest", schema)
