@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vocabweave.llm import bpe, decontamination
+from vocabweave.llm import bpe, decontamination, toxicity
+from vocabweave.llm.blocks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +35,18 @@ def op4(table):
 @register("op7_byte_bpe")
 def op7(table):
     return bpe.digest(table("documents"))
+
+
+def toxicity_model(documents, labels):
+    """Learned from the labelled documents outside the held-out fold."""
+    shown = documents.where(fold("doc_id", 3) != 1).select("doc_id", "text")
+    return toxicity.fit(shown.join(labels.select("doc_id", "toxic"), "doc_id"))
+
+
+@register("op2_toxicity")
+def op2(table):
+    documents = table("documents").select("doc_id", "text")
+    scored = toxicity.score(documents, toxicity_model(documents, table("labels")))
+    return scored.select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
