@@ -37,7 +37,7 @@ from vocabweave.llm.blocks import ragged
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 12 << 20
 PART_BYTES = 4 << 20
 
 
@@ -64,7 +64,7 @@ def token_bytes(path: str) -> list[bytes | None]:
 def pack(values: np.ndarray) -> bytes:
     """Small numbers, compressed byte plane by byte plane."""
     planes = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=9).compress(planes.tobytes())
 
 
 def unpack(blob: bytes) -> np.ndarray:
@@ -74,7 +74,7 @@ def unpack(blob: bytes) -> np.ndarray:
 
 def pack_words(words: list[bytes]) -> bytes:
     lengths = np.array([len(w) for w in words], "<u4").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(len(words).to_bytes(4, "little") + lengths + b"".join(words))
+    return zstandard.ZstdCompressor(level=9).compress(len(words).to_bytes(4, "little") + lengths + b"".join(words))
 
 
 def unpack_words(blob: bytes) -> list[bytes]:
@@ -106,11 +106,11 @@ def _splitter(parts: int, block_chars: int):
         digest = xxhash.xxh3_64_intdigest(payload)
         block = f"{TaskContext.get().partitionId()}-{digest:x}"
         rows = [(digest % parts, block, "texts", ids, payload)]
-        by_part = np.argsort(owner, kind="stable")
+        by_part = np.lexsort((rank, owner))
         cuts = np.searchsorted(owner[by_part], np.arange(parts + 1))
         for part in np.flatnonzero(np.diff(cuts)).tolist():
             own = by_part[cuts[part] : cuts[part + 1]]
-            rows.append((part, block, "words", [], joined(pack(rank[own]), pack_words([spelled[i] for i in own.tolist()]))))
+            rows.append((part, block, "words", [], joined(pack(np.diff(rank[own], prepend=np.uint32(0))), pack_words([spelled[i] for i in own.tolist()]))))
         return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), SPLIT.types, strict=True)], schema=SPLIT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,8 +168,9 @@ def _assembler(path: str, finish: str):
     def assemble(rows: pd.DataFrame) -> pd.DataFrame:
         numbers, lengths, flat = ([np.zeros(0, np.int64)] for _ in range(3))
         for payload in rows.loc[rows["kind"] == "words", "payload"]:
-            for to, blob in zip((numbers, lengths, flat), parted(payload), strict=True):
-                to.append(unpack(blob).astype(np.int64))
+            steps, *ids = (unpack(blob).astype(np.int64) for blob in parted(payload))
+            for to, values in zip((numbers, lengths, flat), (np.cumsum(steps), *ids), strict=True):
+                to.append(values)
         numbers, lengths, flat = map(np.concatenate, (numbers, lengths, flat))
         starts = np.cumsum(lengths) - lengths
         numbers, first = np.unique(numbers, return_index=True)  # equal blocks of a task have one name
