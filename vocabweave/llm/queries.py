@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.llm import bpe, decontamination, toxicity
+from vocabweave.llm import bpe, decontamination, licences, toxicity, url_filters
 from vocabweave.llm.blocks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,13 @@ def op2(table):
     return scored.select(
         "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
     )
+
+
+@register("op9_licence_scan", licences.oracle())
+def op9(table):
+    return licences.matches(table("documents"))
+
+
+@register("op8_url_filter", url_filters.oracle())
+def op8(table):
+    return url_filters.judge(table("pages"))
