@@ -24,10 +24,15 @@ def test_held_out_accuracy(spark):
     assert sum(f[1] for f in fine) <= 0.01 * len(fine)
 
 
+def fitted(spark, texts):
+    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id bigint, text string, toxic int")
+    return toxicity.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic", F.lit("x").alias("text")))
+
+
 @pytest.fixture(scope="module")
 def model(spark):
-    rows = [("good morning to all of you " + "plain " * (i % 7), 0) for i in range(60)] + [("you rotten skunk and " + "plain " * (i % 5), 1) for i in range(20)]
-    return toxicity.fit(spark.createDataFrame([*rows, (None, 0), ("no label", None)], "text string, toxic int"))
+    texts = [("good morning to all of you " + "plain " * (i % 7), 0) for i in range(60)] + [("you rotten skunk and " + "plain " * (i % 5), 1) for i in range(20)]
+    return fitted(spark, [*texts, (None, 0), ("no label", None)])
 
 
 def test_odd_texts(documents, model):
@@ -42,12 +47,11 @@ def test_odd_texts(documents, model):
 
 
 def test_one_class_or_none(spark, documents):
-    none = spark.createDataFrame([], "text string, toxic int")
-    for rows, expected in ((none, 0.0), (none.union(spark.createDataFrame([("a", 1)], none.schema)), 1.0)):
-        assert toxicity.score(documents([(1, "a")]), toxicity.fit(rows), to="toxicity").first().toxicity == expected
-    assert toxicity.score(documents([]), toxicity.fit(none), to="toxicity").count() == 0
+    for texts, expected in (([], 0.0), ([("a", 1)], 1.0)):
+        assert toxicity.score(documents([(1, "a")]), fitted(spark, texts), to="toxicity").first().toxicity == expected
+    assert toxicity.score(documents([]), fitted(spark, []), to="toxicity").count() == 0
 
 
 def test_few_examples(spark, documents):
-    rows = spark.createDataFrame([("a b c", 0), ("d e f", 1), ("g", 0)], "text string, toxic int").withColumn("score", F.lit(1))
-    assert toxicity.score(documents([(1, "d e f")]), toxicity.fit(rows), to="toxicity").count() == 1
+    model = fitted(spark, [("a b c", 0), ("d e f", 1), ("g", 0)])
+    assert toxicity.score(documents([(1, "d e f")]), model, to="toxicity").count() == 1

@@ -8,8 +8,8 @@ the toxic one, which is followed by the ordinary text as well, so that only toxi
 A text is judged by how many of its windows reach each distance, with weights and a prior that
 are calibrated on labelled texts; 0.7 and more is toxic.
 
-``fit`` uses at most ``TOXIC_SAMPLE`` and ``ORDINARY_SAMPLE`` labelled texts, chosen by a hash of
-the text, and all labels for the prior. ``score`` reads every whole text; each distinct word of a
+``fit`` uses at most ``TOXIC_SAMPLE`` and ``ORDINARY_SAMPLE`` labelled rows, chosen by a hash of
+their key, and all labels for the prior. ``score`` reads every whole text; each distinct word of a
 task is compressed once. Null and empty texts have no windows and get the score of that. Rows
 without a label are no examples. If a class has no example, every text gets the share of toxic
 labels. Repeated rows get repeated results.
@@ -158,16 +158,20 @@ def _calibrated(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return weights
 
 
-def fit(labelled: DataFrame, *, text: str = "text", label: str = "toxic") -> Model:
-    rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(label).cast("int").alias("label")).where("label IN (0, 1)")
-    totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+def fit(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
+    """Learned from ``documents`` and their ``labels``, which share the column ``key``."""
+    ids = documents.select(F.col(key).alias("key")).where("key IS NOT NULL").distinct()
+    known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("label IN (0, 1)").join(ids, "key")
+    totals = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(totals) < 2:
         return Model(constant=float(totals.get(1, 0) > 0))
-    texts, labels = [], []
-    for value, most in ((1, TOXIC_SAMPLE), (0, ORDINARY_SAMPLE)):
-        chosen = rows.where(F.col("label") == value).orderBy(F.xxhash64("text"), "text").limit(most).collect()
-        texts += [r.text for r in chosen]
-        labels += [value] * len(chosen)
+    # the sample is chosen by ids alone, then its texts are looked up
+    order = F.xxhash64(F.col("key").cast("string"))
+    picked = [known.where(F.col("label") == value).orderBy(order, "key").limit(most) for value, most in ((1, TOXIC_SAMPLE), (0, ORDINARY_SAMPLE))]
+    texts_of = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    chosen = texts_of.join(F.broadcast(picked[0].union(picked[1])), "key").collect()  # at most the two samples
+    chosen.sort(key=lambda r: (-r.label, r.text or ""))
+    texts, labels = [r.text for r in chosen], [r.label for r in chosen]
     y = np.array(labels)
     shared: dict[bytes, bytes] = {}
     counted = [Counter(shared.setdefault(w, w) for w in words(t)) for t in texts]
