@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.llm import bpe, decontamination, licences, neighbours, toxicity, url_filters
+from vocabweave.llm import bpe, decontamination, jaccard, licences, neighbours, toxicity, url_filters
 from vocabweave.llm.blocks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op8(table):
 @register("op3_nearest_neighbours")
 def op3(table):
     return neighbours.nearest(table("embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op1_ngram_jaccard_join")
+def op1(table):
+    return jaccard.join(table("documents"))
