@@ -108,7 +108,7 @@ def _wide(blob: np.ndarray) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _dealer(size: int, parts: int):
+def _dealer(size: int, parts: int, heavy_from: int):
     """Blocks of texts as packed rows: shingles by part, and the block's nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,8 +130,8 @@ def _dealer(size: int, parts: int):
         first = np.flatnonzero(np.diff(token[order], prepend=-1))
         counts = np.diff(np.append(first, len(order)))
         heavy = np.zeros(len(token), bool)
-        heavy[order] = np.repeat(counts >= HEAVY, counts)
-        heavy_tokens = token[order[first[counts >= HEAVY]]]
+        heavy[order] = np.repeat(counts >= heavy_from, counts)
+        heavy_tokens = token[order[first[counts >= heavy_from]]]
         block = f"{TaskContext.get().partitionId()}-{xxhash.xxh3_64_hexdigest(nodes.tobytes())}"
         light = np.flatnonzero(~heavy)
         light = light[np.argsort(part[light], kind="stable")]
@@ -277,21 +277,24 @@ def classes(nodes: DataFrame, stars: int = STARS) -> DataFrame:
     return components(rest if links is None else links.union(rest))
 
 
-def shared_sets(documents: DataFrame, size: int = SIZE, part_shingles: int = PART_SHINGLES) -> DataFrame:
+def shared_sets(documents: DataFrame, size: int = SIZE, part_shingles: int = PART_SHINGLES, heavy_from: int = HEAVY) -> DataFrame:
     """Distinct sets (node, n, tokens, spread) that may be linked, of (text) rows."""
     length = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(length / 6 / part_shingles))
-    dealt = documents.select("text").mapInArrow(_dealer(size, parts), PACKED).repartition(parts, "part")
+    dealt = documents.select("text").mapInArrow(_dealer(size, parts, heavy_from), PACKED).repartition(parts, "part")
     counted = dealt.groupBy("part").applyInPandas(_count, PACKED)
     found = counted.groupBy("block").applyInPandas(_gather, "node bigint, n bigint, tokens array<bigint>, spread array<int>")
     return found.dropDuplicates(["node"])
 
 
-def join(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, part_shingles: int = PART_SHINGLES, stars: int = STARS) -> DataFrame:
+def join(
+    documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, part_shingles: int = PART_SHINGLES,
+    heavy_from: int = HEAVY, stars: int = STARS,
+) -> DataFrame:
     """Per row of ``documents``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id of its class."""
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     members = cut_lineage(rows.mapInArrow(_namer(size), "doc_id bigint, node bigint, n bigint"))
-    linked = classes(cut_lineage(shared_sets(rows, size, part_shingles)), stars)
+    linked = classes(cut_lineage(shared_sets(rows, size, part_shingles, heavy_from)), stars)
     placed = members.join(linked, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root"))
     named = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return placed.join(named, "root", "left").select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.llm import bpe, decontamination, jaccard, licences, neighbours, toxicity, url_filters
+from vocabweave.llm import bpe, decontamination, jaccard, licences, neighbours, repeats, toxicity, url_filters
 from vocabweave.llm.blocks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op3(table):
 @register("op1_ngram_jaccard_join")
 def op1(table):
     return jaccard.join(table("documents"))
+
+
+@register("op10_repeated_passages")
+def op10(table):
+    return repeats.digest(table("documents"))
