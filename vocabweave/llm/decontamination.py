@@ -16,7 +16,7 @@ that are repeated give repeated results. Other columns of either table are ignor
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +30,6 @@ WINDOW = 13
 SHINGLE = 5
 ITEM_BLOCK_BYTES = 16 << 20
 
-FOUND = "doc_id bigint, text string, n_words bigint, n_hit bigint, starts array<bigint>, ends array<bigint>, items array<string>"
-_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
-    ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string())),
-])
-
 
 class Windows:
     """The distinct windows of a block of items, and the shingles to look for."""
@@ -167,27 +161,31 @@ def _finder(shared):
         for d, k in pairs.T.tolist():
             old[d].append(windows.ids[k])
         lists = lambda values: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, pa.int64()))
-        return pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), batch.column("text").cast(pa.string()), pa.array(np.diff(bounds)), pa.array(np.diff(n_hit)),
-            lists(run_start - base), lists(run_end - base), pa.array([sorted(set(x)) for x in old], pa.list_(pa.string())),
-        ], schema=_ARROW)
+        found = {
+            "n_words": pa.array(np.diff(bounds)), "n_hit": pa.array(np.diff(n_hit)), "starts": lists(run_start - base),
+            "ends": lists(run_end - base), "items": pa.array([sorted(set(x)) for x in old], pa.list_(pa.string())),
+        }
+        names = batch.schema.names
+        return pa.RecordBatch.from_arrays([found.get(name, batch.column(name)) for name in names], names=names)
 
     return find
 
 
 def passages(
     documents: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = ITEM_BLOCK_BYTES,
+    item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = ITEM_BLOCK_BYTES, carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per document: ``n_words``, ``n_hit``, the hit runs of words (``starts``, ``ends``) and the ``items``.
 
-    Item ids are compared as text. The result also carries ``text``.
+    Item ids are compared as text. The result also holds ``text`` and the columns named in
+    ``carry``, these as the fields of a struct ``carried``.
     """
     spark = documents.sparkSession
     empty = lambda kind: F.array().cast(f"array<{kind}>")
     state = documents.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.lit(0).cast("bigint").alias("n_words"),
         F.lit(0).cast("bigint").alias("n_hit"), empty("bigint").alias("starts"), empty("bigint").alias("ends"), empty("string").alias("items"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
     )
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("words")).where("item IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("words") + F.lit(16))).first()[0] or 0
@@ -202,7 +200,7 @@ def passages(
             windows.keep_prefixes(counts)
         if block:
             state = cut_lineage(state)
-        state = state.mapInArrow(_finder(spark.sparkContext.broadcast(windows)), FOUND)
+        state = state.mapInArrow(_finder(spark.sparkContext.broadcast(windows)), state.schema)
     return state
 
 

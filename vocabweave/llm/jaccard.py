@@ -35,6 +35,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from vocabweave.llm.blocks import LOWER, SPACED, Hashes, ragged, shingles, text_blocks, words
 from vocabweave.llm.links import components
@@ -49,6 +50,9 @@ HEAVY = 16
 
 _LOW = np.uint64((1 << 40) - 1)
 LAST = (1 << 31) - 1
+#: Keys that a broadcast may hold, 16 bytes each.
+FEW = 1_000_000
+NODE = "_set_of_shingles"
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -287,14 +291,53 @@ def shared_sets(documents: DataFrame, size: int = SIZE, part_shingles: int = PAR
     return found.dropDuplicates(["node"])
 
 
-def join(
+def groups(
     documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, part_shingles: int = PART_SHINGLES,
     heavy_from: int = HEAVY, stars: int = STARS,
 ) -> DataFrame:
-    """Per row of ``documents``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id of its class."""
+    """Per row of ``documents``: ``doc_id``, ``node`` (its set), ``n_shingles`` and ``root`` (its class); an empty set has neither."""
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     members = cut_lineage(rows.mapInArrow(_namer(size), "doc_id bigint, node bigint, n bigint"))
     linked = classes(cut_lineage(shared_sets(rows, size, part_shingles, heavy_from)), stars)
-    placed = members.join(linked, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root"))
+    return members.join(linked, "node", "left").select("doc_id", "node", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root"))
+
+
+def join(documents: DataFrame, **settings) -> DataFrame:
+    """Per row of ``documents``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id of its class.
+
+    Settings are those of ``groups``.
+    """
+    placed = groups(documents, **settings)
     named = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return placed.join(named, "root", "left").select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _marker(text: str, size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [_name(own) for _, _, data, offsets in text_blocks(batch.column(text)) for own in sets_of(data, offsets, size)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=[*batch.schema.names, NODE])
+
+    return run
+
+
+def one_of_each(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, few: int = FEW, **settings) -> DataFrame:
+    """``documents`` with one row of each class: that of the smallest id. Rows with an empty set all stay.
+
+    Rows that go are looked up by id and set; up to ``few`` of these keys are broadcast, more are joined by a shuffle.
+    """
+    rows = groups(documents, doc_id=doc_id, text=text, size=size, **settings).where("node IS NOT NULL")
+    pairs = cut_lineage(rows.groupBy("doc_id", "node").agg(F.min("root").alias("root"), F.count(F.lit(1)).alias("times")))
+    best = pairs.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node", "times")).alias("best"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("node") == F.col("best.node"))
+    keys = [F.col("doc_id").alias("_id"), F.col("node").alias("_node")]
+    gone = cut_lineage(pairs.join(best, "root").where(~stays).select(*keys))
+    again = cut_lineage(best.where("best.times > 1").select("best.doc_id", "best.node").select(*keys))
+
+    named = documents.mapInArrow(_marker(text, size), StructType([*documents.schema.fields, StructField(NODE, LongType())]))
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_id")) & (F.col(NODE) == F.col("_node"))
+    left = named.join(F.broadcast(gone) if gone.count() <= few else gone, same, "left_anti")
+    if not again.isEmpty():
+        repeated = left.join(again, same, "left_semi").dropDuplicates([doc_id, NODE])
+        left = left.join(again, same, "left_anti").union(repeated)
+    return left.drop(NODE)
