@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.llm import bpe, decontamination, jaccard, licences, neighbours, repeats, toxicity, url_filters
+from vocabweave.llm import bpe, decontamination, jaccard, language, licences, neighbours, repeats, toxicity, url_filters
 from vocabweave.llm.blocks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,11 @@ def op1(table):
 @register("op10_repeated_passages")
 def op10(table):
     return repeats.digest(table("documents"))
+
+
+@register("op6_language_id")
+def op6(table):
+    documents = table("documents")
+    model = language.fit(documents.where(fold("doc_id", 3) != 1))
+    found = language.predict(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
