@@ -63,13 +63,16 @@ def test_texts_keep_their_columns(documents):
     assert repeats.without_repeats(documents([])).count() == 0
 
 
-def test_collection_order_by_hand():
+def test_equal_windows_by_hand():
     made = np.random.default_rng(2)
-    strings = [bytes(made.integers(97, 100, int(made.integers(0, 30))).astype(np.uint8)) for _ in range(40)] + [b"abc", b"abc"]
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    ends = np.cumsum([len(s) for s in strings])
-    owner, offset, shared = suffixes.collection_order(data, ends - [len(s) for s in strings], ends)
-    expected = sorted(((s[k:], t, k) for t, s in enumerate(strings) for k in range(len(s) + 1)), key=lambda x: (x[0], x[1]))
-    assert [(t, k) for _, t, k in expected] == list(zip(owner.tolist(), offset.tolist(), strict=True))
-    lcp = [0] + [next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for (a, *_), (b, *_) in zip(expected, expected[1:])]
-    assert lcp == shared.tolist()
+    strings = [bytes(made.integers(97, 99, int(made.integers(1, 30))).astype(np.uint8)) for _ in range(60)] + [b"abcab", b"abcab"]
+    shift = np.array([int(made.integers(0, len(s))) for s in strings[:-2]] + [1, 1])
+    data, sizes = np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings])
+    found = {}
+    for string, offset, group in zip(*suffixes.equal_windows(data, np.cumsum(sizes) - sizes, sizes, shift, 4), strict=True):
+        found.setdefault(group, set()).add((int(string), int(offset)))
+    expected = {}
+    for i, s in enumerate(strings):
+        for k in range(len(s) - 3):
+            expected.setdefault((k - shift[i], s[k : k + 4]), set()).add((i, k))
+    assert sorted(map(sorted, found.values())) == sorted(sorted(e) for e in expected.values() if len(e) > 1)

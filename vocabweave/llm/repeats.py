@@ -7,8 +7,9 @@
    before is a repeat as a whole; an anchor with a single segment has no other repeats.
 3. Where segments with one anchor differ, their bytes meet: the Burrows-Wheeler transform and common
    prefixes of this collection are built column by column (``suffixes``), and suffixes that share
-   100 bytes are one string, of which only the first is kept. Rounds are as many as a segment is
-   long, not as a text is.
+   100 bytes are one string, of which only the first is kept. Equal windows have their anchor at
+   the same place, so columns are counted from it and a round sorts one suffix per segment.
+   Rounds are as many as a segment is long, not as a text is.
 4. An anchor with more than ``Sizes.crowd`` different segments (the border of a passage that very many
    texts hold) sends its windows as hashes instead, which meet one by one.
 
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocabweave.llm.blocks import Hashes, mix, ragged, text_blocks
-from vocabweave.llm.suffixes import collection_order
+from vocabweave.llm.suffixes import equal_windows
 
 LENGTH = 100
 GRAM = 24
@@ -51,7 +52,7 @@ class Sizes:
     block_bytes: int = 4 << 20
     piece_bytes: int = 8 << 20
     part_segments: int = 400_000
-    collection_bytes: int = 128 << 10
+    collection_bytes: int = 2 << 20
     #: Different segments of an anchor that are still compared by their bytes.
     crowd: int = 2000
 
@@ -90,9 +91,9 @@ def _rows(rows: list[tuple]) -> pa.Table:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, piece_bytes: int = SIZES.piece_bytes) -> tuple[np.ndarray, ...]:
-    """(start, number of windows, hash of the anchor, hash of the bytes) of all segments of a block."""
+    """(start, number of windows, hash of the anchor, hash of the bytes, place of the anchor) of all segments of a block."""
     parts = [_piece(data, offsets, at, piece_bytes) for at in range(0, max(len(data) - LENGTH + 1, 0), piece_bytes)]
-    return tuple(map(np.concatenate, zip(*parts, strict=True))) if parts else tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.uint64, np.uint64))
+    return tuple(map(np.concatenate, zip(*parts, strict=True))) if parts else tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.uint64, np.uint64, np.int64))
 
 
 def _piece(data, offsets, at, piece_bytes):
@@ -120,7 +121,7 @@ def _piece(data, offsets, at, piece_bytes):
     first = np.flatnonzero(np.concatenate([[True], (np.diff(window) != 1) | (np.diff(place) != 0)])) if len(window) else window
     count = np.diff(np.append(first, len(window)))
     start = window[first]
-    return start + at, count, value[place[first]], hashes.of(start, start + count + LENGTH - 1)
+    return start + at, count, value[place[first]], hashes.of(start, start + count + LENGTH - 1), place[first] - start
 
 
 def _first(order: np.ndarray, keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +143,7 @@ def _dealer(parts: int, id_column: str, text_column: str, sizes: Sizes):
 
     def emit(rows: pa.Table, data: np.ndarray, offsets: np.ndarray) -> pa.Table:
         ids = rows.column(id_column).cast(pa.int64()).fill_null(NULL_ID).to_numpy()
-        start, count, anchor, content = segments(data, offsets, sizes.piece_bytes)
+        start, count, anchor, content, shift = segments(data, offsets, sizes.piece_bytes)
         row = np.searchsorted(offsets, start, "right") - 1
         doc, start = ids[row], start - offsets[row]
         order = np.lexsort((start, doc, content, anchor))
@@ -162,7 +163,7 @@ def _dealer(parts: int, id_column: str, text_column: str, sizes: Sizes):
             own = order[cuts[p] : cuts[p + 1]]
             out.append((p, block, "segments", _columns(
                 row=np.diff(row[own], prepend=0).astype(np.int32), doc=np.diff(doc[own], prepend=0), start=start[own].astype(np.uint32),
-                count=count[own].astype(np.uint16), low=anchor[own].astype(np.uint32), content=content[own],
+                count=count[own].astype(np.uint16), low=anchor[own].astype(np.uint32), content=content[own], shift=shift[own].astype(np.uint8),
             )))
         return _rows(out)
 
@@ -194,7 +195,7 @@ def _meeter(crowd: int):
         for (part, block, _), a, b in zip(asked, lengths[:-1], lengths[1:], strict=True):
             open_ = a + np.flatnonzero(state[a:b])
             kept.append((part, block, "segments", _columns(
-                row=joined["row"][open_].astype(np.uint32), start=start[open_], count=joined["count"][open_], low=anchor[open_], state=state[open_],
+                row=joined["row"][open_].astype(np.uint32), start=start[open_], count=joined["count"][open_], low=anchor[open_], state=state[open_], shift=joined["shift"][open_],
             )))
         return _rows(kept)
 
@@ -241,7 +242,7 @@ def _opener(parts: int, id_column: str, text_column: str, finish):
         rows, spans = _unpress(rows[0]), [p for k, p in zip(kind, payload, strict=True) if k == "again"][:1]
         ids = rows.column(id_column).cast(pa.int64()).fill_null(NULL_ID).to_numpy()
         open_ = [(p, _arrays(x)) for p, k, x in zip(part, kind, payload, strict=True) if k == "segments"]
-        a = {n: np.concatenate([np.zeros(0, np.int64), *(x[n].astype(np.int64) for _, x in open_)]) for n in ("row", "start", "count", "low", "state")}
+        a = {n: np.concatenate([np.zeros(0, np.int64), *(x[n].astype(np.int64) for _, x in open_)]) for n in ("row", "start", "count", "low", "state", "shift")}
         own_part = np.concatenate([np.zeros(0, np.int64), *(np.full(len(x["row"]), p) for p, x in open_)])
         again = a["state"] == 1
         spans.append(_columns(row=a["row"][again], start=a["start"][again], size=a["count"][again] + LENGTH - 1))
@@ -274,7 +275,7 @@ def _opener(parts: int, id_column: str, text_column: str, finish):
                 strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(i), [None, pa.py_buffer(np.cumsum([0, *size]).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(piece))])
                 out.append((p, block[0], "bytes", _press(pa.table({
                     "row": pa.array(number[a["row"][i]].astype(np.uint32)), "doc": pa.array(ids[a["row"][i]]), "start": pa.array(a["start"][i]),
-                    "low": pa.array(a["low"][i].astype(np.uint32)), "bytes": strings,
+                    "low": pa.array(a["low"][i].astype(np.uint32)), "shift": pa.array(a["shift"][i].astype(np.uint8)), "bytes": strings,
                 }))))
             i = np.flatnonzero(a["state"] == 3)
             if len(i):
@@ -314,9 +315,9 @@ def _resolver(collection_bytes: int):
             kept += _answers(windows, own, repeat, np.full(len(repeat), LENGTH))
         if strings:
             tables = [_unpress(p) for *_, p in strings]
-            own = [{n: t.column(n).to_numpy() for n in ("row", "start", "doc", "low")} for t in tables]
+            own = [{n: t.column(n).to_numpy() for n in ("row", "start", "doc", "low", "shift")} for t in tables]
             parts = [t.column("bytes").chunk(0) for t in tables]
-            doc, start, low = (np.concatenate([o[n] for o in own]).astype(np.int64) for n in ("doc", "start", "low"))
+            doc, start, low, shift = (np.concatenate([o[n] for o in own]).astype(np.int64) for n in ("doc", "start", "low", "shift"))
             sizes = np.concatenate([np.diff(np.frombuffer(p.buffers()[1], np.int64)[p.offset : p.offset + len(p) + 1]) for p in parts])
             data = np.concatenate([np.frombuffer(p.buffers()[2], np.uint8)[: int(np.frombuffer(p.buffers()[1], np.int64)[len(p)])] for p in parts])
             begin = np.cumsum(sizes) - sizes
@@ -333,7 +334,7 @@ def _resolver(collection_bytes: int):
             for a, b in zip(cut, [*cut[1:], len(order)], strict=True):
                 some = order[a:b]
                 if len(some):
-                    string, offset = _repeated(data, begin[some], sizes[some], doc[some], start[some])
+                    string, offset = _repeated(data, begin[some], sizes[some], shift[some], doc[some], start[some])
                     found_string.append(some[string])
                     found_offset.append(offset)
             string, offset = np.concatenate(found_string), np.concatenate(found_offset)
@@ -357,19 +358,14 @@ def _answers(rows, own, repeat, size):
     return out
 
 
-def _repeated(data, begin, sizes, doc, start) -> tuple[np.ndarray, np.ndarray]:
+def _repeated(data, begin, sizes, shift, doc, start) -> tuple[np.ndarray, np.ndarray]:
     """(string, offset) of the windows of a collection that start earlier in it."""
-    owner, offset, shared = collection_order(data, begin, begin + sizes)
-    group = np.cumsum(shared < LENGTH)
-    many = np.zeros(len(group) + 1, bool)
-    many[:-1] = shared >= LENGTH
-    in_group = many[:-1] | many[1:]
-    owner, offset, group = owner[in_group].astype(np.int64), offset[in_group].astype(np.int64), group[in_group]
-    where = start[owner] + offset
-    order = np.lexsort((where, doc[owner], group))
-    _, first = _first(order, [group], doc[owner], where)
+    string, offset, group = equal_windows(data, begin, sizes, shift, LENGTH)
+    where = start[string] + offset
+    order = np.lexsort((where, doc[string], group))
+    _, first = _first(order, [group], doc[string], where)
     again = order[~first]
-    return owner[again], offset[again]
+    return string[again], offset[again]
 
 
 def _closer(text_column: str, finish):

@@ -1,64 +1,47 @@
-"""Burrows-Wheeler transform of a collection of short strings, built column by column."""
+"""Positional Burrows-Wheeler transform of a collection of short strings, built column by column."""
 
 from __future__ import annotations
 
 import numpy as np
 
 
-def collection_order(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All suffixes of the strings ``data[start:end]``, sorted: (string, offset, common prefix with the one before).
+def equal_windows(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray, shift: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, offset, class) of the windows of ``length`` bytes that other strings have at the same column.
 
-    Round j puts the j-th symbol from the end of every string that has one in front of its last
-    suffix. A stable sort of the transform gives each new suffix its place; transform, suffixes and
-    common prefixes are then rewritten from front to back with the new ones let in. The common
-    prefix of two neighbours is one more than the least one between the suffixes they extend.
-    The end of a string sorts before all symbols, and ends sort by string.
+    String i is ``data[begin[i] : begin[i] + sizes[i]]``; its byte at ``shift[i]`` is in column 0.
+    Columns are taken from the last to the first. A round puts one symbol of every string in front
+    of its suffix: a stable sort by that symbol keeps the suffixes of the column in order, and the
+    common prefix of two neighbours is one more than the least one between the suffixes they
+    extend. Strings come in at their last column, with an empty suffix, and go after their first.
+    Neighbours that share ``length`` symbols hold one window.
     """
-    sizes = ends - starts
-    m, longest = len(starts), int(sizes.max(initial=0))
-    before = np.zeros(m, np.uint8)  # symbol in front of each suffix, plus one; 0 is none
-    full = sizes > 0
-    before[full] = data[ends[full] - 1] + 1
-    owner, offset = np.arange(m, dtype=np.int32), sizes.astype(np.int32)
-    shared = np.zeros(m, np.int16)
-    at = np.arange(m)
-    for j in range(1, longest + 1):
-        active = np.flatnonzero(sizes >= j)
-        active = active[np.argsort(at[active], kind="stable")]
-        here, n = at[active], len(before)
-        order = np.argsort(before, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.arange(n)
-        k = rank[here]
-        place = m + k - int((before == 0).sum())
-
-        symbol = before[here]
-        lower, upper = order[np.maximum(k - 1, 0)], order[np.minimum(k + 1, n - 1)]
-        has_lower = (k > 0) & (before[lower] == symbol)
-        has_upper = (k + 1 < n) & (before[upper] == symbol)
-        padded = np.append(shared, np.int16(0))
-        from_lower, to_upper = np.zeros(len(active), np.int16), np.zeros(len(active), np.int16)
-        for has, out, low, high in ((has_lower, from_lower, lower, here), (has_upper, to_upper, here, upper)):
-            if has.any():
-                pairs = np.stack([low[has] + 1, high[has] + 1], 1).ravel()
-                out[has] = np.minimum.reduceat(padded, pairs)[::2] + 1
-
-        old = np.ones(n + len(active), bool)
-        old[place] = False
-
-        def let_in(values, new, old=old, place=place):
-            out = np.empty(len(old), values.dtype)
-            out[old] = values
-            out[place] = new
-            return out
-
-        left = sizes[active] - j
-        new = np.zeros(len(active), np.uint8)
-        new[left > 0] = data[starts[active[left > 0]] + left[left > 0] - 1] + 1
-        before = let_in(before, new)
-        owner, offset = let_in(owner, active), let_in(offset, left)
-        shared = let_in(shared, from_lower)
-        after = place + 1
-        shared[after[after < len(shared)]] = to_upper[after < len(shared)]
-        at[active] = place
-    return owner, offset, shared
+    base = begin + shift
+    left, right = -shift, sizes - shift - 1
+    entering = np.argsort(-right, kind="stable")
+    enters_at = right[entering]
+    order, shared = np.zeros(0, np.int64), np.zeros(0, np.int16)
+    found = [(np.zeros(0, np.int64),) * 3]
+    classes = came = 0
+    for column in range(int(right.max(initial=-1)), int(left.min(initial=0)) - 1, -1):
+        upto = int(np.searchsorted(-enters_at, -column, "right"))
+        new, came = entering[came:upto], upto
+        here = np.concatenate([new, order])
+        shared = np.concatenate([np.zeros(len(new) + 1, np.int16), shared[1:], np.zeros(1, np.int16)])[: len(here) + 1]
+        inside = left[here] <= column
+        symbol = np.zeros(len(here), np.uint8)
+        symbol[inside] = data[base[here[inside]] + column] + 1
+        perm = np.argsort(symbol, kind="stable")[len(here) - int(inside.sum()) :]
+        symbol = symbol[perm]
+        order = here[perm]
+        next_shared = np.zeros(len(perm), np.int16)
+        if len(perm) > 1:
+            least = np.minimum.reduceat(shared, perm + 1)[:-1] + 1
+            next_shared[1:] = np.where(symbol[1:] == symbol[:-1], least, 0)
+        shared = next_shared
+        alike = shared >= length
+        if alike.any():
+            own = np.cumsum(~alike) + classes
+            member = alike | np.append(alike[1:], False)
+            found.append((order[member], column - left[order[member]], own[member]))
+            classes = int(own[-1]) + 1
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
