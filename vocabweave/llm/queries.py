@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.llm import bpe, decontamination, jaccard, language, licences, neighbours, repeats, toxicity, url_filters
+from vocabweave.llm import bpe, decontamination, jaccard, language, licences, neighbours, repeats, suffix_tree, toxicity, url_filters
 from vocabweave.llm.blocks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,10 @@ def op6(table):
     model = language.fit(documents.where(fold("doc_id", 3) != 1))
     found = language.predict(documents.select("doc_id", "text"), model)
     return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@register("op5_suffix_tree")
+def op5(table):
+    held_out = fold("doc_id", 5) == 1
+    scored = suffix_tree.score(table("documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
