@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from vocabweave.llm.blocks import LOWER, SPACED, Hashes, ragged, shingles, text_blocks, words
+from vocabweave.llm.blocks import LOWER, SPACED, Hashes, shingles, text_blocks, words
 from vocabweave.llm.links import components
 from vocabweave.session import cut_lineage
 
