@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from vocabweave.operators import quality, resolve
 from vocabweave.plans import ingest
-from vocabweave.sources import sheets, tables
+from vocabweave.sources import field_vocabulary, sheets, tables
 
 NODE = "node_id string, node_label string, node_definition string, node_synonyms array<string>, node_dbxrefs array<string>, ord bigint"
 
@@ -133,6 +133,33 @@ def test_only_new_links(spark, small):
     assert new == {("B:1", "A:2")}
 
 
+def test_long_lists_reach_the_graph_once(spark):
+    n = 20_000
+    synonyms = spark.range(n).select(F.lit("A:1").alias("node_id"), F.concat(F.lit("syn "), "id").alias("synonym"))
+    xrefs = spark.range(n).select(F.lit("A:1").alias("node_id"), F.col("id").alias("xref_ord"), F.concat(F.lit("UMLS:C"), "id").alias("xref"))
+    nodes = nodes_of(spark, [("A:1", [""]), ("A:2", [""])]).drop("node_synonyms", "node_dbxrefs")
+    done = ingest.ingest_source(
+        tables.empty_graph(spark), edges_of(spark, [("A:1", "p", "A:2")]), nodes, source(spark, "A"), "A", xrefs=xrefs, synonyms=synonyms)
+    assert done.graph.terms.where("id LIKE 'syn %'").agg(F.count("id"), F.count_distinct("id")).first() == (n, n)
+    listed = done.concept_list.where("node_id = 'A:1'").agg(F.count("cui"), F.count_distinct("cui"), F.max("pos")).first()
+    assert tuple(listed) in {(n, n, n), (n + 1, n + 1, n + 1)}
+    links = done.graph.coderels.where("codeid = 'A:1'")
+    assert links.where("tty = 'PT'").agg(F.count("start_id"), F.count_distinct("start_id")).first() == (listed[0], listed[0])
+
+
+def test_ids_never_run_into_the_next_range(spark):
+    table = spark.createDataFrame([(f"f{i}", f"v{i}", i) for i in range(1200)], "field string, value string, ord bigint")
+    with pytest.raises(Exception, match="wider ranges"):
+        field_vocabulary.encode_values(table, "field", "X").collect()
+    wide = {kind: number * 10 for kind, number in field_vocabulary.PARENT_IDS.items()}
+    assert field_vocabulary.encode_values(table, "field", "X", wide).select("node_id").distinct().count() == 1200
+
+
+def test_text_that_begins_like_a_list(spark):
+    rows = spark.createDataFrame([("f", "[deprecated] use x", 1), ("g", '["a", "b"]', 2), ("h", "plain", 3)], "field string, value string, ord bigint")
+    assert sorted(r.value for r in field_vocabulary.field_values(rows).collect()) == ["[deprecated] use x", "a", "b", "plain"]
+
+
 def test_own_sab_only(spark):
     nodes = nodes_of(spark, [("A:1", ["umls:c1"]), ("Z:1", ["umls:c2"])])
     done = ingest.ingest_source(tables.empty_graph(spark), edges_of(spark, [("A:1", "p", "Z:1")]), nodes, source(spark, "A"), "A", own_sab_only=True)

@@ -1,4 +1,4 @@
-"""Hot keys: the salted and sliced plans give the rows of the plain ones."""
+"""Hot keys: joins are split, and the sliced plans give the rows of the plain ones."""
 
 import random
 
@@ -15,34 +15,38 @@ def skewed(spark):
     return spark.createDataFrame(rows, "key string, n bigint, x double").repartition(8)
 
 
-@pytest.fixture(scope="module")
-def side(spark):
-    return spark.createDataFrame([("hot", 1), ("hot", 2), *[(f"k{i}", i) for i in range(0, 50, 2)], ("other", 9)], "key string, y bigint")
-
-
 def test_only_large_keys_are_hot(skewed):
     assert [tuple(r) for r in keyed.hot_keys(skewed, ["key"], 300).collect()] == [("hot", 4)]
     assert keyed.hot_keys(skewed, ["key"]) is None
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join(skewed, side, how):
-    plain = skewed.join(side, ["key"], how)
-    salted = keyed.salted_join(skewed, side, ["key"], how, min_rows=500)
-    assert salted.columns == plain.columns
-    assert sorted(salted.collect(), key=str) == sorted(plain.collect(), key=str)
+def skew_split(joined):
+    """Whether adaptive execution split a skewed partition of the join."""
+    joined.collect()
+    return "skewed=true" in joined._jdf.queryExecution().executedPlan().toString() or "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_rows_are_dealt_over_tasks(skewed, side, spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_adaptive_execution_splits_hot_keys(spark, how):
+    """Equal rows, rows that differ in a map alone, and a hot right side: no salt is needed."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
     try:
-        joined = keyed.salted_join(skewed, side, ["key"], min_rows=100)
-        tasks = joined.where("key = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50))
+        equal = spark.range(0, 30_000, 1, 8).select(key.alias("key"), F.lit("x" * 20).alias("x"))
+        maps = spark.range(0, 30_000, 1, 8).select(key.alias("key"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+        side = spark.range(0, 50).select(F.concat(F.lit("k"), "id").alias("key"), F.lit(1).alias("y")).union(spark.createDataFrame([("hot", 1)], "key string, y int"))
+        for left in (equal, maps):
+            assert skew_split(left.join(side, ["key"], how))
+        if how == "inner":
+            assert skew_split(side.join(equal, ["key"]))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert tasks == 4
+        for key in conf:
+            spark.conf.unset(key)
 
 
 @pytest.mark.parametrize("min_rows", [None, 500, 1])
@@ -64,16 +68,11 @@ def test_dense_number(skewed):
 
 
 def test_long_lists_stay_rows(skewed):
-    cells = keyed.list_cells(skewed, "key", "n", ["n"], "cell", limit=200, min_rows=500).collect()
-    hot = [r for r in cells if r.key == "hot"]
-    assert len(hot) == 1000 and not any(r.whole for r in hot)
+    rows = keyed.list_rows(skewed, "key", "n", ["n"]).collect()
     expected = {}
     for row in skewed.collect():
         expected.setdefault(row.key, []).append(row.n)
-    for row in cells:
-        if row.whole:
-            assert row.cell == "|".join(map(str, sorted(expected[row.key])))
-    assert {r.key for r in cells} == set(expected)
+    assert sorted((r.key, r.pos, r.n) for r in rows) == sorted((k, i, n) for k, own in expected.items() for i, n in enumerate(sorted(own), 1))
 
 
 def test_first_per_key_drops_rows_before_the_shuffle(skewed):

@@ -201,3 +201,15 @@ def text_id(text: Column, sab: str = "ENTREZ") -> Column:
     """URL-safe base64 id of a definition text, without line breaks."""
     body = F.concat(F.lit(sab + " "), text, F.lit(" CUI"))
     return F.translate(F.base64(F.encode(body, "UTF-8")), "+/\r\n", "-_")
+
+
+def numbered_id(parent: int, number: Column, room: int) -> Column:
+    """``parent`` + ``number``; an error where the number would run into the next parent's range."""
+    message = F.concat(F.lit(f"more than {room - 1} ids below {parent}: give the parents wider ranges, not "), number.cast("string"))
+    return F.lit(parent) + F.when(number < room, number).otherwise(F.raise_error(message))
+
+
+def rooms(parents: list[int]) -> dict[int, int]:
+    """Ids from each parent up to the next higher one; the highest has no bound."""
+    ordered = sorted(set(parents))
+    return {a: b - a for a, b in zip(ordered, [*ordered[1:], 1 << 62])}

@@ -51,9 +51,9 @@ def parse_list_cell(cell: Column) -> Column:
 
 
 def list_or_scalar(value: Column) -> Column:
-    """JSON list to array; a JSON scalar or plain text becomes a one-item array."""
+    """JSON list to array; anything else, also text that only begins like a list, becomes a one-item array."""
     text = F.trim(value)
-    return F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.array(value))
+    return F.when(text.startswith("["), F.coalesce(F.from_json(text, "array<string>"), F.array(value))).otherwise(F.array(value))
 
 
 def first_word(text: Column) -> Column:

@@ -1,9 +1,11 @@
-"""Joins, numbering and list building that stay balanced when one key is hot.
+"""Numbering and lists that stay balanced when one key is hot.
 
 A key is *hot* when it holds more rows than a task's fair share (all rows over the number
 of shuffle partitions, ``SHARES`` at least) and ``min_rows`` of them. There can be no more
 hot keys than shares, whatever the size of the table, so they fit in a broadcast. They are
 looked for with one pre-aggregated count; where there are none, the plain Spark plan is used.
+Joins need no such care: adaptive execution splits skewed partitions on either side, whatever
+the rows look like.
 """
 
 from __future__ import annotations
@@ -17,9 +19,6 @@ from vocabweave.session import checkpointed
 
 SHARES = 2000
 MIN_HOT_ROWS = 500_000
-LIST_LIMIT = 10_000
-
-LOOK = "look"
 
 
 def key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int, int]:
@@ -44,36 +43,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) ->
     return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    hot_from: DataFrame | None = None,
-    min_rows: int | None = None,
-    hot: DataFrame | None | str = LOOK,
-) -> DataFrame:
-    """Equi-join where ``left`` may hold a third of its rows under one key.
-
-    Rows of a hot key on the left are dealt over as many tasks as they need and only that
-    key's rows on the right are repeated for each of them; all other keys join as usual.
-    ``hot_from`` is a cheaper frame with the same keys to look for hot ones in, ``hot`` the
-    result of an earlier ``hot_keys``. ``how`` must keep the left side's rows apart: inner,
-    left, left_semi or left_anti.
-    """
-    keys = list(on)
-    if isinstance(hot, str):
-        hot = hot_keys(left if hot_from is None else hot_from, keys, min_rows)
-    if hot is None:
-        return left.join(right, keys, how)
-    hot = F.broadcast(hot)
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    hashable = [name for name, kind in left.dtypes if "map<" not in kind]
-    dealt = left.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*hashable), salts).cast("int"))
-    repeated = right.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    return dealt.drop("_salts").join(repeated.drop("_salts"), [*keys, "_salt"], how).drop("_salt")
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """First row of each key in ``order``.
 
@@ -141,32 +110,9 @@ def number_within(
     return cold.unionByName(numbered)
 
 
-def list_cells(
-    df: DataFrame,
-    key: str,
-    value: str,
-    order: Sequence[str],
-    cell: str,
-    sep: str = "|",
-    limit: int = LIST_LIMIT,
-    min_rows: int | None = None,
-) -> DataFrame:
-    """Joined list of ``value`` per ``key``: columns ``key``, ``cell``, ``whole``.
+def list_rows(df: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
+    """The list of ``value`` per ``key`` as rows (``key``, ``pos`` from 1, ``value``), in ``order``.
 
-    A key with more than ``limit`` values is never gathered: it keeps one row per value with
-    ``whole`` false, so no row grows with the data and no value is lost.
+    A list of any length stays rows, so none is gathered in one cell or task.
     """
-
-    def gathered(rows: DataFrame) -> DataFrame:
-        entry = F.struct(*dict.fromkeys([*order, value]))
-        lists = rows.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_list"))
-        joined = F.array_join(F.transform("_list", lambda e: e[value]), sep)
-        return lists.select(key, joined.alias(cell), F.lit(True).alias("whole"))
-
-    sizes, _, largest = key_sizes(df, [key])
-    if largest <= limit:
-        return gathered(df)
-    long_keys = sizes.where(F.col("_n") > limit).select(key)
-    short = salted_join(df, long_keys, [key], "left_anti", min_rows=min_rows)
-    spread = salted_join(df, long_keys, [key], "left_semi", min_rows=min_rows)
-    return gathered(short).unionByName(spread.select(key, F.col(value).cast("string").alias(cell), F.lit(False).alias("whole")))
+    return number_within(df, key, order, "pos").select(key, "pos", value)

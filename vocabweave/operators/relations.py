@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vocabweave.functions.codes import after_last, pair_literal
 from vocabweave.functions.fixed_values import OBO_PREFIX, RDF_TYPE, RDFS_TYPE, RELATION_LABELS
-from vocabweave.operators.keyed import first_per_key, salted_join
+from vocabweave.operators.keyed import first_per_key
 
 REFERENCE_DOCUMENT = (
     "graphs array<struct<nodes:array<struct<id:string,lbl:string,meta:struct<definition:struct<val:string>>>>,"
@@ -143,5 +143,5 @@ def standardize_relations(
 ) -> DataFrame:
     """Edges with the standard label in place of their predicate."""
     names = relation_names(edges, reference, spatial, pairs).select("predicate", "relation_label")
-    joined = salted_join(edges, names, ["predicate"], "left", hot_from=edges.select("predicate"))
+    joined = edges.join(names, ["predicate"], "left")
     return joined.withColumn("predicate", F.col("relation_label")).select(*edges.columns)

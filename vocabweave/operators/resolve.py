@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocabweave.functions.codes import clean_concept_id, standardize_dbxref
-from vocabweave.operators.keyed import first_per_key, number_within, salted_join
+from vocabweave.operators.keyed import first_per_key, number_within
 from vocabweave.session import cut_lineage
 
 # ranks of a concept for a node, best first
@@ -69,7 +69,7 @@ def transitive_concepts(xrefs: DataFrame, coderels: DataFrame) -> DataFrame:
     umls_concept = F.col("start_id").startswith("UMLS")
     umls_xref = F.upper("xref").startswith("UMLS")
     return (
-        salted_join(xrefs, links, ["xref"], hot_from=xrefs.select("xref"))
+        xrefs.join(links, ["xref"])
         .where(~(umls_concept & umls_xref))
         .withColumn("rank", F.when(umls_concept, VIA_UMLS).otherwise(VIA_OTHER))
         .select("node_id", "rank", "xref_ord", "step", "ord", "pos", F.col("start_id").alias("cui"))
@@ -160,9 +160,9 @@ def resolve_shared_greedy(choice: DataFrame, lists: DataFrame, node_ord: DataFra
     ``lists`` holds (node_id, pos, cui), ``node_ord`` holds (node_id, ord).
     """
     shared = shared_concepts(choice).select("cui")
-    in_group = salted_join(choice, shared, ["cui"], "left_semi").select("node_id", F.col("cui").alias("grp"))
+    in_group = choice.join(shared, ["cui"], "left_semi").select("node_id", F.col("cui").alias("grp"))
     open_offers = cut_lineage(
-        salted_join(lists.select("node_id", "pos", "cui"), in_group.join(node_ord, "node_id"), ["node_id"])
+        lists.select("node_id", "pos", "cui").join(in_group.join(node_ord, "node_id"), ["node_id"])
     )
     n_open = open_offers.count()
     while True:

@@ -9,7 +9,7 @@ from vocabweave.functions.codes import standardize_dbxref
 from vocabweave.functions.text import pipe_split, standardize_synonyms
 from vocabweave.operators import graph_queries as ask
 from vocabweave.operators import resolve
-from vocabweave.operators.keyed import dense_number, first_per_key, list_cells
+from vocabweave.operators.keyed import dense_number, first_per_key
 from vocabweave.plans import ingest
 from vocabweave.plans.catalog import VIEWS, Inputs, query
 from vocabweave.session import cut_lineage, shared_folder
@@ -127,11 +127,11 @@ def preferred_concept_greedy(inputs: Inputs) -> DataFrame:
     return assigned.select("node_id", "rank", "first_cui", "assigned_cui")
 
 
-@query("cui_lists", "SELECT node_id, string_agg(cui, '|' ORDER BY pos) AS cuis, true AS whole FROM ox_lists GROUP BY node_id")
+@query("cui_lists", "SELECT node_id, pos, cui FROM ox_lists")
 def cui_lists(inputs: Inputs) -> DataFrame:
     nodes = whole_nodes(inputs)
     _, listed = resolve.assign_concepts(nodes, base_coderels(inputs), xrefs=source_xrefs(inputs))
-    return list_cells(listed, "node_id", "cui", ["pos"], "cuis")
+    return listed.select("node_id", "pos", "cui")
 
 
 @query("edges_to_rels", "SELECT label, start_id, end_id, sab, evidence_class FROM ox_rels")
@@ -336,7 +336,7 @@ def concepts_of_code(inputs: Inputs) -> DataFrame:
 
 
 @query("equivalence_classes", """
-SELECT start_id AS cui, string_agg(codeid, '|' ORDER BY codeid) AS codes, true AS whole FROM (SELECT DISTINCT start_id, codeid FROM fx_coderels) GROUP BY start_id
+SELECT start_id AS cui, row_number() OVER (PARTITION BY start_id ORDER BY codeid) AS pos, codeid FROM (SELECT DISTINCT start_id, codeid FROM fx_coderels)
 """)
 def equivalence_classes(inputs: Inputs) -> DataFrame:
     return ask.equivalence_classes(base_coderels(inputs))

@@ -8,8 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.functions.text import custom_props, standardize_synonyms
-from vocabweave.operators.keyed import first_per_key, salted_join
+from vocabweave.functions.text import custom_props, standardize_synonym, standardize_synonyms
 from vocabweave.operators.resolve import assign_concepts, complete_nodes, missing_nodes, shared_members
 from vocabweave.session import cut_lineage
 from vocabweave.sources.tables import (
@@ -53,7 +52,7 @@ def new_rel_labels(edges: DataFrame, rel_labels: DataFrame, sab: str) -> DataFra
 def new_concepts(nodes: DataFrame, concept_list: DataFrame, coderels: DataFrame, sab: str) -> DataFrame:
     """Concepts that no code links to yet, named by the first node that has them."""
     labels = nodes.select("node_id", "node_label", "ord")
-    listed = salted_join(concept_list, labels, ["node_id"], hot_from=concept_list.select("node_id"))
+    listed = concept_list.join(labels, ["node_id"])
     first = listed.groupBy("cui").agg(F.min(F.struct("ord", "pos", "node_id", "node_label")).alias("first"))
     known = coderels.select(F.col("start_id").alias("cui")).distinct()
     return first.join(known, "cui", "left_anti").select(
@@ -65,47 +64,51 @@ def new_concepts(nodes: DataFrame, concept_list: DataFrame, coderels: DataFrame,
     )
 
 
-def new_terms(nodes: DataFrame, terms: DataFrame) -> DataFrame:
+def synonym_rows(nodes: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
+    """(node_id, synonym, ord): the list cells as rows, and the rows (node_id, synonym) of ``synonyms``."""
+    rows = nodes.select("node_id", F.explode("node_synonyms").alias("synonym"), "ord")
+    if synonyms is not None:
+        spelled = synonyms.select("node_id", standardize_synonym(F.col("synonym")).alias("synonym"))
+        rows = rows.unionByName(spelled.join(nodes.select("node_id", "ord"), ["node_id"]))
+    return rows.where("synonym <> ''")
+
+
+def new_terms(nodes: DataFrame, terms: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
     """Node labels, then synonyms that are no label, which are no term yet."""
     labels = nodes.groupBy(F.col("node_label").alias("id")).agg(F.min("ord").alias("ord"))
-    synonyms = (
-        nodes.select(F.explode("node_synonyms").alias("id"), "ord")
-        .where("id <> ''")
-        .groupBy("id")
+    others = (
+        synonym_rows(nodes, synonyms)
+        .groupBy(F.col("synonym").alias("id"))
         .agg(F.min("ord").alias("ord"))
         .join(labels, "id", "left_anti")
     )
-    named = labels.withColumn("kind", F.lit(0)).unionByName(synonyms.withColumn("kind", F.lit(1)))
+    named = labels.withColumn("kind", F.lit(0)).unionByName(others.withColumn("kind", F.lit(1)))
     return named.join(terms.select("id").distinct(), "id", "left_anti")
 
 
-def build_coderels(nodes: DataFrame, concept_list: DataFrame, sab: str) -> DataFrame:
+def build_coderels(nodes: DataFrame, concept_list: DataFrame, sab: str, synonyms: DataFrame | None = None) -> DataFrame:
     """Links from each concept of a node to its label (PT) and its synonyms (SY).
 
     Nodes that are UMLS concepts themselves get none. All columns beyond the node columns
     travel along as properties.
     """
     described = nodes.where(~F.col("node_id").startswith("UMLS:")).select(
-        "node_id", "node_label", "node_definition", "node_synonyms", "ord",
-        custom_props(nodes, NODE_BASE).alias("props"),
+        "node_id", "node_label", "node_definition", "ord", custom_props(nodes, NODE_BASE).alias("props"),
     )
-    linked = salted_join(
-        concept_list.select("node_id", "cui", "pos"), described, ["node_id"], hot_from=concept_list.select("node_id")
+    own = described.select(
+        "node_id", F.lit("PT").alias("tty"), F.col("node_label").alias("term"), F.col("node_definition").alias("def"), "props", "ord"
     )
-    terms = F.concat(
-        F.array(F.struct(F.lit("PT").alias("tty"), F.col("node_label").alias("term"), F.col("node_definition").alias("def"))),
-        F.transform(
-            F.filter("node_synonyms", lambda s: s != ""),
-            lambda s: F.struct(F.lit("SY").alias("tty"), s.alias("term"), F.lit("").alias("def")),
-        ),
+    others = synonym_rows(nodes, synonyms).select("node_id", "synonym").join(described, ["node_id"]).select(
+        "node_id", F.lit("SY").alias("tty"), F.col("synonym").alias("term"), F.lit("").alias("def"), "props", "ord"
     )
-    return linked.withColumn("t", F.explode(terms)).select(
+    linked = own.unionByName(others).join(concept_list.select("node_id", "cui", "pos"), ["node_id"])
+    return linked.select(
         F.col("cui").alias("start_id"),
-        F.col("t.term").alias("end_id"),
+        F.col("term").alias("end_id"),
         F.lit(sab).alias("sab"),
-        F.col("t.def").alias("def"),
+        "def",
         F.col("node_id").alias("codeid"),
-        F.col("t.tty").alias("tty"),
+        "tty",
         "props",
         "ord",
         "pos",
@@ -117,8 +120,8 @@ def edges_to_rels(edges: DataFrame, assigned: DataFrame, sab: str) -> DataFrame:
     start = assigned.select(F.col("node_id").alias("subject"), F.col("assigned_cui").alias("start_id"))
     end = assigned.select(F.col("node_id").alias("object"), F.col("assigned_cui").alias("end_id"))
     slim = edges.select(*EDGE_COLUMNS, "ord", custom_props(edges, EDGE_BASE).alias("props"))
-    started = salted_join(slim, start, ["subject"], hot_from=edges.select("subject"))
-    return salted_join(started, end, ["object"], hot_from=edges.select("object")).select(
+    started = slim.join(start, ["subject"])
+    return started.join(end, ["object"]).select(
         F.col("predicate").alias("label"), "start_id", "end_id", F.lit(sab).alias("sab"), "props", "ord"
     )
 
@@ -185,15 +188,18 @@ def ingest_source(
     xrefs: DataFrame | None = None,
     own_sab_only: bool = False,
     only_new_links: bool = False,
+    synonyms: DataFrame | None = None,
 ) -> Ingest:
     """Fold one source into ``graph``; a source that is already in it is refused.
 
-    ``nodes`` has array columns for synonyms and cross-references and an ``ord``; ``xrefs``
-    (node_id, xref_ord, xref) replaces the cross-reference column where it is already in
-    rows. ``own_sab_only`` uses only the cross-references of the source's own codes.
+    ``nodes`` has array columns for synonyms and cross-references and an ``ord``. Where the
+    values are rows already, they are given as ``synonyms`` (node_id, synonym), beside those in
+    the column, and ``xrefs`` (node_id, xref_ord, xref), instead of the column; then the columns
+    may be missing. ``own_sab_only`` uses only the cross-references of the source's own codes.
     """
     if source_exists(graph.sources, sab):
         raise ValueError(f"source {sab} is already in the graph")
+    nodes = nodes.withColumns({c: F.array(F.lit("")) for c in ("node_synonyms", "node_dbxrefs") if c not in nodes.columns})
     spelled = nodes.withColumn("node_synonyms", standardize_synonyms(F.col("node_synonyms")))
     whole = cut_lineage(complete_nodes(edges, spelled))
     if own_sab_only:
@@ -211,7 +217,7 @@ def ingest_source(
             new = new.withColumn("ord", F.lit(0).cast("bigint"))
         return old.unionByName(new.withColumn("step", F.lit(step)).select(*old.columns), allowMissingColumns=True)
 
-    links = build_coderels(whole, concept_list, sab)
+    links = build_coderels(whole, concept_list, sab, synonyms)
     if only_new_links:
         links = only_new(links, graph.coderels)
     rels, self_edges = split_self_edges(edges_to_rels(edges, assigned, sab))
@@ -220,7 +226,7 @@ def ingest_source(
         sources=added(graph.sources, source),
         rel_labels=added(graph.rel_labels, new_rel_labels(edges, graph.rel_labels, sab)),
         concepts=added(graph.concepts, new_concepts(whole, concept_list, graph.coderels, sab)),
-        terms=added(graph.terms, new_terms(whole, graph.terms)),
+        terms=added(graph.terms, new_terms(whole, graph.terms, synonyms)),
         coderels=added(graph.coderels, links),
         rels=added(graph.rels, rels),
     )
@@ -257,7 +263,7 @@ def changed_concepts(new_coderels: DataFrame, old_coderels: DataFrame) -> DataFr
     """Old and new concepts of every code that both sets of links know."""
     new = new_coderels.select("codeid", F.col("start_id").alias("new_cui")).distinct()
     old = old_coderels.select("codeid", F.col("start_id").alias("old_cui")).distinct()
-    return salted_join(new, old, ["codeid"]).select("old_cui", "new_cui", "codeid")
+    return new.join(old, ["codeid"]).select("old_cui", "new_cui", "codeid")
 
 
 def rewrite_changed(
@@ -272,9 +278,9 @@ def rewrite_changed(
 
     def rewritten(links: DataFrame, end: str) -> DataFrame:
         moves = minted.select(F.col("old_cui").alias(end), F.col("new_cui").alias("_new"))
-        joined = salted_join(links, moves, [end], "left", hot_from=links.select(end))
+        joined = links.join(moves, [end], "left")
         return joined.withColumn(end, F.coalesce("_new", F.col(end))).drop("_new").select(*links.columns)
 
     gone = minted.select(F.col("old_cui").alias("start_id")).distinct()
-    kept = salted_join(coderels, gone, ["start_id"], "left_anti", hot_from=coderels.select("start_id"))
+    kept = coderels.join(gone, ["start_id"], "left_anti")
     return rewritten(rewritten(rels, "end_id"), "start_id"), kept.select(*coderels.columns)

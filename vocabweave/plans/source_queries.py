@@ -10,7 +10,7 @@ from vocabweave.functions.fixed_values import (
     OBO_DBXREF, OBO_DEFINITION, OBO_SYNONYM, OWL_AXIOM, OWL_CLASS, OWL_DISJOINT, OWL_SOURCE,
     OWL_TARGET, RDF_TYPE, RDFS_LABEL, RDFS_SUBCLASS, TEMPLATE_PARENT,
 )
-from vocabweave.operators.keyed import list_cells
+from vocabweave.operators.keyed import list_rows
 from vocabweave.plans.catalog import VIEWS, Inputs, query
 from vocabweave.plans.table_queries import relation_tables
 from vocabweave.session import cut_lineage
@@ -273,7 +273,9 @@ SELECT p_type AS organ_label, concat('http://x.org/obo/UBERON_', CAST(p_partkey
        concat('http://x.org/obo/FTU_', CAST(p_partkey AS STRING)) AS ftu_iri, p_name AS ftu_part_label,
        concat('http://x.org/obo/PT_', CAST(p_partkey AS STRING)) AS ftu_part_iri, p_partkey AS ord FROM part"""
 VIEWS["ox_hierarchy_rows"] = "SELECT *, row_number() OVER (ORDER BY ord) AS n FROM fx_hierarchy"
-_levels = [("organ_label", "organ_iri", 100000), ("ftu_label", "ftu_iri", 200000), ("ftu_part_label", "ftu_part_iri", 300000)]
+#: Offsets with room for every row of the largest table.
+WIDE_LEVELS = [(label, iri, offset * 1000, name) for label, iri, offset, name in crosswalk.HIERARCHY_LEVELS]
+_levels = [level[:3] for level in WIDE_LEVELS]
 VIEWS["ox_hierarchy_ids"] = " UNION ALL ".join(
     f"SELECT '{label}' AS level, label, iri, concat('FTU2D:', CAST({offset} + n AS STRING)) AS id FROM (SELECT {label} AS label, {iri} AS iri, n, "
     f"row_number() OVER (PARTITION BY {label} ORDER BY organ_label, ftu_label, ftu_part_label, n) AS rn FROM ox_hierarchy_rows) WHERE rn = 1"
@@ -282,22 +284,22 @@ VIEWS["ox_hierarchy_ids"] = " UNION ALL ".join(
 
 
 @query("hierarchy_edges", """
-SELECT 'FTU2D:100000' AS subject, 'isa' AS predicate, 'FTU2D:000000' AS object UNION ALL SELECT 'FTU2D:200000', 'isa', 'FTU2D:000000' UNION ALL SELECT 'FTU2D:300000', 'isa', 'FTU2D:000000'
-UNION ALL SELECT id, 'isa', CASE level WHEN 'organ_label' THEN 'FTU2D:100000' WHEN 'ftu_label' THEN 'FTU2D:200000' ELSE 'FTU2D:300000' END FROM ox_hierarchy_ids
+SELECT 'FTU2D:100000000' AS subject, 'isa' AS predicate, 'FTU2D:000000' AS object UNION ALL SELECT 'FTU2D:200000000', 'isa', 'FTU2D:000000' UNION ALL SELECT 'FTU2D:300000000', 'isa', 'FTU2D:000000'
+UNION ALL SELECT id, 'isa', CASE level WHEN 'organ_label' THEN 'FTU2D:100000000' WHEN 'ftu_label' THEN 'FTU2D:200000000' ELSE 'FTU2D:300000000' END FROM ox_hierarchy_ids
 UNION ALL SELECT DISTINCT a.id, 'has_ftu', b.id FROM fx_hierarchy h JOIN ox_hierarchy_ids a ON a.level = 'organ_label' AND a.label = organ_label JOIN ox_hierarchy_ids b ON b.level = 'ftu_label' AND b.label = ftu_label
 UNION ALL SELECT DISTINCT a.id, 'has_ftu_part', b.id FROM fx_hierarchy h JOIN ox_hierarchy_ids a ON a.level = 'ftu_label' AND a.label = ftu_label JOIN ox_hierarchy_ids b ON b.level = 'ftu_part_label' AND b.label = ftu_part_label
 """)
 def hierarchy_edges(inputs: Inputs) -> DataFrame:
-    return crosswalk.hierarchy_edges(inputs.view("fx_hierarchy"), "FTU2D")
+    return crosswalk.hierarchy_edges(inputs.view("fx_hierarchy"), "FTU2D", levels=WIDE_LEVELS)
 
 
 @query("hierarchy_nodes", """
-SELECT 'FTU2D:000000' AS node_id, 'FTU2D' AS node_label, '' AS node_dbxrefs UNION ALL SELECT 'FTU2D:100000', 'FTU2D organ', ''
-UNION ALL SELECT 'FTU2D:200000', 'FTU2D ftu', '' UNION ALL SELECT 'FTU2D:300000', 'FTU2D ftu_part', ''
+SELECT 'FTU2D:000000' AS node_id, 'FTU2D' AS node_label, '' AS node_dbxrefs UNION ALL SELECT 'FTU2D:100000000', 'FTU2D organ', ''
+UNION ALL SELECT 'FTU2D:200000000', 'FTU2D ftu', '' UNION ALL SELECT 'FTU2D:300000000', 'FTU2D ftu_part', ''
 UNION ALL SELECT id, label, replace(split_part(iri, '/', -1), '_', ':') FROM ox_hierarchy_ids
 """)
 def hierarchy_nodes(inputs: Inputs) -> DataFrame:
-    return crosswalk.hierarchy_nodes(inputs.view("fx_hierarchy"), "FTU2D").select("node_id", "node_label", "node_dbxrefs")
+    return crosswalk.hierarchy_nodes(inputs.view("fx_hierarchy"), "FTU2D", levels=WIDE_LEVELS).select("node_id", "node_label", "node_dbxrefs")
 
 
 # ---- sheets ------------------------------------------------------------------------------
@@ -450,11 +452,22 @@ def triple_table(inputs: Inputs) -> DataFrame:
     return cut_lineage(inputs.view("fx_triples"))
 
 
-@query("triples_metadata", "SELECT *, true AS synonyms_whole, true AS dbxrefs_whole FROM ox_metadata")
+@query("triples_metadata", "SELECT node_id, label, definition, namespace FROM ox_metadata")
 def triples_metadata(inputs: Inputs) -> DataFrame:
     return triples.class_metadata(triple_table(inputs))
 
 
+VIEWS["ox_class_values"] = f"""
+SELECT s AS node_id, kind, row_number() OVER (PARTITION BY s, kind ORDER BY value) AS pos, value FROM (
+  SELECT DISTINCT s, CASE p WHEN '{OBO_SYNONYM}' THEN 'synonym' ELSE 'dbxref' END AS kind, o AS value FROM fx_triples
+  WHERE p IN ('{OBO_SYNONYM}', '{OBO_DBXREF}') AND s IN (SELECT s FROM ox_classes))"""
+
+
+@query("triples_values", "SELECT * FROM ox_class_values")
+def triples_values(inputs: Inputs) -> DataFrame:
+    return triples.class_values(triple_table(inputs))
+
+
 @query("triples_kept", f"""
 WITH e AS (SELECT a.s, t.p, t.o, k.is_class FROM (SELECT DISTINCT s FROM fx_triples WHERE o = '{OWL_AXIOM}') a JOIN fx_triples t ON t.s = a.s AND t.p IN ('{OWL_SOURCE}', '{OWL_TARGET}')
   LEFT JOIN (SELECT s AS o, bool_or(o = '{OWL_CLASS}') AS is_class FROM fx_triples WHERE p = '{RDF_TYPE}' GROUP BY s) k ON k.o = t.o)
@@ -481,13 +494,21 @@ def nodes_in_edges(inputs: Inputs) -> DataFrame:
 
 @query("triples_nodes", """
 SELECT replace(split_part(node_id, '/', -1), '_', ':') AS node_id, CASE label WHEN 'None' THEN replace(split_part(node_id, '/', -1), '_', ':') ELSE label END AS node_label,
-  nullif(definition, 'None') AS node_definition, nullif(synonyms, 'None') AS node_synonyms, nullif(dbxrefs, 'None') AS node_dbxrefs
+  nullif(definition, 'None') AS node_definition
 FROM ox_metadata WHERE node_id IN (SELECT s FROM ox_links UNION SELECT o FROM ox_links)
 """)
 def triples_nodes(inputs: Inputs) -> DataFrame:
     return triples.triple_nodes(triple_table(inputs), "X")
 
 
+@query("triples_node_values", """
+SELECT replace(split_part(node_id, '/', -1), '_', ':') AS node_id, kind, pos, value
+FROM ox_class_values WHERE node_id IN (SELECT s FROM ox_links UNION SELECT o FROM ox_links)
+""")
+def triples_node_values(inputs: Inputs) -> DataFrame:
+    return triples.triple_node_values(triple_table(inputs), "X")
+
+
 @query("triple_stats", """
 SELECT 'nodes' AS metric, count(*) AS n FROM (SELECT s FROM fx_triples UNION SELECT o FROM fx_triples)
 UNION ALL SELECT 'triples', count(*) FROM fx_triples UNION ALL SELECT 'predicates', count(DISTINCT p) FROM fx_triples
@@ -496,9 +517,9 @@ def triple_stats(inputs: Inputs) -> DataFrame:
     return triples.triple_stats(triple_table(inputs))
 
 
-@query("pipe_agg", "SELECT p_brand, string_agg(p_name, '|' ORDER BY p_name) AS names, true AS whole FROM (SELECT DISTINCT p_brand, p_name FROM part) GROUP BY p_brand")
+@query("pipe_agg", "SELECT p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_name) AS pos, p_name FROM (SELECT DISTINCT p_brand, p_name FROM part)")
 def pipe_agg(inputs: Inputs) -> DataFrame:
-    return list_cells(inputs.table("part").select("p_brand", "p_name").distinct(), "p_brand", "p_name", ["p_name"], "names")
+    return list_rows(inputs.table("part").select("p_brand", "p_name").distinct(), "p_brand", "p_name", ["p_name"])
 
 
 # ---- one-shot converter ------------------------------------------------------------------
@@ -584,7 +605,9 @@ UNION ALL SELECT 'XSD:string', 'XSD:string', 'string', 'PT' FROM region"""
 VIEWS["fx_vocabulary_rels"] = "SELECT 'isa' AS label, 'XSD:string' AS start_id, 'XSD:anySimpleType' AS end_id, 'CEDAR' AS sab FROM region"
 VIEWS["fx_assays"] = "SELECT concat('assay', CAST(n_nationkey AS STRING)) AS term FROM nation"
 
-_kinds = {"field": 1000, "type": 2000, "entity": 3000, "assay": 4000, "schema": 5000}
+#: Numbers of the parents with room for every field of the largest table.
+FIELD_PARENTS = {"sab": 0, "field": 100_000_000, "type": 200_000_000, "entity": 300_000_000, "assay": 400_000_000, "schema": 500_000_000}
+_kinds = {kind: number for kind, number in FIELD_PARENTS.items() if kind != "sab"}
 VIEWS["ox_field_values"] = " UNION ALL ".join(
     ["SELECT 'field' AS kind, field, field AS value, ord, CAST(0 AS BIGINT) AS pos FROM fx_field"]
     + [f"SELECT '{k}', field, value, ord, 0 FROM fx_field_{k}" for k in ("type", "schema")]
@@ -602,7 +625,7 @@ def field_tables(inputs: Inputs) -> dict[str, DataFrame]:
 
 def field_vocabulary_tables(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
     return field_vocabulary.vocabulary(
-        field_tables(inputs), "HM", inputs.view("fx_vocabulary_rels"), inputs.view("fx_vocabulary_links"), inputs.view("fx_assays")
+        field_tables(inputs), "HM", inputs.view("fx_vocabulary_rels"), inputs.view("fx_vocabulary_links"), inputs.view("fx_assays"), FIELD_PARENTS
     )
 
 
@@ -614,7 +637,7 @@ FROM ox_field_values v JOIN ox_field_ids f ON f.kind = 'field' AND f.label = v.f
 @query("association_edges", "SELECT * FROM ox_associations WHERE predicate = 'used_in_entity'")
 def association_edges(inputs: Inputs) -> DataFrame:
     tables = field_tables(inputs)
-    fields, entities = (field_vocabulary.encode_values(tables[k], k, "HM") for k in ("field", "entity"))
+    fields, entities = (field_vocabulary.encode_values(tables[k], k, "HM", FIELD_PARENTS) for k in ("field", "entity"))
     return field_vocabulary.association_edges(tables["entity"], fields, entities, "used_in_entity")
 
 
@@ -625,7 +648,7 @@ def vocabulary_edges(inputs: Inputs) -> DataFrame:
     return field_vocabulary_tables(inputs)[0]
 
 
-@query("vocabulary_nodes", """
+@query("vocabulary_nodes", f"""
 SELECT i.node_id, i.label AS node_label, CASE i.kind WHEN 'field' THEN f.value ELSE concat('HM ', i.label, ' ', i.kind) END AS node_definition,
   CASE i.kind WHEN 'type' THEN CASE i.label WHEN 'number' THEN 'XSD:float' WHEN 'datetime' THEN 'XSD:dateTime' WHEN 'string' THEN 'XSD:string' ELSE '' END
     WHEN 'schema' THEN '' ELSE coalesce(x.code, '') END AS node_dbxrefs
@@ -633,8 +656,7 @@ FROM ox_field_ids i LEFT JOIN fx_field f ON i.kind = 'field' AND f.field = i.lab
 LEFT JOIN (SELECT end_id AS term, split_part(codeid, ':', 1) AS sab, min(codeid) AS code FROM fx_vocabulary_links GROUP BY 1, 2) x
   ON x.term = CASE i.kind WHEN 'entity' THEN concat(upper(substr(i.label, 1, 1)), lower(substr(i.label, 2))) ELSE i.label END
   AND x.sab = CASE i.kind WHEN 'field' THEN 'CEDAR' ELSE 'HUBMAP' END
-UNION ALL SELECT * FROM (VALUES ('HM:0000', 'HM sab parent node', '', ''), ('HM:1000', 'HM field parent node', '', ''), ('HM:2000', 'HM type parent node', '', ''),
-  ('HM:3000', 'HM entity parent node', '', ''), ('HM:4000', 'HM assay parent node', '', ''), ('HM:5000', 'HM schema parent node', '', '')) v
+UNION ALL SELECT * FROM (VALUES {', '.join(f"('HM:{number:04d}', 'HM {kind} parent node', '', '')" for kind, number in FIELD_PARENTS.items())}) v
 """)
 def vocabulary_nodes(inputs: Inputs) -> DataFrame:
     return field_vocabulary_tables(inputs)[1].drop("node_synonyms")

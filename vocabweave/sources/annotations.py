@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vocabweave.functions.codes import strip_version, version_of
 from vocabweave.functions.fixed_values import GTF_KEYS
 from vocabweave.functions.text import tidy_key_values, values_of_key
-from vocabweave.operators.keyed import first_per_key, hot_keys, salted_join
+from vocabweave.operators.keyed import first_per_key
 from vocabweave.session import cut_lineage
 from vocabweave.sources.tables import union_sources
 
@@ -42,16 +42,11 @@ def split_key_values(annotations: DataFrame, keys: Sequence[str] = GTF_KEYS) ->
 
 
 def enrich(annotations: DataFrame, metadata: dict[str, DataFrame]) -> DataFrame:
-    """Annotations with the four metadata files; a transcript may fan out.
-
-    Genes have a blank transcript, which may be a third of all rows: it is dealt as a hot
-    key, and the hot keys are looked for once.
-    """
-    hot = hot_keys(annotations, ["transcript_id"])
+    """Annotations with the four metadata files; a transcript may fan out."""
     whole = annotations
     for name, columns in METADATA_COLUMNS.items():
         side = metadata[name].select("transcript_id", *columns, F.col("ord").alias(f"{name}_ord"))
-        whole = salted_join(whole, side, ["transcript_id"], "left", hot=hot)
+        whole = whole.join(side, ["transcript_id"], "left")
     return whole.na.fill("", [c for columns in METADATA_COLUMNS.values() for c in columns])
 
 
@@ -68,7 +63,7 @@ def valueset_codes(values: DataFrame, valueset: DataFrame, value: str = "value")
     codes = first_per_key(valueset, ["node_label"], ["ord"]).select(
         F.col("node_label").alias(value), F.col("node_id").alias("code")
     )
-    return salted_join(values, codes, [value], hot_from=values.select(value))
+    return values.join(codes, [value])
 
 
 def annotation_edges(enriched: DataFrame, valueset: DataFrame) -> DataFrame:

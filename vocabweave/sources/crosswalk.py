@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.functions.codes import iri_to_curie
-from vocabweave.operators.keyed import dense_number, first_per_key, salted_join
+from vocabweave.functions.codes import iri_to_curie, numbered_id, rooms
+from vocabweave.operators.keyed import dense_number, first_per_key
 from vocabweave.sources.tables import union_sources
 
 
@@ -26,11 +26,13 @@ CROSSWALK_PARENTS = [("0000000", ""), ("1000000", "_organ_level"), ("2000000", "
 
 
 def organ_levels(crosswalk: DataFrame, sab: str) -> DataFrame:
-    """(Organ_Level, Organ_ID, level_id): levels numbered by first occurrence."""
+    """(Organ_Level, Organ_ID, level_id): levels numbered by first occurrence; too many are an error."""
     firsts = first_per_key(crosswalk.select("Organ_Level", "Organ_ID", "ord"), ["Organ_Level"], ["ord", "Organ_ID"])
     numbered = dense_number(firsts, ["ord", "Organ_Level"], "n")
+    first = int(CROSSWALK_PARENTS[1][0])
+    room = int(CROSSWALK_PARENTS[2][0]) - first
     return numbered.select(
-        "Organ_Level", "Organ_ID", F.concat(F.lit(f"{sab}:"), (F.lit(int(CROSSWALK_PARENTS[1][0])) + F.col("n")).cast("string")).alias("level_id")
+        "Organ_Level", "Organ_ID", F.concat(F.lit(f"{sab}:"), numbered_id(first, F.col("n"), room).cast("string")).alias("level_id")
     )
 
 
@@ -48,7 +50,7 @@ def crosswalk_edges(crosswalk: DataFrame, sab: str, levels: DataFrame | None = N
         )).alias("e"),
     ).select("subject", "e.*")
     cells = crosswalk.where("coalesce(Annotation_Label_ID, '') <> '' AND coalesce(Organ_ID, '') <> ''").select("Annotation_Label_ID", "Organ_Level")
-    placed = salted_join(cells, levels.select("Organ_Level", "level_id"), ["Organ_Level"], hot_from=cells.select("Organ_Level"))
+    placed = cells.join(levels.select("Organ_Level", "level_id"), ["Organ_Level"])
     of_cells = placed.select(
         F.col("Annotation_Label_ID").alias("subject"),
         F.explode(F.array(
@@ -78,7 +80,7 @@ def crosswalk_nodes(crosswalk: DataFrame, sab: str, levels: DataFrame | None = N
 
 # ---- hierarchy: organ -> unit -> part ----------------------------------------------------
 
-# Label column, IRI column, id offset, label suffix of each level's parent.
+# Label column, IRI column, id offset, label suffix of each level's parent.
 HIERARCHY_LEVELS = [
     ("organ_label", "organ_iri", 100000, "organ"),
     ("ftu_label", "ftu_iri", 200000, "ftu"),
@@ -87,42 +89,47 @@ HIERARCHY_LEVELS = [
 HIERARCHY_ORDER = ["organ_label", "ftu_label", "ftu_part_label"]
 
 
-def hierarchy_entities(table: DataFrame, sab: str) -> list[DataFrame]:
+def hierarchy_entities(table: DataFrame, sab: str, levels: list[tuple] = HIERARCHY_LEVELS) -> list[DataFrame]:
     """Per level (label, iri, id): the id counts from the level's offset by the file row of
-    the label's first row in sorted order."""
+    the label's first row in sorted order. More rows than numbers up to the next offset are an error."""
     rows = dense_number(table, ["ord"], "row_number")
     entities = []
-    for label, iri, offset, _ in HIERARCHY_LEVELS:
+    room = rooms([offset for _, _, offset, _ in levels])
+    for label, iri, offset, _ in levels:
         first = first_per_key(rows, [label], [*HIERARCHY_ORDER, "row_number"])
         entities.append(first.select(
-            label, F.col(iri).alias("iri"), F.concat(F.lit(f"{sab}:"), (F.lit(offset) + F.col("row_number")).cast("string")).alias("id")
+            label, F.col(iri).alias("iri"), F.concat(F.lit(f"{sab}:"), numbered_id(offset, F.col("row_number"), room[offset]).cast("string")).alias("id")
         ))
     return entities
 
 
-def hierarchy_edges(table: DataFrame, sab: str, entities: list[DataFrame] | None = None) -> DataFrame:
+def hierarchy_edges(
+    table: DataFrame, sab: str, entities: list[DataFrame] | None = None, levels: list[tuple] = HIERARCHY_LEVELS
+) -> DataFrame:
     """``isa`` of parents and entities; distinct organ-unit and unit-part links."""
-    entities = hierarchy_entities(table, sab) if entities is None else entities
-    parents = [f"{sab}:{offset}" for _, _, offset, _ in HIERARCHY_LEVELS]
+    entities = hierarchy_entities(table, sab, levels) if entities is None else entities
+    parents = [f"{sab}:{offset}" for _, _, offset, _ in levels]
     root = f"{sab}:000000"
     parts = [_constant_rows(table.sparkSession, [(p, "isa", root) for p in parents], ["subject", "predicate", "object"])]
     for entity, parent in zip(entities, parents):
         parts.append(entity.select(F.col("id").alias("subject"), F.lit("isa").alias("predicate"), F.lit(parent).alias("object")))
     for (upper, lower), predicate in zip(((0, 1), (1, 2)), ("has_ftu", "has_ftu_part")):
-        up, low = HIERARCHY_LEVELS[upper][0], HIERARCHY_LEVELS[lower][0]
+        up, low = levels[upper][0], levels[lower][0]
         pairs = table.select(up, low).distinct()
-        named = salted_join(pairs, entities[upper].select(up, F.col("id").alias("subject")), [up], hot_from=pairs.select(up))
-        named = salted_join(named, entities[lower].select(low, F.col("id").alias("object")), [low], hot_from=pairs.select(low))
+        named = pairs.join(entities[upper].select(up, F.col("id").alias("subject")), [up])
+        named = named.join(entities[lower].select(low, F.col("id").alias("object")), [low])
         parts.append(named.select("subject", F.lit(predicate).alias("predicate"), "object").distinct())
     return union_sources(parts)
 
 
-def hierarchy_nodes(table: DataFrame, sab: str, entities: list[DataFrame] | None = None) -> DataFrame:
-    entities = hierarchy_entities(table, sab) if entities is None else entities
-    parents = [(f"{sab}:000000", sab)] + [(f"{sab}:{offset}", f"{sab} {name}") for _, _, offset, name in HIERARCHY_LEVELS]
+def hierarchy_nodes(
+    table: DataFrame, sab: str, entities: list[DataFrame] | None = None, levels: list[tuple] = HIERARCHY_LEVELS
+) -> DataFrame:
+    entities = hierarchy_entities(table, sab, levels) if entities is None else entities
+    parents = [(f"{sab}:000000", sab)] + [(f"{sab}:{offset}", f"{sab} {name}") for _, _, offset, name in levels]
     blank = F.lit("")
     parts = [_parent_nodes(table.sparkSession, parents)]
-    for entity, (label, *_) in zip(entities, HIERARCHY_LEVELS):
+    for entity, (label, *_) in zip(entities, levels):
         parts.append(entity.select(
             F.col("id").alias("node_id"), F.col(label).alias("node_label"), blank.alias("node_definition"),
             blank.alias("node_synonyms"), iri_to_curie(F.col("iri")).alias("node_dbxrefs"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vocabweave.functions.codes import after_last, iri_to_curie, sab_of_code
 from vocabweave.functions.fixed_values import RDFS_SUBCLASS
 from vocabweave.functions.text import blank_if_null_like, number_or_zero
-from vocabweave.operators.keyed import first_per_key, salted_join
+from vocabweave.operators.keyed import first_per_key
 from vocabweave.sources.tables import union_sources
 
 
@@ -77,7 +77,7 @@ def oneshot_rels(edges: DataFrame, reference_nodes: DataFrame) -> DataFrame:
     known = first_per_key(reference_nodes.where("lbl IS NOT NULL"), ["id"], ["ord"]).select(
         F.col("id").alias("predicate"), "lbl"
     )
-    named = salted_join(edges, known, ["predicate"], "left", hot_from=edges.select("predicate"))
+    named = edges.join(known, ["predicate"], "left")
     label = F.when(F.col("predicate") == RDFS_SUBCLASS, "ISA").otherwise(F.coalesce("lbl", after_last(F.col("predicate"), "_")))
     evidence = blank_if_null_like(F.col("evidence_class")) if "evidence_class" in edges.columns else F.lit("")
     return named.select(

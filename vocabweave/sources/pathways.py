@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocabweave.functions.fixed_values import REACTION_TYPE_CODES
-from vocabweave.operators.keyed import salted_join
 from vocabweave.session import cut_lineage
 from vocabweave.sources.annotations import valueset_codes
 from vocabweave.sources.tables import union_sources
@@ -86,7 +85,7 @@ def participant_edges(tree: DataFrame, participants: DataFrame) -> DataFrame:
     reactions = tree.where((F.col("predicate") == "isa") & F.col("object").isin(REACTION_TYPE_CODES)).select("subject").distinct()
     molecules = participants.select(_event("id").alias("subject"), F.explode(F.from_json("body", PARTICIPANT)).alias("p"))
     sab = F.when(F.col("p.className") == "ReferenceGeneProduct", "UNIPROTKB").otherwise(F.upper("p.databaseName"))
-    return salted_join(molecules, reactions, ["subject"], "left_semi", hot_from=molecules.select("subject")).select(
+    return molecules.join(reactions, ["subject"], "left_semi").select(
         "subject", F.lit("has_participant").alias("predicate"), F.concat(sab, F.lit(":"), F.col("p.identifier")).alias("object")
     )
 

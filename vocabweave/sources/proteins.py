@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocabweave.functions.text import bracket_ids, first_word, outer_groups, recommended_name
-from vocabweave.operators.keyed import first_per_key, salted_join
+from vocabweave.operators.keyed import first_per_key
 
 # Annotation column -> default relation of its aspect.
 ASPECTS = [
@@ -26,7 +26,7 @@ def symbol_lookup(proteins: DataFrame, symbols: DataFrame) -> DataFrame:
         F.col("Approved symbol").alias("symbol"), F.col("HGNC ID").alias("object")
     )
     named = proteins.select(_protein_id().alias("subject"), first_word(F.col("Gene Names")).alias("symbol"))
-    return salted_join(named, ids, ["symbol"], hot_from=named.select("symbol")).select("subject", "object")
+    return named.join(ids, ["symbol"]).select("subject", "object")
 
 
 def _aspect_terms(column: str, predicate: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vocabweave.functions.codes import after_last, standardize_code, text_id
 from vocabweave.functions.fixed_values import DEFAULT_TEMPLATE_ENTITIES, OBO_DBXREF, TEMPLATE_PARENT
 from vocabweave.functions.text import blank_if_null_like, first_column, strip_marker
-from vocabweave.operators.keyed import first_per_key, salted_join
+from vocabweave.operators.keyed import first_per_key
 from vocabweave.operators.relations import standardize_relations
 from vocabweave.sources.tables import EDGE_COLUMNS
 
@@ -71,7 +71,7 @@ def unpivot_relations(sheet: DataFrame) -> DataFrame:
 def term_codes(rows: DataFrame, sheet: DataFrame) -> DataFrame:
     """``rows`` with ``object``, the code of their term; an undefined term stops the job."""
     codes = first_per_key(sheet.select("term", F.col("code").alias("object"), "ord"), ["term"], ["ord"])
-    coded = salted_join(rows, codes.drop("ord"), ["term"], "left", hot_from=rows.select("term"))
+    coded = rows.join(codes.drop("ord"), ["term"], "left")
     message = F.concat(F.lit("undefined term "), F.col("term"), F.lit(" in relations of "), F.col("subject"))
     return coded.withColumn("object", F.when(F.col("object").isNull(), F.raise_error(message)).otherwise(F.col("object")))
 
@@ -109,7 +109,7 @@ def template_entity_map(
         F.concat(F.lit("CEDAR:"), after_last(F.col("subject"), "/")).alias("subject")
     )
     named = first_per_key(entities, ["id"], ["ord"]).select(F.col("id").alias("subject"), F.array(*columns).alias("named"))
-    joined = salted_join(templates, named, ["subject"], "left", hot_from=templates)
+    joined = templates.join(named, ["subject"], "left")
     targets = F.coalesce(F.col("named"), F.array(*map(F.lit, default)))
     return joined.select("subject", F.lit("used_in_entity").alias("predicate"), F.explode(targets).alias("object")).where(
         "coalesce(object, '') <> ''"
@@ -139,7 +139,7 @@ def new_definitions(found: DataFrame, definitions: DataFrame) -> DataFrame:
 def new_definition_links(found: DataFrame, links: DataFrame, concept_codes: DataFrame) -> DataFrame:
     """(atui, cui) of found definitions whose code has a concept and whose id has no link yet."""
     pairs = found.select("atui", "code").distinct().join(links.select("atui").distinct(), "atui", "left_anti")
-    return salted_join(pairs, concept_codes.select("code", "cui").distinct(), ["code"]).select("atui", "cui").distinct()
+    return pairs.join(concept_codes.select("code", "cui").distinct(), ["code"]).select("atui", "cui").distinct()
 
 
 def append_table(new: DataFrame, path: str) -> None:

@@ -11,9 +11,8 @@ from vocabweave.functions.fixed_values import (
     OWL_TARGET, RDF_TYPE, RDFS_LABEL,
 )
 from vocabweave.functions.text import default_label
-from vocabweave.operators.keyed import LIST_LIMIT, list_cells, salted_join
+from vocabweave.operators.keyed import list_rows
 from vocabweave.operators.relations import standardize_relations
-from vocabweave.session import cut_lineage
 from vocabweave.sources.tables import union_sources
 
 
@@ -21,37 +20,26 @@ def ontology_classes(triples: DataFrame) -> DataFrame:
     return triples.where((F.col("p") == RDF_TYPE) & (F.col("o") == OWL_CLASS)).select("s").distinct()
 
 
-def class_metadata(triples: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
-    """(node_id, label, definition, synonyms, dbxrefs, namespace, synonyms_whole, dbxrefs_whole).
-
-    Synonyms and cross-references are sorted pipe lists; a class with more than ``limit`` of
-    either has one row per value of it. ``None`` stands for a missing value.
-    """
+def class_metadata(triples: DataFrame) -> DataFrame:
+    """(node_id, label, definition, namespace), one row per class; ``None`` stands for a missing value."""
     classes = ontology_classes(triples)
-    described = cut_lineage(salted_join(
-        triples.where(F.col("p").isin(RDFS_LABEL, OBO_DEFINITION, OBO_SYNONYM, OBO_DBXREF)), classes, ["s"], "left_semi"
-    ))
-
-    def smallest(predicate: str, name: str) -> DataFrame:
-        return described.where(F.col("p") == predicate).groupBy("s").agg(F.min("o").alias(name))
-
-    def listed(predicate: str, name: str) -> DataFrame:
-        values = described.where(F.col("p") == predicate).select("s", "o").distinct()
-        return list_cells(values, "s", "o", ["o"], name, limit=limit).withColumnRenamed("whole", f"{name}_whole")
-
-    none = F.lit("None")
-    return (
-        classes.join(smallest(RDFS_LABEL, "label"), "s", "left")
-        .join(smallest(OBO_DEFINITION, "definition"), "s", "left")
-        .join(listed(OBO_SYNONYM, "synonyms"), "s", "left")
-        .join(listed(OBO_DBXREF, "dbxrefs"), "s", "left")
-        .select(
-            F.col("s").alias("node_id"),
-            *[F.coalesce(F.col(c), none).alias(c) for c in ("label", "definition", "synonyms", "dbxrefs")],
-            iri_namespace(F.col("s")).alias("namespace"),
-            *[F.coalesce(F.col(c), F.lit(True)).alias(c) for c in ("synonyms_whole", "dbxrefs_whole")],
-        )
+    described = triples.where(F.col("p").isin(RDFS_LABEL, OBO_DEFINITION)).groupBy("s").agg(
+        F.min(F.when(F.col("p") == RDFS_LABEL, F.col("o"))).alias("label"),
+        F.min(F.when(F.col("p") == OBO_DEFINITION, F.col("o"))).alias("definition"),
     )
+    return classes.join(described, "s", "left").select(
+        F.col("s").alias("node_id"),
+        *[F.coalesce(F.col(c), F.lit("None")).alias(c) for c in ("label", "definition")],
+        iri_namespace(F.col("s")).alias("namespace"),
+    )
+
+
+def class_values(triples: DataFrame) -> DataFrame:
+    """(node_id, kind, pos, value): each synonym and cross-reference of a class in a row of its own, in order."""
+    kind = F.when(F.col("p") == OBO_SYNONYM, "synonym").otherwise("dbxref")
+    values = triples.where(F.col("p").isin(OBO_SYNONYM, OBO_DBXREF)).select("s", kind.alias("kind"), F.col("o").alias("value")).distinct()
+    own = values.join(ontology_classes(triples), ["s"], "left_semi").withColumn("list", F.struct("s", "kind"))
+    return list_rows(own, "list", "value", ["value"]).select(F.col("list.s").alias("node_id"), "list.kind", "pos", "value")
 
 
 def kept_entities(triples: DataFrame) -> DataFrame:
@@ -64,8 +52,8 @@ def kept_entities(triples: DataFrame) -> DataFrame:
     )
     axioms = triples.where((F.col("p") == RDF_TYPE) & (F.col("o") == OWL_AXIOM)).select("s").distinct()
     ends = triples.where(F.col("p").isin(OWL_SOURCE, OWL_TARGET))
-    ends = salted_join(ends, axioms, ["s"], "left_semi", hot_from=ends.select("s"))
-    typed = salted_join(ends, types, ["o"], "left", hot_from=ends.select("o"))
+    ends = ends.join(axioms, ["s"], "left_semi")
+    typed = ends.join(types, ["o"], "left")
     state = typed.groupBy("s").agg(
         F.max(F.coalesce("is_class", F.lit(False))).alias("any_class"),
         F.max(F.col("is_class").isNotNull() & ~F.col("is_class")).alias("any_other"),
@@ -82,8 +70,8 @@ def class_links(triples: DataFrame) -> DataFrame:
     """Triples between two classes, without types and disjointness."""
     classes = ontology_classes(triples)
     links = triples.where(~F.col("p").isin(RDF_TYPE, OWL_DISJOINT)).select("s", "p", "o").distinct()
-    started = salted_join(links, classes, ["s"], "left_semi", hot_from=links.select("s"))
-    return salted_join(started, classes.withColumnRenamed("s", "o"), ["o"], "left_semi", hot_from=links.select("o"))
+    started = links.join(classes, ["s"], "left_semi")
+    return started.join(classes.withColumnRenamed("s", "o"), ["o"], "left_semi")
 
 
 def triple_edges(triples: DataFrame, sab: str, reference: DataFrame, spatial: DataFrame | None = None) -> DataFrame:
@@ -101,18 +89,22 @@ def nodes_in_links(metadata: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def triple_nodes(triples: DataFrame, sab: str) -> DataFrame:
-    """Node table of the linked classes; the code stands in for a missing label."""
+    """Node table of the linked classes, without lists; the code stands in for a missing label."""
     missing = lambda name: F.nullif(F.col(name), F.lit("None"))
     node_id = standardize_code(F.col("node_id"), sab)
     return nodes_in_links(class_metadata(triples), class_links(triples)).select(
         node_id.alias("node_id"),
         default_label(missing("label"), node_id).alias("node_label"),
         missing("definition").alias("node_definition"),
-        missing("synonyms").alias("node_synonyms"),
-        missing("dbxrefs").alias("node_dbxrefs"),
     )
 
 
+def triple_node_values(triples: DataFrame, sab: str) -> DataFrame:
+    """(node_id, kind, pos, value): synonyms and cross-references of the linked classes."""
+    found = nodes_in_links(class_values(triples), class_links(triples))
+    return found.withColumn("node_id", standardize_code(F.col("node_id"), sab))
+
+
 def triple_stats(triples: DataFrame) -> DataFrame:
     """(metric, n): distinct nodes, triples and distinct predicates."""
     nodes = triples.select("s").union(triples.select("o")).distinct()
