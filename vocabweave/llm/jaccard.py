@@ -47,6 +47,7 @@ STARS = 2
 BLOCK_BYTES = 6 << 20
 PART_SHINGLES = 2_000_000
 HEAVY = 16
+CHUNK = 1000
 
 _LOW = np.uint64((1 << 40) - 1)
 LAST = (1 << 31) - 1
@@ -227,20 +228,19 @@ def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.where(least(bound)).where(least(F.size(F.array_intersect("t_a", "t_b")))).select("a", "b")
 
 
-def _passes(x: str, y: str):
+def _fits(n_x, pos_x, n_y, pos_y):
     """Length and positional filter of two places in prefixes."""
-    short, long = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
-    rest = F.least(F.col(f"{x}.n") - F.col(f"{x}.pos"), F.col(f"{y}.n") - F.col(f"{y}.pos"))
-    return (100 * short >= SIMILARITY * long) & ((100 + SIMILARITY) * rest >= SIMILARITY * (short + long))
+    rest = F.least(n_x - pos_x, n_y - pos_y)
+    return (100 * F.least(n_x, n_y) >= SIMILARITY * F.greatest(n_x, n_y)) & ((100 + SIMILARITY) * rest >= SIMILARITY * (n_x + n_y))
 
 
 def classes(nodes: DataFrame, stars: int = STARS) -> DataFrame:
     """``node`` and ``root`` of all nodes that are linked, but the roots, from (node, n, tokens, spread)."""
     kept = F.expr(f"slice(tokens, 1, cast(({100 - SIMILARITY} * n) div 100 + 1 - (n - size(tokens)) as int))")
     places = nodes.select("node", "n", (F.col("n") - F.size("tokens")).alias("before"), F.posexplode(kept).alias("i", "token"))
-    places = places.select("token", "node", "n", (F.col("before") + F.col("i")).alias("pos"))
-    met = places.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token")
-    places = cut_lineage(places.join(met, "token"))
+    places = places.select("token", "node", "n", "before", (F.col("before") + F.col("i")).alias("pos"))
+    often = places.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token")
+    places = cut_lineage(places.join(often, "token"))
 
     links = tested = None
     roots = None
@@ -252,10 +252,11 @@ def classes(nodes: DataFrame, stars: int = STARS) -> DataFrame:
 
     for turn in range(stars):
         here = placed()
-        order = F.struct(F.xxhash64(F.lit(turn), "node"), "node", "n", "pos", "root")
+        # the first centres are those with the fewest shingles of their own: what near copies were made from
+        order = F.struct((F.col("before") / F.col("n") if turn == 0 else F.xxhash64(F.lit(turn), "node")).alias("_o"), "node", "n", "pos", "root")
         centre = here.groupBy("token").agg(F.min(order).alias("c"), F.min("root").alias("_low"), F.max("root").alias("_high"))
         centre = centre.where("_low <> _high").select("token", "c.node", "c.n", "c.pos", "c.root")
-        ray = here.alias("x").join(centre.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & _passes("x", "y"))
+        ray = here.alias("x").join(centre.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & _fits(*(F.col(f"{t}.{c}") for t in "xy" for c in ("n", "pos"))))
         seen = ray.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("_n"))
         best = seen.groupBy("a").agg(F.max(F.struct("_n", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
         if tested is not None:
@@ -267,14 +268,20 @@ def classes(nodes: DataFrame, stars: int = STARS) -> DataFrame:
         tested = both if tested is None else tested.union(both)
         roots = cut_lineage(components(links))
 
-    # all pairs of different classes; on each shingle, one class need not meet itself
+    # all pairs of different classes; on each shingle, one class need not meet itself. The places of
+    # a shingle come as lists of about CHUNK nodes by hash, so a pair that shares many shingles
+    # is met in one group and put out once
     here = cut_lineage(placed())
-    main = here.groupBy("token").agg(F.min("root").alias("main"), F.max("root").alias("_high")).where("main <> _high").select("token", "main")
-    mixed = here.join(main, "token")
-    other = mixed.where("root <> main").alias("x")
-    condition = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-    pairs = other.join(mixed.toDF(*mixed.columns).alias("y"), condition & _passes("x", "y"))
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    main = here.groupBy("token").agg(F.min("root").alias("main"), F.max("root").alias("_high"), F.count(F.lit(1)).alias("_n")).where("main <> _high")
+    mixed = cut_lineage(here.join(main.select("token", "main", "_n"), "token"))
+    chunks = max(1, math.ceil((mixed.agg(F.max("_n")).first()[0] or 0) / CHUNK))
+    chunk = F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.lit(chunks)).alias("chunk")
+    lists = mixed.groupBy("token", chunk).agg(F.collect_list(F.struct("node", "n", "pos", "root")).alias("ys"))
+    other = mixed.where("root <> main").select("token", "node", "n", "pos", "root", "main")
+    partners = F.filter("ys", lambda y: (y["root"] != F.col("root")) & ((y["root"] == F.col("main")) | (F.col("node") < y["node"])) & _fits(F.col("n"), F.col("pos"), y["n"], y["pos"]))
+    met = other.join(lists, "token").select("node", "chunk", F.transform(partners, lambda y: y["node"]).alias("ys")).where(F.size("ys") > 0)
+    gathered = met.groupBy("node", "chunk").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
+    pairs = gathered.select(F.col("node").alias("a"), F.explode("ys").alias("b"))
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
     rest = cut_lineage(_verified(pairs, nodes))
