@@ -215,6 +215,64 @@ def test_gtf_and_skipped_header(spark, tmp_path):
     assert [(r.Organ_Level, r.Organ_ID) for r in rows.collect()] == [("L1", "U:1")]
 
 
+def test_rows_of_a_folder_keep_file_order(spark, tmp_path):
+    """Large files come first in Spark's splits, but not in the order of rows."""
+    (tmp_path / "many").mkdir()
+    sizes = [3, 4000, 1, 900]
+    for i, n in enumerate(sizes):
+        (tmp_path / "many" / f"part-{i}.tsv").write_text("name\tn\n" + "".join(f"f{i}\t{k}\n" for k in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    try:
+        rows = tables.read_text_table(spark, str(tmp_path / "many"), source_file="file").orderBy("ord").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.name, int(r.n)) for r in rows] == [(f"f{i}", k) for i, n in enumerate(sizes) for k in range(n)]
+    assert [r.ord for r in rows] == list(range(sum(sizes)))
+    assert all(r.file.endswith(f"part-{r.name[1:]}.tsv") for r in rows)
+
+
+def test_rows_are_skipped_in_every_file(spark, tmp_path):
+    (tmp_path / "notes").mkdir()
+    for name in "ab":
+        (tmp_path / "notes" / f"{name}.csv").write_text(f"note one,\nnote two\nid,text\n{name}1,\"x, y\"\n#gone,z\n{name}2,w\n")
+    rows = tables.read_text_table(spark, str(tmp_path / "notes"), ",", skip_rows=2, comment="#").orderBy("ord").collect()
+    assert [(r.id, r.text) for r in rows] == [("a1", "x, y"), ("a2", "w"), ("b1", "x, y"), ("b2", "w")]
+
+
+def test_ordered_graph_reads_back_with_the_same_ranks(spark, small, tmp_path):
+    path = str(tmp_path / "ordered")
+    tables.write_graph(small.graph, path, ordered=True)
+    back = tables.read_graph(spark, path)
+    ranked = lambda g: [(r.start_id, r.end_id, r.codeid, r.step, r.pos) for r in g.coderels.orderBy("step", "ord", "pos", "end_id").collect()]
+    assert sorted(ranked(back)) == sorted(ranked(small.graph))
+    firsts = lambda g: {r.codeid: r.first for r in g.coderels.groupBy("codeid").agg(F.min_by("start_id", F.struct("step", "ord", "pos")).alias("first")).collect()}
+    assert firsts(back) == firsts(small.graph)
+    tables.write_graph(back, path, ordered=True, overwrite=True)
+    assert sorted(ranked(tables.read_graph(spark, path))) == sorted(ranked(small.graph))
+
+
+def test_context_goes_on_after_the_last_finished_step(spark, tmp_path):
+    folder, loaded = str(tmp_path / "context"), []
+
+    def load(sab, fail=False):
+        def run():
+            loaded.append(sab)
+            if fail:
+                raise RuntimeError("stopped")
+            return edges_of(spark, [(f"{sab}:1", "p", f"{sab}:2")]), nodes_of(spark, [(f"{sab}:1", ["a:1"]), (f"{sab}:2", [""])]), source(spark, sab)
+        return run
+
+    start = tables.empty_graph(spark)
+    with pytest.raises(RuntimeError):
+        ingest.build_context(spark, start, [("A", load("A")), ("B", load("B", fail=True))], folder)
+    graph = ingest.build_context(spark, start, [("A", load("A")), ("B", load("B"))], folder)
+    assert loaded == ["A", "B", "B"]
+    assert {(r.codeid, r.step) for r in graph.coderels.collect()} == {("A:1", 1), ("A:2", 1), ("B:1", 2), ("B:2", 2)}
+    assert {r.step for r in spark.read.parquet(f"{folder}/step=0002/coderels").collect()} == {2}
+    counts = {r.node_type: (r.before, r.after) for r in spark.read.parquet(f"{folder}/step=0002/counts").collect()}
+    assert counts["CODE rels"] == (2, 4) and counts["Source"] == (1, 2)
+
+
 def test_byte_order_mark(spark, tmp_path):
     (tmp_path / "map.csv").write_text("﻿code,label\na,b\n")
     from vocabweave.operators.relations import load_small_map

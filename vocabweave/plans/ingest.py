@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,9 @@ from vocabweave.sources.tables import (
     EDGE_COLUMNS,
     NODE_COLUMNS,
     Graph,
-    load_graph,
+    load_steps,
     save_graph,
+    step_folder,
     union_sources,
     write_text_table,
 )
@@ -169,12 +171,12 @@ class Ingest:
     self_edges: DataFrame
     counts: DataFrame
 
-    def write_diagnostics(self, folder: str) -> None:
-        write_text_table(self.missing, f"{folder}/missing_nodes")
-        write_text_table(self.assigned, f"{folder}/node_concept_assignments")
-        write_text_table(shared_members(self.assigned), f"{folder}/shared_concept_members")
-        write_text_table(self.self_edges.drop("props"), f"{folder}/self_referential_edges", sep=",")
-        write_text_table(self.counts, f"{folder}/node_counts")
+    def write_diagnostics(self, folder: str, mode: str = "error") -> None:
+        write_text_table(self.missing, f"{folder}/missing_nodes", mode=mode)
+        write_text_table(self.assigned, f"{folder}/node_concept_assignments", mode=mode)
+        write_text_table(shared_members(self.assigned), f"{folder}/shared_concept_members", mode=mode)
+        write_text_table(self.self_edges.drop("props"), f"{folder}/self_referential_edges", sep=",", mode=mode)
+        write_text_table(self.counts, f"{folder}/node_counts", mode=mode)
 
 
 def ingest_source(
@@ -244,16 +246,34 @@ def build_context(
 ) -> Graph:
     """Fold sources into the graph in the given order; later ones see earlier codes.
 
-    Each step is written to its own folder below ``folder`` and read back, so a failed run
-    restarts after its last finished step and plans stay short.
+    A step writes only the rows it adds, with its diagnostics, to a folder of its own below
+    ``folder``; its counts are written last and mark it as finished. Step 0 is the graph given.
+    A run on a folder that holds finished steps goes on after the last of them.
     """
+    def finished(step: int) -> bool:
+        try:
+            return not spark.read.parquet(f"{step_folder(folder, step)}/counts").isEmpty()
+        except AnalysisException:
+            return False
+
+    def finish(step: int, added: Graph, counts: DataFrame) -> None:
+        save_graph(added, step_folder(folder, step), "overwrite")
+        counts.write.mode("overwrite").parquet(f"{step_folder(folder, step)}/counts")
+
+    if not finished(0):
+        finish(0, graph, node_counts(graph, graph))
     for step, (sab, load) in enumerate(sources, start=1):
+        if finished(step):
+            continue
+        before = load_steps(spark, folder, range(step))
         edges, nodes, source = load()
-        result = ingest_source(graph, edges, nodes, source, sab, step, mode)
-        version = f"{folder}/step={step:04d}"
-        save_graph(result.graph, version)
-        graph = load_graph(spark, version)
-    return graph
+        result = ingest_source(before, edges, nodes, source, sab, step, mode)
+        result.write_diagnostics(f"{step_folder(folder, step)}/diagnostics", "overwrite")
+        added = Graph(**{name: table.where(F.col("step") == step) for name, table in result.graph.tables().items()})
+        save_graph(added, step_folder(folder, step), "overwrite")
+        counts = node_counts(before, load_steps(spark, folder, range(step + 1)))
+        counts.write.mode("overwrite").parquet(f"{step_folder(folder, step)}/counts")
+    return load_steps(spark, folder, range(len(sources) + 1))
 
 
 # ---- concepts that change when a code's own source arrives later -------------------------

@@ -18,14 +18,18 @@ SELECT node_id, node_label, node_definition, node_synonyms, '' AS node_dbxrefs,
 
 
 @query("read_source_tables", """
-SELECT node_id, node_label, node_definition, CAST(len(string_split(node_synonyms, '|')) AS BIGINT) AS n_synonyms, unit FROM fx_file_nodes
+SELECT 'node' AS kind, node_id AS a, node_label AS b, node_definition AS c, CAST(len(string_split(node_synonyms, '|')) AS BIGINT) AS n_synonyms, unit FROM fx_file_nodes
+UNION ALL SELECT 'edge', subject, predicate, object, 0, '' FROM fx_edges
 """)
 def read_source_tables(inputs: Inputs) -> DataFrame:
     folder = shared_folder(inputs.spark, "source")
     tables.write_text_table(inputs.view("fx_file_nodes"), f"{folder}/nodes")
     tables.write_text_table(inputs.sql("SELECT subject, predicate, object FROM fx_edges"), f"{folder}/edges")
-    _, nodes = tables.read_source(inputs.spark, f"{folder}/edges", f"{folder}/nodes")
-    return nodes.select("node_id", "node_label", "node_definition", F.size("node_synonyms").cast("bigint").alias("n_synonyms"), "unit")
+    edges, nodes = tables.read_source(inputs.spark, f"{folder}/edges", f"{folder}/nodes")
+    named = lambda kind, columns, n, unit: [F.lit(kind).alias("kind"), *(F.col(c).alias(a) for a, c in zip("abc", columns)), n.cast("bigint").alias("n_synonyms"), unit.alias("unit")]
+    return nodes.select(named("node", ["node_id", "node_label", "node_definition"], F.size("node_synonyms"), F.col("unit"))).unionByName(
+        edges.select(named("edge", tables.EDGE_COLUMNS, F.lit(0), F.lit("")))
+    )
 
 
 VIEWS["fx_text_rows"] = """
@@ -35,11 +39,10 @@ SELECT l_returnflag AS flag, coalesce(nullif(l_linestatus, 'O'), '') AS status,
 @query("text_scan_distinct", "SELECT DISTINCT flag, status, part FROM fx_text_rows")
 def text_scan_distinct(inputs: Inputs) -> DataFrame:
     folder = shared_folder(inputs.spark, "scan")
-    inputs.sql("SELECT concat(flag, chr(9), status, chr(9), part, chr(9), 'extra') AS value FROM fx_text_rows").write.text(folder)
-    rows = tables.read_text_table(
-        inputs.spark, folder, header=False, columns=["flag", "status", "part"], quote="", skip_malformed=False
-    )
-    return rows.drop("ord").distinct()
+    # one column whose name is the header; its rows are longer than that
+    lines = inputs.sql("SELECT concat(flag, chr(9), status, chr(9), part, chr(9), 'extra') AS value FROM fx_text_rows")
+    lines.toDF("flag\tstatus\tpart").write.option("header", True).option("sep", "\x01").option("quote", "").csv(folder)
+    return tables.scan_text_distinct(inputs.spark, folder)
 
 
 # ---- documents ---------------------------------------------------------------------------
@@ -87,8 +90,8 @@ UNION ALL SELECT concat('{"label":"', predicate, '","start":{"properties":{"id":
 
 def parsed_objects(inputs: Inputs) -> DataFrame:
     rows = inputs.view("fx_objects")
-    parsed = rows.select(F.from_json("value", tables.GRAPH_OBJECT).alias("o"), F.lit(0).alias("step"), F.col("ord").cast("bigint").alias("ord"))
-    return parsed.select("o.*", "step", "ord")
+    parsed = rows.select(F.from_json("value", tables.GRAPH_OBJECT).alias("o"), F.col("ord").cast("bigint").alias("ord"))
+    return parsed.select("o.*", "ord").na.fill(0, ["step", "pos"])
 
 
 @query("graph_split_kinds", """
@@ -119,27 +122,26 @@ def graph_split_kinds(inputs: Inputs) -> DataFrame:
 
 
 @query("graph_sample", """
-SELECT * FROM (SELECT 'rel_labels' AS kind, id FROM fx_rel_labels ORDER BY ord LIMIT 3)
+SELECT * FROM (SELECT 'rel_labels' AS kind, id FROM fx_rel_labels ORDER BY ord LIMIT 49)
 UNION ALL SELECT * FROM (SELECT 'concepts', id FROM fx_concepts ORDER BY ord LIMIT (SELECT 50 - 1 - count(*) FROM fx_rel_labels))
 UNION ALL SELECT * FROM (SELECT 'coderels', codeid FROM fx_coderels ORDER BY ord LIMIT 40)
 """)
 def graph_sample(inputs: Inputs) -> DataFrame:
     graph = tables.sample_graph(base_graph(inputs), max_nodes=50, max_rels=40)
-    first_labels = graph.rel_labels.orderBy("ord").limit(3)
     return tables.union_sources([
-        first_labels.select(F.lit("rel_labels").alias("kind"), "id"),
+        graph.rel_labels.select(F.lit("rel_labels").alias("kind"), "id"),
         graph.concepts.select(F.lit("concepts").alias("kind"), "id"),
         graph.coderels.select(F.lit("coderels").alias("kind"), F.col("codeid").alias("id")),
     ])
 
 
 @query("graph_to_json", """
-SELECT 1 AS section, '{"labels":["Source"],"properties":{"id":"PART:PART","name":"PART","description":"","sab":"PART","source_version":"1","source":"","ttyl":["PT"]}}' AS value
-UNION ALL SELECT 3, concat('{"labels":["Rel_Label"],"properties":{"id":"', id, '","rel_label":"', rel_label, '","def":"', def, '","sab":"', sab, '"}}') FROM fx_rel_labels
-UNION ALL SELECT 4, concat('{"labels":["Concept"],"properties":{"id":"', id, '","pref_term":"', pref_term, '","sab":"', sab, '"}}') FROM fx_concepts
-UNION ALL SELECT 5, concat('{"labels":["Term"],"properties":{"id":"', id, '"}}') FROM fx_terms
+SELECT 1 AS section, '{"labels":["Source"],"properties":{"id":"PART:PART","name":"PART","description":"","sab":"PART","source_version":"1","source":"","ttyl":["PT"]},"step":0}' AS value
+UNION ALL SELECT 3, concat('{"labels":["Rel_Label"],"properties":{"id":"', id, '","rel_label":"', rel_label, '","def":"', def, '","sab":"', sab, '"},"step":0}') FROM fx_rel_labels
+UNION ALL SELECT 4, concat('{"labels":["Concept"],"properties":{"id":"', id, '","pref_term":"', pref_term, '","sab":"', sab, '"},"step":0}') FROM fx_concepts
+UNION ALL SELECT 5, concat('{"labels":["Term"],"properties":{"id":"', id, '"},"step":0}') FROM fx_terms
 UNION ALL SELECT 7, concat('{"label":"CODE","start":{"properties":{"id":"', start_id, '"}},"end":{"properties":{"id":"', end_id,
-  '"}},"properties":{"sab":"', sab, '","def":"","codeid":"', codeid, '","tty":"', tty, '"}}') FROM fx_coderels
+  '"}},"properties":{"sab":"', sab, '","def":"","codeid":"', codeid, '","tty":"', tty, '"},"step":0,"pos":0}') FROM fx_coderels
 """)
 def graph_to_json(inputs: Inputs) -> DataFrame:
     return tables.graph_objects(base_graph(inputs)).select("section", "value")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ DETAIL = (
 PARTICIPANT = "array<struct<className:string,databaseName:string,identifier:string>>"
 
 
-def flatten_trees(trees: DataFrame, text: str, keep: Sequence[str] = (), max_depth: int = 100) -> DataFrame:
+def flatten_trees(trees: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., parent, id, type, depth): every node of JSON trees of any depth.
 
     Each round parses one level and explodes its children, which stay text until their own
@@ -28,15 +29,13 @@ def flatten_trees(trees: DataFrame, text: str, keep: Sequence[str] = (), max_dep
     """
     level = trees.select(*keep, F.lit(None).cast("string").alias("parent"), F.col(text).alias("body"))
     done = []
-    for depth in range(max_depth + 1):
+    for depth in count():
         parsed = cut_lineage(level.select(*keep, "parent", F.from_json("body", EVENT).alias("e")))
         if parsed.isEmpty():
             break
         done.append(parsed.select(*keep, "parent", F.col("e.stId").alias("id"), F.col("e.type").alias("type"), F.lit(depth).alias("depth")))
         level = parsed.select(*keep, F.col("e.stId").alias("parent"), F.explode("e.children").alias("body"))
-    else:
-        raise ValueError(f"tree deeper than {max_depth}")
-    return union_sources(done)
+    return union_sources(done) if done else parsed.select(*keep, "parent", F.lit("").alias("id"), F.lit("").alias("type"), F.lit(0).alias("depth"))
 
 
 def _event(name: str):

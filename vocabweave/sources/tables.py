@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, fields, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vocabweave.functions.fixed_values import GTF_COLUMNS
 from vocabweave.functions.text import blank_to_int, pipe_split
 from vocabweave.operators.keyed import first_per_key
-from vocabweave.session import shared_folder
+from vocabweave.session import cut_lineage, shared_folder
 
 EDGE_COLUMNS = ["subject", "predicate", "object"]
 NODE_COLUMNS = ["node_id", "node_label", "node_definition", "node_synonyms", "node_dbxrefs"]
@@ -61,35 +61,71 @@ def empty_graph(spark: SparkSession) -> Graph:
 # ---- text tables -------------------------------------------------------------------------
 
 
+PLACE = ["_file", "_block", "_row"]
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """``df``, straight from a file reader, with the file and place each row came from."""
+    return df.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
+    )
+
+
+def in_file_order(placed: DataFrame, name: str = "ord", within: str | None = None) -> DataFrame:
+    """Rows of ``_placed`` numbered from 0 by (file, place in it), and ``within`` each file too.
+
+    Spark reads the splits of a folder in any order, but each from front to back. The rows are
+    written once; one row per split gives the shift, so no row passes through a shuffle.
+    """
+    rows = cut_lineage(placed)
+    splits = rows.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = lambda *keys: F.coalesce(
+        F.sum("_n").over(Window.partitionBy(*keys).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    shifts = splits.select("_file", "_block", (before() - F.col("_first")).alias("_all"), (before("_file") - F.col("_first")).alias("_own"))
+    numbered = rows.join(F.broadcast(shifts), ["_file", "_block"])
+    columns = [c for c in placed.columns if c not in PLACE]
+    extra = [(F.col("_row") + F.col("_own")).alias(within), "_file"] if within else []
+    return numbered.select(*[f"`{c}`" for c in columns], *extra, (F.col("_row") + F.col("_all")).alias(name))
+
+
 def read_text_table(
     spark: SparkSession, path: str | list[str], sep: str = "\t", header: bool = True,
     columns: Sequence[str] | None = None, comment: str | None = None, skip_malformed: bool = True,
-    quote: str = '"', skip_rows: int = 0,
+    quote: str = '"', skip_rows: int = 0, source_file: str | None = None,
 ) -> DataFrame:
     """Delimited text with every column a string, blanks for missing cells and a row order.
 
-    ``columns`` names the columns of a file without (or instead of) a header. ``.gz`` files
-    are read as they are; one such file is one task, so spread it before heavy work.
+    ``path`` is a file, a folder or a list of them; rows are in order of file name and place.
+    ``columns`` names the columns of a file without (or instead of) a header. ``skip_rows``
+    lines are left out at the front of every file; a quoted line break ends a record then.
+    ``source_file`` names a column for the file a row came from. ``.gz`` files are read as they
+    are; one such file is one task, so spread it before heavy work.
     """
-    reader = (
-        spark.read.option("sep", sep).option("quote", quote).option("escape", quote or "\\").option("header", header)
-        .option("mode", "DROPMALFORMED" if skip_malformed else "PERMISSIVE")
-        .option("encoding", "UTF-8")
-    )
-    if comment:
-        reader = reader.option("comment", comment)
+    options = {
+        "sep": sep, "quote": quote, "escape": quote or "\\", "encoding": "UTF-8", "mode": "DROPMALFORMED" if skip_malformed else "PERMISSIVE",
+        **({"comment": comment} if comment else {}),
+    }
     if skip_rows:
-        lines = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
-        names = columns or lines.where(F.col("_line") == skip_rows).first()[0].split(sep)
+        lines = in_file_order(_placed(spark.read.text(path)), within="_line")
+        names = columns or lines.where(F.col("_line") == skip_rows).orderBy("_file").first()["value"].split(sep)
+        body = lines.where(F.col("_line") >= skip_rows + (1 if header else 0)).where("trim(value) <> ''")
+        if comment:
+            body = body.where(~F.col("value").startswith(comment))
         schema = ", ".join(f"`{name.strip()}` string" for name in names)
-        body = lines.where(F.col("_line") >= skip_rows + (1 if header else 0))
-        table = body.select(F.from_csv("value", schema, {"sep": sep}).alias("row")).select("row.*")
+        parsed = {k: v for k, v in options.items() if k != "mode"} | {"columnNameOfCorruptRecord": "_broken"}
+        rows = body.select(F.from_csv("value", schema + ", _broken string", parsed).alias("row"), "_file", "ord")
+        if skip_malformed:
+            rows = rows.where("row._broken IS NULL")
+        table = rows.select("row.*", "_file", "ord").drop("_broken")
     else:
+        reader = spark.read.options(**options).option("header", header)
         if columns:
             reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in columns]))
-        table = reader.csv(path)
-    table = table.select([F.col(f"`{name}`").alias(name.lstrip("﻿")) for name in table.columns])
-    return table.na.fill("").withColumn("ord", F.monotonically_increasing_id())
+        table = in_file_order(_placed(reader.csv(path)), within="_line").drop("_line")
+    table = table.withColumnRenamed("_file", source_file) if source_file else table.drop("_file")
+    table = table.select([F.col(f"`{name}`").alias(name.lstrip("\ufeff")) for name in table.columns])
+    return table.na.fill("")
 
 
 def read_source(spark: SparkSession, edge_path: str, node_path: str) -> tuple[DataFrame, DataFrame]:
@@ -201,7 +237,7 @@ def source_row(registry: DataFrame, sab: str) -> DataFrame:
 GRAPH_OBJECT = (
     "labels array<string>, label string, "
     "start struct<properties:struct<id:string>>, `end` struct<properties:struct<id:string>>, "
-    "properties map<string,string>"
+    "properties map<string,string>, step int, pos bigint"
 )
 NODE_KINDS = {"Source": "sources", "Node_Label": "node_labels", "Rel_Label": "rel_labels", "Concept": "concepts", "Term": "terms"}
 CODEREL_KEYS = ["sab", "def", "codeid", "tty"]
@@ -217,7 +253,7 @@ def split_kinds(objects: DataFrame) -> DataFrame:
 
 
 def graph_from_objects(objects: DataFrame) -> Graph:
-    """Flat tables from graph objects (columns of GRAPH_OBJECT, ``step`` and ``ord``).
+    """Flat tables from graph objects (columns of GRAPH_OBJECT and ``ord``).
 
     The objects are parsed once and stored with one partition per kind; each table then
     reads only its own.
@@ -249,16 +285,16 @@ def graph_from_objects(objects: DataFrame) -> Graph:
         concepts=table("concepts", "labels", prop("id"), prop("pref_term"), prop("sab")),
         terms=first_per_key(table("terms", prop("id")), ["id"], ["step", "ord"]),
         coderels=table(
-            "coderels", start, end, *[prop(key) for key in CODEREL_KEYS], rest(*CODEREL_KEYS),
-        ).withColumn("pos", F.lit(0).cast("bigint")),
+            "coderels", start, end, *[prop(key) for key in CODEREL_KEYS], rest(*CODEREL_KEYS), "pos",
+        ).select(*T.StructType.fromDDL(GRAPH_SCHEMAS["coderels"]).names),
         rels=table("rels", "label", start, end, prop("sab"), rest("sab")),
     )
 
 
 def read_graph(spark: SparkSession, path: str) -> Graph:
-    """Graph from JSON lines, one object per line."""
-    objects = spark.read.schema(GRAPH_OBJECT).json(path)
-    return graph_from_objects(objects.withColumn("step", F.lit(0)).withColumn("ord", F.monotonically_increasing_id()))
+    """Graph from JSON lines, one object per line, in order of file and line."""
+    objects = in_file_order(_placed(spark.read.schema(GRAPH_OBJECT).json(path)))
+    return graph_from_objects(objects.na.fill(0, ["step", "pos"]))
 
 
 def sample_graph(graph: Graph, max_nodes: int = 0, max_rels: int = 0) -> Graph:
@@ -283,15 +319,16 @@ def sample_graph(graph: Graph, max_nodes: int = 0, max_rels: int = 0) -> Graph:
 def graph_objects(graph: Graph) -> DataFrame:
     """JSON text of every object, with the section and place it has in an ordered file."""
     def node(section: int, df: DataFrame, label, props: list) -> DataFrame:
-        body = F.struct(label.alias("labels"), F.struct(*props).alias("properties"))
+        body = F.struct(label.alias("labels"), F.struct(*props).alias("properties"), "step")
         return df.select(F.lit(section).alias("section"), "step", "ord", F.to_json(body).alias("value"))
 
-    def link(section: int, df: DataFrame, label, props: list[str]) -> DataFrame:
+    def link(section: int, df: DataFrame, label, props: list[str], *places: str) -> DataFrame:
         end = lambda name: F.struct(F.struct(F.col(name).alias("id")).alias("properties"))
         known = F.create_map(*[item for p in props for item in (F.lit(p), F.coalesce(F.col(p), F.lit("")))])
         body = F.struct(
             label.alias("label"), end("start_id").alias("start"), end("end_id").alias("end"),
             F.map_concat(known, F.coalesce("props", F.from_json(F.lit("{}"), "map<string,string>"))).alias("properties"),
+            "step", *places,
         )
         return df.select(F.lit(section).alias("section"), "step", "ord", F.to_json(body).alias("value"))
 
@@ -306,16 +343,19 @@ def graph_objects(graph: Graph) -> DataFrame:
         node(4, graph.concepts, F.col("labels"), cols("id", "pref_term", "sab")),
         node(5, graph.terms, one("Term"), cols("id")),
         link(6, graph.rels, F.col("label"), ["sab"]),
-        link(7, graph.coderels, F.lit("CODE"), CODEREL_KEYS),
+        link(7, graph.coderels, F.lit("CODE"), CODEREL_KEYS, "pos"),
     ])
 
 
-def write_graph(graph: Graph, path: str, ordered: bool = False, overwrite: bool = False) -> None:
+def write_graph(graph: Graph, path: str, ordered: bool = False, overwrite: bool = False, aside: bool = True) -> None:
     """Graph as JSON lines: a folder per section, or one globally sorted set of files.
 
-    A path that is being read must not be overwritten; write aside and swap.
+    ``overwrite`` replaces what is there. With ``aside`` the text is first written to the shared
+    folder, so that ``path`` may be what the graph was read from; without it, it must not be.
     """
     objects = graph_objects(graph)
+    if overwrite and aside:
+        objects = cut_lineage(objects)
     mode = "overwrite" if overwrite else "error"
     if ordered:
         objects.orderBy("section", "step", "ord").select("value").write.mode(mode).text(path)
@@ -323,11 +363,21 @@ def write_graph(graph: Graph, path: str, ordered: bool = False, overwrite: bool
         objects.select("section", "value").write.mode(mode).partitionBy("section").text(path)
 
 
-def save_graph(graph: Graph, path: str) -> None:
-    """Graph tables as Parquet below a new folder."""
+def save_graph(graph: Graph, path: str, mode: str = "error") -> None:
+    """Graph tables as Parquet below a folder."""
     for name, table in graph.tables().items():
-        table.write.parquet(f"{path}/{name}")
+        table.write.mode(mode).parquet(f"{path}/{name}")
 
 
 def load_graph(spark: SparkSession, path: str) -> Graph:
     return Graph(**{name: spark.read.parquet(f"{path}/{name}") for name in GRAPH_SCHEMAS})
+
+
+def load_steps(spark: SparkSession, folder: str, steps: Sequence[int]) -> Graph:
+    """Graph of the rows that the given steps have added below ``folder``."""
+    paths = [step_folder(folder, step) for step in steps]
+    return Graph(**{name: spark.read.schema(schema).parquet(*[f"{p}/{name}" for p in paths]) for name, schema in GRAPH_SCHEMAS.items()})
+
+
+def step_folder(folder: str, step: int) -> str:
+    return f"{folder}/step={step:04d}"
