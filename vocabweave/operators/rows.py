@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedupe_rows(df: DataFrame) -> DataFrame:
-    return df.distinct()
-
-
 def dedupe_counts(df: DataFrame) -> DataFrame:
     """(rows_before, rows_after) of removing repeated rows."""
     groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))

@@ -11,7 +11,6 @@ from vocabweave.functions.codes import strip_version, version_of
 from vocabweave.functions.fixed_values import GTF_KEYS
 from vocabweave.functions.text import tidy_key_values, values_of_key
 from vocabweave.operators.keyed import first_per_key
-from vocabweave.session import cut_lineage
 from vocabweave.sources.tables import union_sources
 
 # Columns of the four metadata files, joined on transcript_id.
@@ -42,11 +41,15 @@ def split_key_values(annotations: DataFrame, keys: Sequence[str] = GTF_KEYS) ->
 
 
 def enrich(annotations: DataFrame, metadata: dict[str, DataFrame]) -> DataFrame:
-    """Annotations with the four metadata files; a transcript may fan out."""
-    whole = annotations
+    """Annotations with the four metadata files; a transcript may fan out.
+
+    Genes have a blank transcript, which may be a third of all rows; these take no part in the joins.
+    """
+    whole = annotations.where("transcript_id <> ''")
     for name, columns in METADATA_COLUMNS.items():
         side = metadata[name].select("transcript_id", *columns, F.col("ord").alias(f"{name}_ord"))
         whole = whole.join(side, ["transcript_id"], "left")
+    whole = whole.unionByName(annotations.where("coalesce(transcript_id, '') = ''"), allowMissingColumns=True)
     return whole.na.fill("", [c for columns in METADATA_COLUMNS.values() for c in columns])
 
 
@@ -69,8 +72,8 @@ def valueset_codes(values: DataFrame, valueset: DataFrame, value: str = "value")
 def annotation_edges(enriched: DataFrame, valueset: DataFrame) -> DataFrame:
     """Distinct edges of transcripts and features.
 
-    Value-set objects of all predicates are looked up in one join over distinct
-    (feature, predicate, value) rows.
+    The columns that edges come from are made distinct before they are spread, as metadata
+    repeats most of them; value-set objects of all predicates are looked up in one join.
     """
     def one(subject: Column, predicate: str, obj: Column, keep: Column) -> Column:
         return F.struct(subject.alias("subject"), F.lit(predicate).alias("predicate"), F.when(keep, obj).alias("object"))
@@ -93,24 +96,27 @@ def annotation_edges(enriched: DataFrame, valueset: DataFrame) -> DataFrame:
     feature = F.when(filled("transcript_id"), transcript).otherwise(_ensembl("gene_id"))
     strand = F.when(F.col("genomic_strand") == "+", "positive").when(F.col("genomic_strand") == "-", "negative")
     plain = exploded(
-        enriched,
+        enriched.select(feature.alias("feature"), "RefSeq_RNA_id", "RefSeq_protein_id").where(filled("RefSeq_RNA_id") | filled("RefSeq_protein_id")).distinct(),
         *[
-            one(feature, "has_refSeq_ID", prefixed("REFSEQ", name), filled(name))
+            one(F.col("feature"), "has_refSeq_ID", prefixed("REFSEQ", name), filled(name))
             for name in ("RefSeq_RNA_id", "RefSeq_protein_id")
         ],
     )
-    parents = enriched.where(F.trim("ont") != "").select(
-        feature.alias("subject"), F.lit("isa").alias("predicate"), F.explode(F.split("ont", ",")).alias("object")
+    parents = enriched.where(F.trim("ont") != "").select(feature.alias("feature"), "ont").distinct().select(
+        F.col("feature").alias("subject"), F.lit("isa").alias("predicate"), F.explode(F.split("ont", ",")).alias("object")
     )
+    own = F.col("feature")
+    described = enriched.select(
+        feature.alias("feature"), "chromosome_name", "feature_type", "gene_type", "transcript_type", strand.alias("strand")
+    ).distinct()
     valued = exploded(
-        enriched,
-        one(feature, "located_in", F.col("chromosome_name"), F.lit(True)),
-        one(feature, "is_feature_type", F.col("feature_type"), F.lit(True)),
-        one(feature, "is_gene_biotype", F.col("gene_type"), filled("gene_type")),
-        one(feature, "is_transcript_biotype", F.col("transcript_type"), filled("transcript_type")),
-        one(feature, "has_directional_form_of", strand, F.lit(True)),
-    )
-    valued = cut_lineage(valued.withColumnRenamed("object", "value").distinct())
+        described,
+        one(own, "located_in", F.col("chromosome_name"), F.lit(True)),
+        one(own, "is_feature_type", F.col("feature_type"), F.lit(True)),
+        one(own, "is_gene_biotype", F.col("gene_type"), filled("gene_type")),
+        one(own, "is_transcript_biotype", F.col("transcript_type"), filled("transcript_type")),
+        one(own, "has_directional_form_of", F.col("strand"), F.lit(True)),
+    ).withColumnRenamed("object", "value")
     coded = valueset_codes(valued, valueset).select(
         "subject", "predicate", F.col("code").alias("object")
     )

@@ -120,26 +120,37 @@ def template_entity_map(
 
 
 def definition_rows(summaries: DataFrame, sab: str = "REFSEQ") -> DataFrame:
-    """Distinct non-blank definitions of (uid, summary) rows with their text id and code."""
+    """Distinct non-blank definitions of (uid, summary) rows with their code and the digest of their text id.
+
+    The text id is longer than the text, so rows are told apart and joined by its digest and
+    the id is spelled only in what comes out.
+    """
     return (
         summaries.where("coalesce(summary, '') <> ''")
         .select(
-            text_id(F.col("summary")).alias("atui"), F.lit(sab).alias("sab"), F.col("summary").alias("def"),
+            F.sha2(text_id(F.col("summary")), 256).alias("digest"), F.lit(sab).alias("sab"), F.col("summary").alias("def"),
             F.concat(F.lit("ENTREZ:"), F.col("uid").cast("string")).alias("code"),
         )
-        .distinct()
+        .dropDuplicates(["digest", "code"])
     )
 
 
+def _digests(table: DataFrame) -> DataFrame:
+    return table.select(F.sha2("atui", 256).alias("digest")).distinct()
+
+
 def new_definitions(found: DataFrame, definitions: DataFrame) -> DataFrame:
-    """Definitions whose id the table ``definitions`` (atui, ...) does not have."""
-    return found.select("atui", "sab", "def").distinct().join(definitions.select("atui").distinct(), "atui", "left_anti")
+    """(atui, sab, def) of definitions whose id the table ``definitions`` (atui, ...) does not have."""
+    new = found.join(_digests(definitions), ["digest"], "left_anti").dropDuplicates(["digest", "sab"])
+    return new.select(text_id(F.col("def")).alias("atui"), "sab", "def")
 
 
 def new_definition_links(found: DataFrame, links: DataFrame, concept_codes: DataFrame) -> DataFrame:
     """(atui, cui) of found definitions whose code has a concept and whose id has no link yet."""
-    pairs = found.select("atui", "code").distinct().join(links.select("atui").distinct(), "atui", "left_anti")
-    return pairs.join(concept_codes.select("code", "cui").distinct(), ["code"]).select("atui", "cui").distinct()
+    pairs = found.select("digest", "code").distinct().join(_digests(links), ["digest"], "left_anti")
+    linked = pairs.join(concept_codes.select("code", "cui").distinct(), ["code"]).select("digest", "cui").distinct()
+    texts = found.dropDuplicates(["digest"]).select("digest", text_id(F.col("def")).alias("atui"))
+    return linked.join(texts, ["digest"]).select("atui", "cui")
 
 
 def append_table(new: DataFrame, path: str) -> None:
