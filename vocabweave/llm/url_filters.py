@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vocabweave.session import cut_lineage
+
 #: (verdict, rule), the rule as host and path beginning
 RULES = [
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
@@ -79,7 +81,7 @@ def judge(
     host, path = parsed(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
     urls = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).withColumn("fit", fitting(F.col("host"), F.col("path"), rules))
-    known = templates(urls, min_support)
+    known = cut_lineage(templates(cut_lineage(urls), min_support))  # read by every count below
 
     blocked = F.sum(F.when(F.col("fit.verdict") == "block", F.col("n")).otherwise(0)).alias("blocked")
     labelled = F.sum(F.when(F.col("fit").isNotNull(), F.col("n")).otherwise(0)).alias("labelled")
