@@ -302,7 +302,7 @@ def test_changed_concepts(spark):
 def test_definitions_are_appended_once(spark, tmp_path):
     found = sheets.definition_rows(spark.createDataFrame([(1, "text"), (2, ""), (1, "text")], "uid bigint, summary string"))
     path = str(tmp_path / "defs")
-    sheets.append_table(found.select("atui", "sab", "def"), path)
+    sheets.append_table(sheets.new_definitions(found, spark.createDataFrame([], "atui string")), path)
     assert sheets.new_definitions(found, spark.read.parquet(path)).count() == 0
     assert found.first().code == "ENTREZ:1"
 
