@@ -11,7 +11,7 @@ from vocabweave.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, name, folder):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('/root/testdata/{folder}/{table}.parquet')")
     twin = connection.execute(ORACLES[name])
     columns = sorted(d[0] for d in twin.description)

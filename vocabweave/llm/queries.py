@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.llm import bpe, decontamination, jaccard, language, licences, neighbours, repeats, suffix_tree, toxicity, url_filters
+from vocabweave.llm import bpe, decontamination, jaccard, language, licences, neighbours, repeats, suffix_tree, toxicity, twins, url_filters
 from vocabweave.llm.blocks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,7 +27,7 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-@register("op4_decontamination")
+@register("op4_decontamination", twins.DECONTAMINATION)
 def op4(table):
     return decontamination.digest(decontamination.passages(table("documents"), table("benchmark")))
 
@@ -66,12 +66,12 @@ def op3(table):
     return neighbours.nearest(table("embeddings"), F.col("vec_id") % 20 == 0)
 
 
-@register("op1_ngram_jaccard_join")
+@register("op1_ngram_jaccard_join", twins.JACCARD)
 def op1(table):
     return jaccard.join(table("documents"))
 
 
-@register("op10_repeated_passages")
+@register("op10_repeated_passages", twins.REPEATS)
 def op10(table):
     return repeats.digest(table("documents"))
 
