@@ -18,7 +18,7 @@ A symbol is scored by the longest state that its text so far ends in.
 
 Each block sends a word or pair once, so a word that fills a third of all texts costs a row per
 block. The gathered counts grow with the training texts. Words are told apart by 64-bit hashes cut to 40 bits and
-their part, contexts and next words within a part by 32 bits. Pairs are tested against the parent's
+their part, contexts and next words within a part by 32 bits, next words of longer contexts by 24. Pairs are tested against the parent's
 probability as the block sees it, longer contexts against the exact one.
 
 Null and empty texts are one end. Rows that are repeated count and are scored as often as they
@@ -66,13 +66,13 @@ def _symbols(data: np.ndarray, offsets: np.ndarray, parts: int) -> tuple[np.ndar
     return ((part << np.uint64(40)) | (hashes & _LOW)).astype(np.int64), bounds + np.arange(len(bounds))
 
 
-def _low(names: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).ravel()
+def _low(names: np.ndarray, size: int = 5) -> np.ndarray:
+    return np.ascontiguousarray(names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]).ravel()
 
 
-def _named(low: bytes, part: int) -> np.ndarray:
-    out = np.zeros((len(low) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(low, np.uint8).reshape(-1, 5)
+def _named(low: bytes, part: int, size: int = 5) -> np.ndarray:
+    out = np.zeros((len(low) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(low, np.uint8).reshape(-1, size)
     return out.view("<i8").ravel() | (part << 40)
 
 
@@ -291,7 +291,7 @@ def _scorer(parts: int, shared, normal: float, limit: float):
             own = own_order[cuts[q] : cuts[q + 1]]
             doc = owner[longer[own]]
             out.append((q, texts[0][1], "longer", joined(
-                name[own].tobytes(), after[own].tobytes(), bits[own].tobytes(), pack(np.diff(doc, prepend=0)), np.packbits(taught[doc]).tobytes(),
+                name[own].tobytes(), _low(after[own], 3).tobytes(), bits[own].tobytes(), pack(np.diff(doc, prepend=0)), np.packbits(taught[doc]).tobytes(),
             )))
         return _table(out)
 
@@ -307,7 +307,7 @@ def _longer(limit: float, gain: float):
         asked = [(r, parted(r[3])) for r in rows if r[2] == "longer"]
         if asked:
             context = np.concatenate([np.frombuffer(x[0], "<u4") for _, x in asked])
-            following = np.concatenate([np.frombuffer(x[1], "<u4") for _, x in asked])
+            following = np.concatenate([_named(x[1], 0, 3) for _, x in asked]).astype(np.uint64)
             parent = 2.0 ** (-np.concatenate([np.frombuffer(x[2], "<u2") for _, x in asked]).astype(float) / 1024)
             taught = np.concatenate([np.unpackbits(np.frombuffer(x[4], np.uint8), count=len(x[0]) // 4) for _, x in asked]).astype(float)
             keys, first, inverse = np.unique((context.astype(np.uint64) << np.uint64(32)) | following, return_index=True, return_inverse=True)
