@@ -28,7 +28,7 @@ def test_all_documents_against_the_library(spark):
 
 ODD = [
     (1, None), (2, ""), (3, " "), (4, " \n\t  a"), (5, "it's  we'll 12 000 x"), (6, "日本語 text العربية 😀😀"), (6, "日本語 text العربية 😀😀"),
-    (None, "a<|endoftext|>b"), (7, "x" * 5000), (8, "\x00\x01''s'S"), (9, "word " * 30_000), (10, " " * 3000 + "end"),
+    (None, "a<|endoftext|>b"), ((1 << 62) + 1, "big id"), (7, "x" * 5000), (8, "\x00\x01''s'S"), (9, "word " * 30_000), (10, " " * 3000 + "end"),
 ]
 
 
@@ -36,6 +36,7 @@ ODD = [
 def test_odd_texts(spark, documents, block_chars, part_bytes):
     sizes = {"block_chars": block_chars, "part_bytes": part_bytes}
     expected = sorted((brute(*r) for r in ODD), key=str)
+    assert rows(bpe.digest(documents(ODD).coalesce(1), **sizes)) == expected  # all in one block
     assert rows(bpe.digest(documents(ODD), **sizes)) == expected
     decoded = bpe.decode(bpe.encode(documents(ODD), **sizes)).collect()
     found = [(r.doc_id, len(r.ids) // 4, *(hashlib.sha256(x).hexdigest() for x in (r.ids, r.decoded))) for r in decoded]

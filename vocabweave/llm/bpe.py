@@ -85,8 +85,8 @@ def unpack_words(blob: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
-ROWS = "part int, block string, kind string, doc_ids array<bigint>, payload binary"
-SPLIT = pa.schema([("part", pa.int32()), ("block", pa.string()), ("kind", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
+ROWS = "part int, block string, kind string, payload binary"
+SPLIT = pa.schema([("part", pa.int32()), ("block", pa.string()), ("kind", pa.string()), ("payload", pa.binary())])
 
 
 def _splitter(parts: int, block_chars: int):
@@ -101,16 +101,18 @@ def _splitter(parts: int, block_chars: int):
         rank[order] = np.arange(len(words))
         spelled = [w.encode() for w in words]
         owner = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in spelled], np.int64)
-        payload = joined(len(words).to_bytes(4, "little"), pack(np.array([len(t) for t in texts])), pack(rank[codes]))
+        known = np.array([i is not None for i in ids]).tobytes()
+        numbers = np.array([i or 0 for i in ids], "<i8").tobytes()
+        payload = joined(len(words).to_bytes(4, "little"), pack(np.array([len(t) for t in texts])), pack(rank[codes]), known, numbers)
         # a task that runs again gives its blocks the same names
         digest = xxhash.xxh3_64_intdigest(payload)
         block = f"{TaskContext.get().partitionId()}-{digest:x}"
-        rows = [(digest % parts, block, "texts", ids, payload)]
+        rows = [(digest % parts, block, "texts", payload)]
         by_part = np.lexsort((rank, owner))
         cuts = np.searchsorted(owner[by_part], np.arange(parts + 1))
         for part in np.flatnonzero(np.diff(cuts)).tolist():
             own = by_part[cuts[part] : cuts[part + 1]]
-            rows.append((part, block, "words", [], joined(pack(np.diff(rank[own], prepend=np.uint32(0))), pack_words([spelled[i] for i in own.tolist()]))))
+            rows.append((part, block, "words", joined(pack(np.diff(rank[own], prepend=np.uint32(0))), pack_words([spelled[i] for i in own.tolist()]))))
         return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), SPLIT.types, strict=True)], schema=SPLIT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,18 +179,18 @@ def _assembler(path: str, finish: str):
         starts, lengths = starts[first], lengths[first]
         flat = flat.astype("<u4")
         out = []
-        for doc_ids, payload in rows.loc[rows["kind"] == "texts", ["doc_ids", "payload"]].itertuples(index=False):
-            asked, sizes, codes = parted(payload)
+        for payload in rows.loc[rows["kind"] == "texts", "payload"]:
+            asked, sizes, codes, known, doc_ids = parted(payload)
             if len(numbers) != int.from_bytes(asked, "little"):
                 raise ValueError("the rows of the texts changed between two runs of a task")
             sizes, codes = unpack(sizes), unpack(codes)
             ends = np.cumsum(sizes, dtype=np.int64)
-            for doc, a, b in zip(doc_ids, ends - sizes, ends, strict=True):
+            for doc, has, a, b in zip(np.frombuffer(doc_ids, "<i8").tolist(), np.frombuffer(known, bool), ends - sizes, ends, strict=True):
                 ids = flat[ragged(starts[codes[a:b]], lengths[codes[a:b]])]
-                doc = None if doc is None or doc != doc else int(doc)
+                doc = doc if has else None
                 out.append((doc, ids.tobytes()) if finish == "ids" else (doc, *_digests(ids, path)))
         frame = pd.DataFrame(out, columns=["doc_id", "ids"] if finish == "ids" else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        return frame.astype({"doc_id": "Int64"})
+        return frame.assign(doc_id=pd.array([o[0] for o in out], "Int64"))
 
     return assemble
 
