@@ -28,45 +28,54 @@ from vocabweave.session import cut_lineage
 
 WINDOW = 13
 SHINGLE = 5
-ITEM_BLOCK_BYTES = 16 << 20
+ITEM_BLOCK_BYTES = 2 << 20
+
+
+def _shingle(rows: np.ndarray) -> np.ndarray:
+    """Hash of each row of word hashes, as ``shingles`` gives it."""
+    return shingles(rows.ravel(), rows.shape[1])[:: rows.shape[1]] if len(rows) else np.zeros(0, np.uint64)
 
 
 class Windows:
     """The distinct windows of a block of items, and the shingles to look for."""
 
     def __init__(self, ids: list[str], texts: list[str | None], window: int, shingle: int):
-        column = pa.array([LOWER[np.frombuffer((t or "").encode(), np.uint8)].tobytes() for t in texts], pa.binary())
-        rows: dict[bytes, list[int]] = {}
-        for first, _, data, offsets in text_blocks(column):
+        found = [(np.zeros((0, window), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for first, _, data, offsets in text_blocks(pa.array(texts, pa.string())):
+            data = LOWER[data]
             starts, ends, bounds = words(data, offsets, PLAIN)
-            hashes = Hashes(data).of(starts, ends)
-            for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                size = min(window, b - a)
-                for at in range(a, b - size + 1 if size else a):
-                    rows.setdefault(hashes[at : at + size].tobytes(), []).append(first + k)
-        self.ids, keys = ids, list(rows)
-        self.sizes = np.array([len(k) // 8 for k in keys], np.int64)
-        self.words = np.zeros((len(keys), window), np.uint64)
-        for i, key in enumerate(keys):
-            self.words[i, : self.sizes[i]] = np.frombuffer(key, np.uint64)
-        owned = [sorted(set(v)) for v in rows.values()]
-        self.item_counts = np.array([len(v) for v in owned], np.int64)
+            hashes = np.append(Hashes(data).of(starts, ends), np.zeros(window, np.uint64))
+            n = np.diff(bounds)
+            count = np.where(n > 0, np.maximum(n - window + 1, 1), 0)
+            item = np.repeat(np.arange(len(n)), count)
+            size = np.minimum(n, window)[item]
+            at = ragged(bounds[:-1], count)[:, None] + np.arange(window)
+            found.append((np.where(np.arange(window) < size[:, None], hashes[at], 0), size, item + first))
+        rows, sizes, item = map(np.concatenate, zip(*found, strict=True))
+        # equal windows are one: sorted as bytes together with their size
+        keys = np.ascontiguousarray(np.c_[rows, sizes.astype(np.uint64)]).view(np.dtype((np.void, 8 * (window + 1)))).ravel()
+        _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        self.ids, self.words, self.sizes = ids, rows[first], sizes[first]
+        owned = np.unique(np.stack([inverse, item]), axis=1) if len(item) else np.zeros((2, 0), np.int64)
+        self.items = owned[1]
+        self.item_counts = np.bincount(owned[0], minlength=len(first))
         self.item_starts = np.cumsum(self.item_counts) - self.item_counts
-        self.items = np.array([i for v in owned for i in v], np.int64)
         # shingles of each window: (hash, window, place); a short window is one shingle
-        self.widths = sorted({min(shingle, int(s)) for s in self.sizes})
-        found = []
-        for i, size in enumerate(self.sizes):
-            own = shingles(self.words[i, :size], min(shingle, int(size)))
-            found += [(int(h), i, at) for at, h in enumerate(own)]
-        self.hash = np.array([f[0] for f in found], np.uint64)
-        self.window = np.array([f[1] for f in found], np.int64)
-        self.place = np.array([f[2] for f in found], np.int64)
+        self.widths = sorted({min(shingle, int(s)) for s in np.unique(self.sizes)})
+        parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for size in np.unique(self.sizes).tolist():
+            own, width = np.flatnonzero(self.sizes == size), min(shingle, size)
+            for at in range(size - width + 1):
+                hashes = _shingle(self.words[own, at : at + width])
+                parts.append((hashes, own, np.full(len(own), at)))
+        self.hash, self.window, self.place = map(np.concatenate, zip(*parts, strict=True))
         self.distinct = np.unique(self.hash)
 
     def keep_prefixes(self, counts: dict[int, int]) -> None:
         """Keep each window's rarest shingle; a window with one that no document has can't occur."""
-        n = np.array([counts.get(int(i), 0) for i in np.searchsorted(self.distinct, self.hash)], np.int64)
+        known = np.zeros(len(self.distinct), np.int64)
+        known[list(counts)] = list(counts.values())
+        n = known[np.searchsorted(self.distinct, self.hash)]
         order = np.lexsort((self.place, self.hash, n, self.window))
         first = order[np.flatnonzero(np.diff(self.window[order], prepend=-1))] if len(order) else order
         first = first[n[first] > 0]
