@@ -27,7 +27,6 @@ PLAIN = np.zeros(256, bool)
 PLAIN[0x30:0x3A] = PLAIN[0x61:0x7B] = PLAIN[0x80:] = True
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
-_powers: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -43,32 +42,48 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
 
-def _power(name: str, base: int, n: int) -> np.ndarray:
-    have = _powers.get(name)
-    if have is None or len(have) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        steps = np.full(size, base, np.uint64)
-        steps[0] = 1
-        have = np.multiply.accumulate(steps)
-        if size <= 4 * BLOCK_BYTES:
-            _powers[name] = have
-    return have[:n]
+class _Powers:
+    """Powers of a base modulo 2**64, from two small tables."""
+
+    def __init__(self, base: int):
+        self.low = np.multiply.accumulate(np.r_[np.uint64(1), np.full(4095, base, np.uint64)])
+        self.step = np.uint64(pow(base, 4096, 1 << 64))
+
+    def _high(self, n: int) -> np.ndarray:
+        return np.multiply.accumulate(np.r_[np.uint64(1), np.full(n >> 12, self.step)])
+
+    def first(self, n: int) -> np.ndarray:
+        return (self._high(n)[:, None] * self.low).ravel()[:n]
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        if not len(places):
+            return np.zeros(0, np.uint64)
+        return self._high(int(places.max()))[places >> 12] * self.low[places & 4095]
+
+
+_UP, _DOWN = _Powers(int(_BASE)), _Powers(pow(int(_BASE), -1, 1 << 64))
 
 
 class Hashes:
     """Hashes of any byte ranges of ``data``, from one running sum over it."""
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTES[data] * _power("up", int(_BASE), n), out=self.sums[1:])
-        self.down = _power("down", pow(int(_BASE), -1, 1 << 64), n + 1)
-
-    def raw(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return (self.sums[ends] - self.sums[starts]) * self.down[starts]
+        value = _BYTES[data]
+        value *= _UP.first(len(data))
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(value, out=self.sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix(self.raw(starts, ends))
+        out = self.sums[ends]
+        out -= self.sums[starts]
+        out *= _DOWN.at(starts)
+        return mix(out)
+
+    def grams(self, size: int) -> np.ndarray:
+        """Hash of each run of ``size`` bytes, by its first place."""
+        out = self.sums[size:] - self.sums[:-size]
+        out *= _DOWN.first(len(out))
+        return mix(out)
 
 
 def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

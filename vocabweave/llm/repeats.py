@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vocabweave.llm.blocks import Hashes, mix, ragged, text_blocks
+from vocabweave.llm.blocks import Hashes, ragged, text_blocks
 from vocabweave.llm.suffixes import equal_windows
 
 LENGTH = 100
@@ -50,7 +50,7 @@ class Sizes:
     """How work is cut up; the results are the same for all values."""
 
     block_bytes: int = 4 << 20
-    piece_bytes: int = 8 << 20
+    piece_bytes: int = 1 << 20
     part_segments: int = 400_000
     collection_bytes: int = 2 << 20
     #: Different segments of an anchor that are still compared by their bytes.
@@ -101,7 +101,7 @@ def _piece(data, offsets, at, piece_bytes):
     data = data[at : at + piece_bytes + LENGTH - 1]
     hashes = Hashes(data)
     grams = len(data) - GRAM + 1
-    value = mix((hashes.sums[GRAM:] - hashes.sums[:-GRAM]) * hashes.down[:grams])
+    value = hashes.grams(GRAM)
     # least hash of each run of grams, the leftmost of equals: least of the end of one stretch and the start of the next
     low = np.uint64((1 << 24) - 1)
     key = (value & ~low) | np.arange(grams, dtype=np.uint64)

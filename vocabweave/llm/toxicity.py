@@ -37,7 +37,7 @@ DICTIONARY_BYTES = 4096
 LEVEL = 12
 DISTANCES = range(1, 8)
 MIN_Z = 4.5
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 
 _MARK = bytes(range(0x30, 0x50))
 _GAPS = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -88,11 +88,15 @@ class Model:
             if self._pair is None:
                 self._pair = _compressor(self.ordinary), _compressor(self.toxic + self.ordinary)
             if len(self._distances) >= KEPT_WORDS:
-                self._distances.clear()
+                self._distances = {}
             window = _MARK + b" " + word + b" " + _MARK
             found = self._distances[word] = len(self._pair[0].compress(window)) - len(self._pair[1].compress(window))
         return found
 
+    def forget(self) -> None:
+        """Gives back the memory of the words seen."""
+        self._distances, self._pair = {}, None
+
     def features(self, counted: dict[bytes, int]) -> list[float]:
         reached = Counter()
         for word, n in counted.items():
@@ -199,5 +203,6 @@ def score(texts: DataFrame, model: Model, *, text: str = "text", to: str = "scor
         for batch in batches:
             scores = pa.array([own.score(t.as_py()) for t in batch.column(text)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, to])
+        own.forget()
 
     return texts.mapInArrow(run, StructType([*texts.schema.fields, StructField(to, DoubleType())]))
