@@ -55,6 +55,13 @@ def test_shared_passages(spark, documents, sizes):
     assert rows(repeats.digest(documents(made).repartition(4), sizes=sizes)) == brute(made)
 
 
+def test_equal_blocks_of_one_task(documents):
+    text = passages()[0][1] + "z" * 150
+    made = [(1, text), (1, text), (2, text), (None, None), (None, None), (1, text), (2, text)]
+    found = rows(repeats.digest(documents(made).coalesce(1), sizes=repeats.Sizes(block_bytes=1)))
+    assert len(found) == len(made) and found == brute(made)
+
+
 def test_texts_keep_their_columns(documents):
     line = "the same long line of text, word after word, that comes again and again in very many texts of this small table; yes. "
     made = [(1, line * 2, "en"), (2, "x" + line, "de"), (3, None, "fr"), (4, "short", None)]

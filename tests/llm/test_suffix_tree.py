@@ -106,3 +106,11 @@ def test_no_rows_or_no_training(spark, documents):
     assert suffix_tree.score(documents([]), F.lit(True)).count() == 0
     r = suffix_tree.score(documents([(1, "a b")]), F.lit(False)).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and r.score == r.base_score == 0.0
+
+
+def test_equal_blocks_of_one_task(documents, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 1)
+    made = [(1, "a b a b")] * 3 + [(2, "a b")] * 2 + [(1, "a b a b")]
+    found = suffix_tree.score(documents(made).coalesce(1), F.lit(True)).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in found) == [(1, 5)] * 4 + [(2, 3)] * 2
+    assert len({(r.doc_id, r.score) for r in found}) == 2

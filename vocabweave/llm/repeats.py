@@ -137,11 +137,13 @@ def _first(order: np.ndarray, keys: list[np.ndarray], doc: np.ndarray, start: np
 
 def _dealer(parts: int, id_column: str, text_column: str, sizes: Sizes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 0
         for batch in batches:
             for i, j, data, offsets in text_blocks(batch.column(text_column), sizes.block_bytes):
-                yield from emit(pa.Table.from_batches([batch.slice(i, j - i)]), data, offsets).to_batches()
+                yield from emit(pa.Table.from_batches([batch.slice(i, j - i)]), data, offsets, number).to_batches()
+                number += 1
 
-    def emit(rows: pa.Table, data: np.ndarray, offsets: np.ndarray) -> pa.Table:
+    def emit(rows: pa.Table, data: np.ndarray, offsets: np.ndarray, number: int) -> pa.Table:
         ids = rows.column(id_column).cast(pa.int64()).fill_null(NULL_ID).to_numpy()
         start, count, anchor, content, shift = segments(data, offsets, sizes.piece_bytes)
         row = np.searchsorted(offsets, start, "right") - 1
@@ -154,7 +156,8 @@ def _dealer(parts: int, id_column: str, text_column: str, sizes: Sizes):
         order = order[np.argsort(part, kind="stable")]
         cuts = np.searchsorted(np.sort(part), np.arange(parts + 1))
         digest = xxhash.xxh3_64_intdigest(data.tobytes() + ids.tobytes())
-        block = f"{TaskContext.get().partitionId()}-{digest:x}"
+        # equal blocks of a task differ by their number
+        block = f"{TaskContext.get().partitionId()}-{number}-{digest:x}"
         out = [
             (digest % parts, block, "rows", _press(rows)),
             (digest % parts, block, "again", _columns(row=row[again].astype(np.uint32), start=start[again], size=(count[again] + LENGTH - 1).astype(np.uint32))),

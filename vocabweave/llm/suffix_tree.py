@@ -135,11 +135,13 @@ def _splitter(parts: int, shared):
     """Rows of a block: its texts as word numbers, its words, and its pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 0
         for batch in batches:
             for i, j, data, offsets in text_blocks(batch.column("text"), BLOCK_BYTES):
-                yield from emit(batch.slice(i, j - i), *_symbols(data, offsets, parts)).to_batches()
+                yield from emit(batch.slice(i, j - i), *_symbols(data, offsets, parts), number).to_batches()
+                number += 1
 
-    def emit(batch, symbols, bounds) -> pa.Table:
+    def emit(batch, symbols, bounds, number) -> pa.Table:
         taught = batch.column("taught").to_numpy(zero_copy_only=False).astype(bool)
         doc_ids = batch.column("doc_id")
         names, codes, times = np.unique(symbols, return_inverse=True, return_counts=True)
@@ -154,7 +156,8 @@ def _splitter(parts: int, shared):
             pack(taught), pack(np.diff(bounds)), pack(codes), doc_ids.is_valid().to_numpy(zero_copy_only=False).tobytes(), doc_ids.fill_null(0).to_numpy().astype("<i8").tobytes()
         )
         digest = xxhash.xxh3_64_intdigest(payload)
-        block = f"{TaskContext.get().partitionId()}-{digest:x}"
+        # equal blocks of a task differ by their number
+        block = f"{TaskContext.get().partitionId()}-{number}-{digest:x}"
         rows = [(digest % parts, block, "texts", payload)]
         by_part = np.argsort(names >> 40, kind="stable")
         cuts = np.searchsorted(names[by_part] >> 40, np.arange(parts + 1))
