@@ -114,3 +114,26 @@ def test_equal_blocks_of_one_task(documents, monkeypatch):
     found = suffix_tree.score(documents(made).coalesce(1), F.lit(True)).collect()
     assert sorted((r.doc_id, r.n_tokens) for r in found) == [(1, 5)] * 4 + [(2, 3)] * 2
     assert len({(r.doc_id, r.score) for r in found}) == 2
+
+
+def close(found, rows, monkeypatch):
+    counts = base(rows)[1]
+    monkeypatch.setattr(suffix_tree, "SHARES", 1)  # the definition above with all contexts
+    whole = dict(tree(rows, counts))
+    off = [abs(r.score - whole[r.doc_id]) / r.n_tokens for r in found]
+    assert len(off) == len(rows) and max(off) < 1e-3
+
+
+def test_all_contexts_with_exact_parents(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 1 << 16)
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    close(suffix_tree.score(documents, fold != 1, part_keys=100_000).collect(), [tuple(r) for r in documents.collect()], monkeypatch)
+
+
+@pytest.mark.parametrize("part_keys", [1_500_000, 3000])
+def test_hot_contexts(documents, monkeypatch, part_keys):
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 1 << 12)
+    made = [(i, "the cat sat on the mat and the cat ran " * 20 + f"the cat w{i % 7} v{i % 3} the cat") for i in range(300)] + [(900, "the cat the cat x")]
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    close(suffix_tree.score(documents(made).repartition(2), fold != 1, part_keys=part_keys).collect(), made, monkeypatch)
