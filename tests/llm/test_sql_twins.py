@@ -41,6 +41,25 @@ def test_licence_sequences(documents):
     assert licences.matches(documents([])).count() == 0
 
 
+def test_wrapped_licences_and_repeated_rows(documents):
+    import textwrap
+
+    own = lambda *names: [licences.SENTENCES[n][0] for n in names]
+    wrap = lambda text, leader="", end="\n": end.join(leader + line for line in textwrap.wrap(text, 72))
+    mit = "\n\n".join(wrap(s.capitalize() + ".") for s in own("mit-grant", "mit-notice", "as-is", "no-liability"))
+    bsd = "\n *\n".join(wrap(s.capitalize() + ":", " * ") for s in own("bsd-redistribution", "bsd-source", "bsd-binary"))
+    isc = "Copyright me\r\n" + wrap(own("isc-grant")[0] + ".", "# ", "\r\n")
+    apache, use = own("apache2-ref", "apache2-use")
+    rows = [
+        (1, "MIT License\n" + mit), (2, bsd), (2, bsd), (3, isc), (4, wrap(own("mit-notice")[0]).replace("\n", "\n\n")),
+        (5, f"{apache}. All rights reserved. {use}."), (None, bsd), (None, bsd),
+    ]
+    found = sorted(((r.doc_id, r.licence, r.rule) for r in licences.matches(documents(rows).coalesce(1)).collect()), key=str)
+    number = {(licence, len(sequence)): i for i, (licence, sequence) in enumerate(licences.RULES, 1)}
+    kinds = [(1, "MIT", 4), (1, "MIT", 3), (2, "BSD-2-Clause", 3), (2, "BSD-2-Clause", 3), (3, "ISC", 1), (5, "Apache-2.0", 2), (None, "BSD-2-Clause", 3), (None, "BSD-2-Clause", 3)]
+    assert found == sorted([(i, licence, number[licence, n]) for i, licence, n in kinds], key=str)
+
+
 def test_url_parts_and_rules(spark):
     urls = [
         None, "", "no scheme", "HTTP://WWW.Example.ORG/EN/1", "http://example.org/en/12", "https://a.example.org/es/x?u=://z", "http://b.org?x=/fr/",

@@ -1,15 +1,17 @@
 """Licence scan by sentence rules.
 
-Texts are cut into sentences, which are normalised (ASCII lower case, runs of anything but letters
-a-z and digits as one blank) and looked up among the known licence sentences. The identifiers of
-a text's known sentences, in order, are matched against the licence rules: a rule matches where
-its identifiers follow one another with at most ``GAP`` other sentences between two of them.
-A match that lies within another one is left out; of equal matches the earlier rule counts.
-
-The known sentences are a fixed table (under 200 rows), so the lookup is a broadcast. Sentences
-are rows: a very long text is never one task's list. Null and empty texts have no sentences;
-repeated rows count as separate texts, as long as ``key`` tells them apart, and otherwise give
-the matches of their sentences together.
+Texts are cut into sentences and lines, which are normalised (ASCII lower case, runs of anything but
+letters a-z and digits as one blank, so that comment leaders vanish) and looked up among the known
+licence sentences. A known sentence may also be wrapped: lines that follow one another with one
+line end between them, and that hold its words one after the other, are one sentence; a blank line
+ends it. The identifiers of a text's known sentences, in order, are matched against the licence
+rules: a rule matches where its identifiers follow one another with at most ``GAP`` other sentences
+or lines, known or not, between two of them, and ends as early as it can. A match that lies within
+another one is left out; of equal matches the earlier rule counts.
+
+The known sentences are a fixed table (under 200 rows, some ten thousand runs of their words), so
+the lookup is a broadcast. Sentences are rows: a very long text is never one task's list. Null and
+empty texts have no sentences; repeated rows are separate texts.
 """
 
 from __future__ import annotations
@@ -17,11 +19,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vocabweave.session import cut_lineage
+
 GAP = 2
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = "[\\n\\r]+|[.!?;:]+([ \\t\\n\\r]+|$)"
 OTHER = "[^a-z0-9]+"
+#: A line end that alone parts two lines, and what marks the lines before and after it.
+LINE_END = "([^.!?;:\\s][ \\t]*)(\\r\\n|\\n|\\r)(?![\\n\\r])"
+GOES_ON, GONE_ON = "\x02", "\x01"
 
 # Normalised sentences of public licences and of notices that refer to them.
 SENTENCES = {
@@ -92,31 +99,61 @@ RULES = [
 LONGEST = max(len(sequence) for _, sequence in RULES)
 
 
+def _runs(sentences: dict[str, list[str]]) -> list[tuple]:
+    """Every run of words (from a to b) of every known sentence."""
+    out = []
+    for number, (name, sentence) in enumerate((name, s) for name, own in sentences.items() for s in own):
+        words = sentence.split()
+        out += [(" ".join(words[a:b]), number, name, a, b, len(words)) for a in range(len(words)) for b in range(a + 1, len(words) + 1)]
+    return out
+
+
+def _wrapped(lines: DataFrame) -> DataFrame:
+    """Known sentences whose words fill lines that follow one another."""
+    along = Window.partitionBy("_row").orderBy("_at")
+    apart = ~F.col("_soft") | F.coalesce(F.col("_at") != F.lag("_at").over(along) + 1, F.lit(True))
+    # words before a line, counted over these lines only: right within a run of lines
+    counted = lines.select("_row", "_at", "_soft", (F.col("_b") - F.col("_a")).alias("_n")).distinct().withColumn("_apart", apart)
+    counted = counted.select("_row", "_at", F.sum(F.col("_apart").cast("int")).over(along).alias("_run"), (F.sum("_n").over(along) - F.col("_n")).alias("_before"))
+    begun = lines.join(counted, ["_row", "_at"]).withColumn("_begin", F.col("_before") - F.col("_a"))
+    whole = begun.groupBy("_row", "_key", "_run", "_number", "_begin", "name", "_size").agg(F.min("_at").alias("first"), F.max("_at").alias("last"), F.sum(F.col("_b") - F.col("_a")).alias("_filled"))
+    return whole.where("_filled = _size").select("_row", "_key", "name", "first", "last")
+
+
 def matches(
     documents: DataFrame, *, key: str = "doc_id", text: str = "text", sentences: dict[str, list[str]] = SENTENCES,
     rules: list[tuple[str, list[str]]] = RULES, gap: int = GAP,
 ) -> DataFrame:
     """One row per match: ``key``, ``first`` and ``last`` sentence (from 1), ``rule`` (from 1), ``licence``."""
     spark = documents.sparkSession
-    known = spark.createDataFrame([(s, name) for name, own in sentences.items() for s in own], "sentence string, name string")
-    cut = F.split(F.translate(F.col(text).cast("string"), UPPER, LOWER), BREAK)
-    rows = documents.select(F.col(key).alias("_key"), F.posexplode(cut).alias("_at", "_raw"))
-    spelled = rows.select("_key", (F.col("_at") + 1).alias("_at"), F.trim(F.regexp_replace("_raw", OTHER, " ")).alias("sentence"))
-    hits = spelled.join(F.broadcast(known), "sentence").select("_key", "_at", "name")
-
-    longest = max(len(sequence) for _, sequence in rules)
-    along = Window.partitionBy("_key").orderBy("_at", "name")
-    for step in range(1, longest):
-        hits = hits.withColumn(f"_name{step}", F.lead("name", step).over(along)).withColumn(f"_at{step}", F.lead("_at", step).over(along))
-    tries = []
-    for number, (licence, sequence) in enumerate(rules, 1):
-        fits, last = F.col("name") == sequence[0], "_at"
-        for step, name in enumerate(sequence[1:], 1):
-            fits &= (F.col(f"_name{step}") == name) & (F.col(f"_at{step}") - F.col(last) <= gap + 1)
-            last = f"_at{step}"
-        tries.append(F.when(fits, F.struct(F.col("_at").alias("first"), F.col(last).alias("last"), F.lit(number).alias("rule"), F.lit(licence).alias("licence"))))
-    found = hits.select("_key", F.explode(F.filter(F.array(*tries), lambda t: t.isNotNull())).alias("m")).select("_key", "m.*")
-    before = Window.partitionBy("_key").orderBy("first", F.desc("last"), "rule").rowsBetween(Window.unboundedPreceding, -1)
+    known = spark.createDataFrame(_runs(sentences), "sentence string, _number int, name string, _a int, _b int, _size int")
+    marked = F.regexp_replace(F.col(text).cast("string"), LINE_END, f"$1{GOES_ON}$2{GONE_ON}")
+    cut = F.split(F.translate(marked, UPPER, LOWER), BREAK)
+    numbered = documents.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), cut.alias("_cut"))
+    rows = numbered.select("_row", "_key", F.posexplode("_cut").alias("_at", "_raw"))
+    spelled = rows.select(
+        "_row", "_key", (F.col("_at") + 1).alias("_at"), F.col("_raw").startswith(GONE_ON).alias("_soft"), F.col("_raw").endswith(GOES_ON).alias("_open"),
+        F.trim(F.regexp_replace("_raw", OTHER, " ")).alias("sentence"),
+    )
+    seen = spelled.join(F.broadcast(known), "sentence").where("(_a = 0 OR _soft) AND (_b = _size OR _open)").drop("sentence", "_open")
+    seen = cut_lineage(seen)
+    lone = seen.where("_b - _a = _size").select("_row", "_key", "name", F.col("_at").alias("first"), F.col("_at").alias("last"))
+    hits = cut_lineage(lone.unionByName(_wrapped(seen.where("_b - _a < _size"))).distinct())
+
+    # matches so far of each rule, step by step
+    reached = hits.select("_row", "_key", "first", "last", F.explode(F.array(*[
+        F.when(F.col("name") == sequence[0], F.struct(F.lit(number).alias("rule"), F.lit(licence).alias("licence"), F.array(*map(F.lit, sequence)).alias("names")))
+        for number, (licence, sequence) in enumerate(rules, 1)
+    ])).alias("m")).where("m IS NOT NULL").select("_row", "_key", "first", "last", "m.*")
+    found = reached.where("size(names) = 1")
+    following = hits.select("_row", "name", F.col("first").alias("_from"), F.col("last").alias("_to"))
+    for step in range(1, max(len(sequence) for _, sequence in rules)):
+        tried = reached.where(F.size("names") > step).withColumn("name", F.col("names")[step])
+        tried = tried.withColumn("_from", F.explode(F.sequence(F.col("last") + 1, F.col("last") + gap + 1)))
+        reached = tried.join(following, ["_row", "name", "_from"]).select("_row", "_key", "first", F.col("_to").alias("last"), "rule", "licence", "names").distinct()
+        found = found.unionByName(reached.where(F.size("names") == step + 1))
+    found = found.groupBy("_row", "_key", "first", "rule", "licence").agg(F.min("last").alias("last"))
+    before = Window.partitionBy("_row").orderBy("first", F.desc("last"), "rule").rowsBetween(Window.unboundedPreceding, -1)
     kept = found.withColumn("_reach", F.max("last").over(before)).where("_reach IS NULL OR _reach < last")
     return kept.select(F.col("_key").alias(key), "first", "last", "rule", "licence")
 
