@@ -67,6 +67,16 @@ def test_odd_rows(spark, documents, block_bytes):
     assert rows(decontamination.digest(found)) == sorted(expected, key=str)
 
 
+def test_repeated_items_do_not_fill_a_block(spark, documents, monkeypatch):
+    taken = []
+    begin = decontamination.Windows.__init__
+    monkeypatch.setattr(decontamination.Windows, "__init__", lambda self, ids, *rest: (taken.append(len(ids)), begin(self, ids, *rest))[1])
+    items = spark.createDataFrame(ITEMS + ITEMS[1:2] * 500, "item_id bigint, text string")
+    found = decontamination.passages(documents(DOCUMENTS), items, block_bytes=1000)
+    assert rows(decontamination.digest(found)) == sorted(brute(DOCUMENTS, [i for i in ITEMS if i[0] is not None]), key=str)
+    assert sum(taken) == 7
+
+
 def test_spans(spark, documents):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     found = {r.doc_id: r for r in decontamination.passages(documents(DOCUMENTS), items).collect()}

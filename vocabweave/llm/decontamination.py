@@ -10,7 +10,9 @@ Items are taken in blocks of bounded size (``block_bytes``), each broadcast in t
 benchmark may be of any size. Shingle counts cover all documents.
 
 Null or empty texts have no words: such documents have no hits, such items no windows. Rows
-that are repeated give repeated results. Other columns of either table are ignored.
+that are repeated give repeated results. Items without an id are none: their passages count no
+hits, as in the SQL twin. Equal item rows are one before blocks are cut. Other columns of either
+table are ignored.
 """
 
 from __future__ import annotations
@@ -196,7 +198,7 @@ def passages(
         F.lit(0).cast("bigint").alias("n_hit"), empty("bigint").alias("starts"), empty("bigint").alias("ends"), empty("string").alias("items"),
         *([F.struct(*carry).alias("carried")] if carry else []),
     )
-    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("words")).where("item IS NOT NULL")
+    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("words")).where("item IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("words") + F.lit(16))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     for block in range(blocks):
