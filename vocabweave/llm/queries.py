@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.llm import bpe, decontamination, jaccard, language, licences, neighbours, repeats, suffix_tree, toxicity, twins, url_filters
+from vocabweave.llm import bpe, decontamination, jaccard, language, licences, neighbours, repeats, resampling, suffix_tree, token_counts, toxicity, twins, url_filters
 from vocabweave.llm.blocks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,13 @@ def op5(table):
     held_out = fold("doc_id", 5) == 1
     scored = suffix_tree.score(table("documents"), ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register("op12_token_counts")
+def op12(table):
+    return token_counts.count(table("documents"))
+
+
+@register("op13_importance_resampling", twins.RESAMPLING)
+def op13(table):
+    return resampling.resample(table("documents"), table("benchmark"))

@@ -52,3 +52,32 @@ kept AS (
 SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)
 """
+
+# the 256 sums of single bytes, then word by word over the UTF-8 bytes
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+RESAMPLING = f"""
+WITH RECURSIVE steps AS (
+  SELECT CAST(b AS BIGINT) AS b, CAST(b AS BIGINT) AS c, 0 AS k FROM range(256) t(b)
+  UNION ALL SELECT b, {_CRC_STEP}, k + 1 FROM steps WHERE k < 8),
+sums AS (SELECT list(c ORDER BY b) AS s FROM steps WHERE k = 8),
+docs AS (SELECT doc_id, row_number() OVER () AS r, {_PLAIN} AS w FROM documents),
+items AS (SELECT {_PLAIN} AS w FROM benchmark),
+vocabulary AS (SELECT DISTINCT w FROM (SELECT unnest(w) AS w FROM docs UNION ALL SELECT unnest(w) FROM items)),
+bytes AS (SELECT w, hex(encode(w)) AS h FROM vocabulary),
+listed AS (SELECT w, [CAST(4294967295 AS BIGINT)] || list_transform(range(len(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)) AS v FROM bytes),
+hashed AS (SELECT w, xor(list_reduce(v, lambda c, x: xor(c >> 8, s[xor(c & 255, x) + 1])), 4294967295) % 10000 AS b FROM listed, sums),
+words AS (SELECT r, b FROM (SELECT r, unnest(w) AS w FROM docs) JOIN hashed USING (w)),
+corpus AS (SELECT b, count(*) AS n FROM words GROUP BY b),
+target AS (SELECT b, count(*) AS n FROM (SELECT unnest(w) AS w FROM items) JOIN hashed USING (w) GROUP BY b),
+gains AS (
+  SELECT corpus.b, floor(1000 * ln(CAST((coalesce(target.n, 0) + 1) * (SELECT sum(n) + 10000 FROM corpus) AS DOUBLE)
+    / CAST((corpus.n + 1) * (SELECT coalesce(sum(n), 0) + 10000 FROM target) AS DOUBLE))) AS g
+  FROM corpus LEFT JOIN target USING (b)),
+weights AS (SELECT r, CAST(sum(g) AS BIGINT) AS weight FROM words JOIN gains USING (b) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (r)),
+ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS k, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= able * 10 // 100 THEN k END AS rank FROM scored LEFT JOIN ranked USING (r)
+"""
