@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabweave.llm import bpe, decontamination, jaccard, language, licences, neighbours, repeats, resampling, suffix_tree, token_counts, toxicity, twins, url_filters
+from vocabweave.llm import bpe, decontamination, hard_negatives, jaccard, language, licences, neighbours, repeats, resampling, suffix_tree, token_counts, toxicity, twins, url_filters
 from vocabweave.llm.blocks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,10 @@ def op12(table):
 @register("op13_importance_resampling", twins.RESAMPLING)
 def op13(table):
     return resampling.resample(table("documents"), table("benchmark"))
+
+
+@register("op11_hard_negatives", twins.HARD_NEGATIVES)
+def op11(table):
+    # the labels of every seventh row are moved on by one
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table("embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)

@@ -81,3 +81,25 @@ scored AS (
 ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS k, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN k <= able * 10 // 100 THEN k END AS rank FROM scored LEFT JOIN ranked USING (r)
 """
+
+HARD_NEGATIVES = """
+WITH whole AS (
+  SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+usual AS (SELECT len(v) AS d FROM whole GROUP BY d ORDER BY count(*) DESC, d DESC LIMIT 1),
+points AS (SELECT vec_id, label, v, row_number() OVER () AS r FROM whole JOIN usual ON len(v) = d),
+scored AS MATERIALIZED (
+  SELECT a.r AS a, a.vec_id AS anchor_id, a.label AS own, p.r AS p, p.vec_id AS id, p.label AS label, CAST(list_dot_product(a.v, p.v) AS BIGINT) AS score
+  FROM points a JOIN points p ON a.vec_id % 100 = 0),
+positives AS (
+  SELECT a, anchor_id, own, p, id AS positive_id, score AS positive_score
+  FROM scored WHERE own = label AND anchor_id <> id
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id) <= 5)
+SELECT x.anchor_id, positive_id, CAST(row_number() OVER near AS INTEGER) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM positives x JOIN scored s ON x.a = s.a AND s.label <> x.own AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+WINDOW near AS (PARTITION BY x.a, x.p ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER near <= 5
+"""
