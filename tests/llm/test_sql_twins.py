@@ -11,7 +11,7 @@ from vocabweave.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, name, folder):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('/root/testdata/{folder}/{table}.parquet')")
     twin = connection.execute(ORACLES[name])
     columns = sorted(d[0] for d in twin.description)
@@ -83,3 +83,16 @@ def test_templates_learn_from_labelled_branches(spark):
     rows = [(i, f"http://s.com/{'de' if i % 3 else 'xx'}/{i}") for i in range(300)] + [(1000 + i, f"http://t.com/{'fr' if i % 3 else 'xx'}/{i}") for i in range(300)]
     found = url_filters.judge(spark.createDataFrame(rows, "page_id bigint, url string")).where("rule IS NULL")
     assert {(r.host, r.template, r.verdict) for r in found.collect()} == {("s.com", "/xx/*", "block"), ("t.com", "/xx/*", "allow")}
+
+
+def test_literal_stars_are_no_wildcards(spark):
+    urls = [f"http://x.net/a/{i}" for i in range(20)] + ["http://x.net/a/*"] * 10 + ["http://x.net/*", "http://x.net/", "http://x.net"] * 4
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    found = url_filters.judge(pages).collect()
+    assert sorted(r.page_id for r in found) == list(range(len(urls)))
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    connection.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(urls)))
+    names = ["page_id", "host", "path", "rule", "verdict", "template"]
+    expected = connection.execute(f"SELECT {', '.join(names)} FROM ({url_filters.oracle()})").fetchall()
+    assert sorted(tuple(r[n] for n in names) for r in found) == sorted(expected)

@@ -9,7 +9,9 @@ that one with the share of all hosts, and a template is rejected from one half o
 
 Everything is counted per distinct (host, path), so a url or host that fills a third of the table
 is pre-aggregated, and only DataFrame functions are used. A null url and one without ``://`` have
-an empty host and path. Repeated rows get repeated results; other columns are ignored.
+an empty host and path. Repeated rows get repeated results, each row one; a segment that is literally
+``*`` is text and no wildcard. Urls of any length are split whole. An empty table gives no rows, and
+other columns are ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -64,13 +66,20 @@ def templates(urls: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
     part = F.struct("depth", F.when(F.col("fixed"), F.col("segment")).alias("name"))
     spelled = parts.join(fixed, ["host", "depth", "segment"], "left").groupBy("host", "path").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     last = F.array_max(F.transform(F.filter("parts", lambda p: p["name"].isNotNull()), lambda p: p["depth"]))
-    name = lambda p: F.coalesce(p["name"], F.lit("*"))
+    # no segment is empty, so an empty name is a wildcard and nothing else
+    name = lambda p: F.coalesce(p["name"], F.lit(""))
     joined = lambda each: F.concat(F.lit("/"), F.array_join(F.transform("parts", each), "/"))
     spelled = spelled.withColumn("last", last).select(
         "host", "path", joined(name).alias("template"),
-        joined(lambda p: F.when(p["depth"] == F.col("last"), F.lit("*")).otherwise(name(p))).alias("node"),
+        joined(lambda p: F.when(p["depth"] == F.col("last"), F.lit("")).otherwise(name(p))).alias("node"),
     )
-    return urls.join(spelled, ["host", "path"], "left").fillna("/", ["template", "node"])
+    return urls.join(spelled, ["host", "path"], "left").fillna("", ["template", "node"])
+
+
+def written(template: Column) -> Column:
+    """A template as text, with ``*`` for its wildcards."""
+    names = F.transform(F.split(F.substring(template, 2, F.length(template)), "/"), lambda s: F.when(s == "", "*").otherwise(s))
+    return F.when(template == "", "/").otherwise(F.concat(F.lit("/"), F.array_join(names, "/")))
 
 
 def judge(
@@ -105,7 +114,7 @@ def judge(
     decided = known.join(judged, ["host", "template"], "left").select("host", "path", "template", "judged")
     fit = fitting(F.col("host"), F.col("path"), rules)
     return rows.join(decided, ["host", "path"], "left").select(
-        "page_id", "host", "path", fit["rule"].alias("rule"), F.coalesce(fit["verdict"], F.col("judged")).alias("verdict"), "template"
+        "page_id", "host", "path", fit["rule"].alias("rule"), F.coalesce(fit["verdict"], F.col("judged")).alias("verdict"), written(F.col("template")).alias("template"),
     )
 
 
@@ -132,12 +141,12 @@ def oracle() -> str:
         FROM parts p LEFT JOIN fixed f ON f.host = p.host AND f.depth = p.depth AND f.segment = p.segment
     ),
     spelled AS (
-        SELECT host, path, '/' || string_agg(coalesce(name, '*'), '/' ORDER BY depth) AS template,
-            '/' || string_agg(CASE WHEN depth = last THEN '*' ELSE coalesce(name, '*') END, '/' ORDER BY depth) AS node
+        SELECT host, path, '/' || string_agg(coalesce(name, ''), '/' ORDER BY depth) AS template,
+            '/' || string_agg(CASE WHEN depth = last THEN '' ELSE coalesce(name, '') END, '/' ORDER BY depth) AS node
         FROM marked GROUP BY host, path
     ),
     known AS (
-        SELECT u.host, u.path, u.n, coalesce(template, '/') AS template, coalesce(node, '/') AS node, {case(0).replace("host", "u.host").replace("path", "u.path")} AS fit
+        SELECT u.host, u.path, u.n, coalesce(template, '') AS template, coalesce(node, '') AS node, {case(0).replace("host", "u.host").replace("path", "u.path")} AS fit
         FROM urls u LEFT JOIN spelled s ON s.host = u.host AND s.path = u.path
     ),
     branches AS (
@@ -161,6 +170,7 @@ def oracle() -> str:
         FROM compared
     )
     SELECT r.page_id, r.host, r.path, {case(1).replace("host", "r.host").replace("path", "r.path")} AS rule,
-        coalesce(k.fit, j.judged) AS verdict, k.template
+        coalesce(k.fit, j.judged) AS verdict,
+        CASE WHEN k.template = '' THEN '/' ELSE '/' || array_to_string([CASE WHEN s = '' THEN '*' ELSE s END FOR s IN string_split(substr(k.template, 2), '/')], '/') END AS template
     FROM rows_ r JOIN known k ON k.host = r.host AND k.path = r.path JOIN judged j ON j.host = k.host AND j.template = k.template
     """
