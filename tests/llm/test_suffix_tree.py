@@ -34,8 +34,6 @@ def base(rows):
 def tree(rows, counts):
     """Scores by the definition: tested contexts of one and two words, Witten-Bell smoothing."""
     n, v = sum(counts.values()), len(counts)
-    limit = max(n / suffix_tree.SHARES, 1000)
-    common = {s for s, c in counts.items() if c > limit}
     after = [defaultdict(Counter), defaultdict(Counter)]
     for i, t in rows:
         own = symbols(t)
@@ -48,15 +46,15 @@ def tree(rows, counts):
     def kept(nexts, parent):
         total, kinds = sum(nexts.values()), len(nexts)
         won = sum(c * math.log((c - 1 + kinds * parent(s)) / (total - 1 + kinds) / parent(s)) for s, c in nexts.items()) if total > 1 else 0
-        return 2 <= total <= limit and won >= suffix_tree.GAIN
+        return total >= 2 and won >= suffix_tree.GAIN
 
-    states = {c: x for c, x in after[0].items() if c not in common and kept(x, root)}
+    states = {c: x for c, x in after[0].items() if kept(x, root)}
 
     def one(c, s):
         x = states.get(c)
         return (x[s] + len(x) * root(s)) / (sum(x.values()) + len(x)) if x else root(s)
 
-    longer = {c: x for c, x in after[1].items() if c[0] not in common and after[0][c[0]][c[1]] >= 2 and kept(x, lambda s, c=c: one(c[1], s))}
+    longer = {c: x for c, x in after[1].items() if after[0][c[0]][c[1]] >= 2 and kept(x, lambda s, c=c: one(c[1], s))}
 
     def two(a, c, s):
         x = longer.get((a, c))
@@ -76,7 +74,7 @@ def test_scores_on_the_whole_table(spark):
         r = found[i]
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (n, known, total, not taught(i))
         assert math.isclose(r.base_score, value, rel_tol=1e-9)
-    # pairs are tested against the block's estimate of the parent, so a few states may differ
+    # pairs meet their parent's probability in steps, so a few states may differ
     whole = dict(tree(rows, counts))
     off = [abs(found[i].score - s) / found[i].n_tokens for i, s in whole.items()]
     assert sorted(off)[int(0.9 * len(off))] < 0.01 and sum(off) / len(off) < 0.01
@@ -116,9 +114,8 @@ def test_equal_blocks_of_one_task(documents, monkeypatch):
     assert len({(r.doc_id, r.score) for r in found}) == 2
 
 
-def close(found, rows, monkeypatch):
+def close(found, rows):
     counts = base(rows)[1]
-    monkeypatch.setattr(suffix_tree, "SHARES", 1)  # the definition above with all contexts
     whole = dict(tree(rows, counts))
     off = [abs(r.score - whole[r.doc_id]) / r.n_tokens for r in found]
     assert len(off) == len(rows) and max(off) < 1e-3
@@ -128,7 +125,7 @@ def test_all_contexts_with_exact_parents(spark, monkeypatch):
     monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 1 << 16)
     documents = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
-    close(suffix_tree.score(documents, fold != 1, part_keys=100_000).collect(), [tuple(r) for r in documents.collect()], monkeypatch)
+    close(suffix_tree.score(documents, fold != 1, part_keys=100_000).collect(), [tuple(r) for r in documents.collect()])
 
 
 @pytest.mark.parametrize("part_keys", [1_500_000, 3000])
@@ -136,4 +133,4 @@ def test_hot_contexts(documents, monkeypatch, part_keys):
     monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 1 << 12)
     made = [(i, "the cat sat on the mat and the cat ran " * 20 + f"the cat w{i % 7} v{i % 3} the cat") for i in range(300)] + [(900, "the cat the cat x")]
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
-    close(suffix_tree.score(documents(made).repartition(2), fold != 1, part_keys=part_keys).collect(), made, monkeypatch)
+    close(suffix_tree.score(documents(made).repartition(2), fold != 1, part_keys=part_keys).collect(), made)
