@@ -83,3 +83,14 @@ def test_equal_windows_by_hand():
         for k in range(len(s) - 3):
             expected.setdefault((k - shift[i], s[k : k + 4]), set()).add((i, k))
     assert sorted(map(sorted, found.values())) == sorted(sorted(e) for e in expected.values() if len(e) > 1)
+
+
+def test_texts_are_spread_over_the_parts(spark):
+    """Whatever row of a block comes first, its texts go where the block's digest says."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sizes = repeats.Sizes(block_bytes=1 << 15)
+    dealt = documents.mapInArrow(repeats._dealer(33, "doc_id", "text", sizes), repeats.PACKED)
+    met = dealt.groupBy("part").applyInArrow(repeats._meeter(2000), repeats.PACKED)
+    opened = met.groupBy("block").applyInArrow(repeats._opener(33, "doc_id", "text", repeats._digests("doc_id")), repeats.PACKED)
+    homes = [r.part for r in opened.where("kind = 'done'").select("part").collect()]
+    assert len(homes) > 40 and max(map(homes.count, set(homes))) < len(homes) / 4

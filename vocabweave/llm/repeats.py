@@ -254,7 +254,8 @@ def _opener(parts: int, id_column: str, text_column: str, finish):
         spans = _spans(spans)
         number = np.cumsum(waiting) - 1
         done, later = np.flatnonzero(~waiting), np.flatnonzero(waiting)
-        out, first_part = [], int(part[0])
+        # the part that the block's digest names, so that blocks are spread evenly
+        out, home = [], int(block[0].rsplit("-", 1)[1], 16) % parts
         for chosen, name in ((done, "done"), (later, "rows")):
             if not len(chosen):
                 continue
@@ -263,9 +264,9 @@ def _opener(parts: int, id_column: str, text_column: str, finish):
             own = at[spans["row"]] >= 0
             few = {"row": at[spans["row"]][own], "start": spans["start"][own], "size": spans["size"][own]}
             if name == "done":
-                out.append((first_part, block[0], "done", _press(_finished(rows.take(pa.array(chosen)), text_column, few, finish))))
+                out.append((home, block[0], "done", _press(_finished(rows.take(pa.array(chosen)), text_column, few, finish))))
             else:
-                out += [(first_part, block[0], "rows", _press(rows.take(pa.array(chosen)))), (first_part, block[0], "spans", _columns(**few))]
+                out += [(home, block[0], "rows", _press(rows.take(pa.array(chosen)))), (home, block[0], "spans", _columns(**few))]
         if len(later):
             texts = [(t or "").encode() for t in rows.column(text_column).take(pa.array(later)).to_pylist()]
             data = np.frombuffer(b"".join(texts), np.uint8)
@@ -290,7 +291,7 @@ def _opener(parts: int, id_column: str, text_column: str, finish):
                 order = np.lexsort((window, doc, content))
                 _, first = _first(order, [content], doc, window)
                 repeat = order[~first]
-                out.append((first_part, block[0], "spans", _columns(row=window_row[repeat], start=window[repeat], size=np.full(len(repeat), LENGTH))))
+                out.append((home, block[0], "spans", _columns(row=window_row[repeat], start=window[repeat], size=np.full(len(repeat), LENGTH))))
                 order = np.sort(order[first])
                 to = ((content[order] >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
                 for p in np.unique(to).tolist():
