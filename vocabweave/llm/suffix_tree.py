@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from vocabweave.llm.blocks import LOWER, SPACED, Hashes, mix, owners, text_blocks, words
 from vocabweave.llm.bpe import joined, pack, parted, unpack
-from vocabweave.session import cut_lineage
+from vocabweave.session import cut_lineage, shared_folder
 
 GAIN = 3.0
 BLOCK_BYTES = 6 << 20
@@ -465,6 +465,19 @@ def _shuffles_freed(spark: SparkSession):
         spark.conf.set(name, before)
 
 
+def _kinds_written(spark: SparkSession, rows: DataFrame) -> tuple[str, DataFrame]:
+    """Packed rows as a table with a folder per kind, so that a kind can go when it has been used."""
+    folder = shared_folder(spark, "kinds")
+    rows.write.partitionBy("kind").parquet(folder)
+    return folder, spark.read.schema(PACKED).parquet(folder).select("part", "block", "kind", "payload")
+
+
+def _removed(spark: SparkSession, folder: str) -> None:
+    """Remove an intermediate folder that no later step reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 SCORED = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
@@ -492,15 +505,19 @@ def score(
 
     with _shuffles_freed(spark):
         dealt = rows.mapInArrow(_splitter(parts, hot), PACKED).repartition(parts, "part")
-        met = cut_lineage(dealt.groupBy("part").applyInArrow(_part_counter(hot, hot_counts, normal, limit), PACKED))
+        folder, met = _kinds_written(spark, dealt.groupBy("part").applyInArrow(_part_counter(hot, hot_counts, normal, limit), PACKED))
         states = _hot_states(met.where("kind = 'hot'"), gain) if common else {}
         tested = met.where("kind IN ('words', 'tests')").groupBy("part").applyInArrow(_tester(states, normal, gain), PACKED)
+        # written before the blocks meet, so that the pairs and their shuffle are gone by then
+        tested_folder, tested = _kinds_written(spark, tested)
+        for kind in ("words", "tests", "hot"):
+            _removed(spark, f"{folder}/kind={kind}")
         answered = tested.unionByName(met.where("kind IN ('texts', 'pairs')"))
-        scored = answered.groupBy("block").applyInArrow(_scorer(parts, hot, normal, limit), PACKED)
-        states = {}
-        if common and not met.where("kind = 'hot pairs'").isEmpty():
-            scored = cut_lineage(scored)
-            states = _hot_states(scored.where("kind = 'hot'"), gain)
+        crowded = bool(common) and not met.where("kind = 'hot pairs'").isEmpty()
+        scored = cut_lineage(answered.groupBy("block").applyInArrow(_scorer(parts, hot, normal, limit), PACKED))
+        states = _hot_states(scored.where("kind = 'hot'"), gain) if crowded else {}
+        for own in (folder, tested_folder):
+            _removed(spark, own)
     scored = scored.repartition(parts, "part")
     final = scored.groupBy("part").applyInArrow(_longer(states, gain), PACKED).groupBy("block").applyInArrow(_summed, SCORED)
     return final.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
