@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from vocabweave.operators import quality, resolve
+from vocabweave.operators.chains import chain_ends
 from vocabweave.plans import ingest
 from vocabweave.sources import field_vocabulary, sheets, tables
 
@@ -299,6 +300,70 @@ def test_changed_concepts(spark):
     assert [r.start_id for r in kept.collect()] == ["UMLS:C1"]
 
 
+def test_links_of_other_codes_move_along(spark):
+    old = links(spark, [("B:2", "B:2"), ("B:2", "A:9"), ("UMLS:C1", "B:3")])
+    moved = ingest.moved_concepts(ingest.changed_concepts(links(spark, [("UMLS:C5", "B:2")]), old))
+    _, kept = ingest.rewrite_moved(spark.createDataFrame([], "start_id string, end_id string"), old, moved)
+    assert sorted((r.start_id, r.codeid) for r in kept.collect()) == [("UMLS:C1", "B:3"), ("UMLS:C5", "A:9")]
+
+
+def test_concepts_in_use_stay_and_chains_end(spark):
+    pairs = [("A:1", "A:2"), ("A:2", "A:3"), ("A:3", "UMLS:C1"), ("A:3", "UMLS:C2"), ("B:1", "B:2"), ("B:2", "B:1"), ("B:3", "B:2"), ("D:1", "D:2")]
+    changes = spark.createDataFrame([(o, n, o) for o, n in pairs] + [("UMLS:C9", "UMLS:C8", "Z:1")], "old_cui string, new_cui string, codeid string")
+    used = spark.createDataFrame([("D:1",)], "assigned_cui string")
+    assert sorted(map(tuple, ingest.moved_concepts(changes, used).collect())) == [
+        *[(f"A:{i}", f"UMLS:C{k}") for i in (1, 2, 3) for k in (1, 2)], ("B:2", "B:1"), ("B:3", "B:1")]
+
+
+def test_long_chains_end_in_few_joins(spark):
+    chain = spark.range(1000).select(F.col("id").alias("old"), (F.col("id") + 1).alias("new"))
+    assert chain_ends(chain, "old", "new").agg(F.count("*"), F.min("new"), F.max("new")).first() == (1000, 1000, 1000)
+    ring = spark.range(5).select(F.col("id").alias("old"), ((F.col("id") + 1) % 5).alias("new"))
+    assert chain_ends(ring, "old", "new").agg(F.count("*"), F.min("new"), F.max("new")).first() == (5, 0, 0)
+    assert chain_ends(chain.limit(0), "old", "new").count() == 0
+
+
+def test_moves_concern_earlier_steps_only(spark):
+    """A concept that is minted again after it moved is another one for the rows of then."""
+    moves = [(2, "A", "B"), (4, "B", "C"), (5, "A", "D"), (6, "C", "E"), (6, "C", "F")]
+    found = ingest.moves_by_step(spark.createDataFrame(moves, "step int, old_cui string, new_cui string"))
+    expected = [("A", "E", 0, 2), ("A", "F", 0, 2), ("A", "D", 2, 5), ("B", "E", 0, 4), ("B", "F", 0, 4), ("C", "E", 0, 6), ("C", "F", 0, 6)]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    rels = spark.createDataFrame([("r", "A", "x", s) for s in (1, 2, 4, 5)], "label string, start_id string, end_id string, step int")
+    codes = spark.createDataFrame([("A", "A", 1), ("A", "Q", 3)], "start_id string, codeid string, step int")
+    links_, kept = ingest.rewrite_moved(rels, codes, found)
+    assert sorted((r.step, r.start_id) for r in links_.collect()) == [(1, "E"), (1, "F"), (2, "D"), (4, "D"), (5, "A")]
+    assert [(r.start_id, r.codeid) for r in kept.collect()] == [("D", "Q")]
+
+
+def test_a_context_goes_on_with_its_moves(spark, tmp_path):
+    made = lambda name: _moving_source(spark, name)
+    sources = [("A", made("A")), ("B", made("B")), ("C", made("C"))]
+    first = ingest.build_context(spark, tables.empty_graph(spark), sources[:2], str(tmp_path), move_concepts=True)
+    assert {(r.start_id, r.end_id) for r in first.rels.where("label = 'says'").collect()} == {("A:1", "C:1")}
+    before = (tmp_path / "step=0001/rels").stat().st_mtime
+    whole = ingest.build_context(spark, tables.empty_graph(spark), sources, str(tmp_path), move_concepts=True)
+    assert (tmp_path / "step=0001/rels").stat().st_mtime == before  # moved when read, not written again
+    assert {(r.start_id, r.end_id) for r in whole.rels.where("label = 'says'").collect()} == {("A:1", "UMLS:C77")}
+    assert {(r.codeid, r.start_id) for r in whole.coderels.collect()} == {("A:1", "A:1"), ("B:1", "UMLS:C77"), ("C:1", "UMLS:C77")}
+    ids = [r.id for r in whole.concepts.collect()]
+    assert sorted(ids) == ["A:1", "UMLS:C77"]
+    changed = spark.read.csv(str(tmp_path / "step=0003/diagnostics/changed_concepts"), header=True)
+    assert ("C:1", "UMLS:C77", "C:1") in {(r.old_cui, r.new_cui, r.codeid) for r in changed.collect()}
+
+
+def _moving_source(spark, sab):
+    """A names code B:1 and C:1; B refers its code to C:1, and C its own to a concept."""
+    edges = {"A": [("A:1", "says", "B:1"), ("A:1", "knows", "C:1")], "B": [], "C": []}[sab]
+    xref = {"A": "", "B": "c:1", "C": "umls:c77"}[sab]
+    schema = "id string, name string, description string, sab string, source_version string, source string, srl int, ttyl array<string>"
+    return lambda: (
+        spark.createDataFrame([(*e, i) for i, e in enumerate(edges)], "subject string, predicate string, object string, ord bigint"),
+        tables.list_columns(spark.createDataFrame([(f"{sab}:1", f"node {sab}", "", "", xref, 0)], "node_id string, node_label string, node_definition string, node_synonyms string, node_dbxrefs string, ord bigint")),
+        spark.createDataFrame([(f"{sab}:{sab}", sab, "", sab, "1", "", None, ["PT"])], schema),
+    )
+
+
 def test_definitions_are_appended_once(spark, tmp_path):
     found = sheets.definition_rows(spark.createDataFrame([(1, "text"), (2, ""), (1, "text")], "uid bigint, summary string"))
     path = str(tmp_path / "defs")

@@ -300,6 +300,55 @@ def cui_rewrite(inputs: Inputs) -> DataFrame:
     return rels.select("label", "start_id", "end_id").unionByName(coderels.select(F.lit("CODE").alias("label"), "start_id", "end_id"))
 
 
+# three sources: orders name customers and their accounts, then both bring cross-references of their own
+VIEWS["fx_account_nodes"] = """
+SELECT concat('ACC:', CAST(c_custkey AS STRING)) AS node_id, concat('account ', CAST(c_custkey AS STRING)) AS node_label, '' AS node_definition, '' AS node_synonyms,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN concat('umls:c7', lpad(CAST(c_custkey AS STRING), 9, '0')) ELSE '' END AS node_dbxrefs, c_custkey AS ord FROM customer"""
+VIEWS["fx_account_edges"] = """
+SELECT concat('ACC:', CAST(c_custkey AS STRING)) AS subject, 'kept_in' AS predicate, concat('NATION:', CAST(c_nationkey AS STRING)) AS object, c_custkey AS ord FROM customer"""
+VIEWS["fx_holder_nodes"] = """
+SELECT concat('CUST:', CAST(c_custkey AS STRING)) AS node_id, c_name AS node_label, '' AS node_definition, '' AS node_synonyms,
+       concat('acc:', CAST(c_custkey AS STRING)) AS node_dbxrefs, c_custkey AS ord FROM customer"""
+VIEWS["fx_buyer_nodes"] = """
+SELECT concat('ORD:', CAST(o_orderkey AS STRING)) AS node_id, o_orderpriority AS node_label, '' AS node_definition, '' AS node_synonyms, '' AS node_dbxrefs, o_orderkey AS ord FROM orders"""
+VIEWS["fx_buyer_edges"] = """
+SELECT * FROM fx_order_edges UNION ALL
+SELECT concat('CUST:', CAST(c_custkey AS STRING)), 'has_account', concat('ACC:', CAST(c_custkey AS STRING)), 100000000000 + c_custkey FROM customer"""
+
+
+@query("context_moved_concepts", """
+WITH c AS (SELECT c_custkey, c_nationkey, concat('ACC:', CAST(c_custkey AS STRING)) AS acc, concat('CUST:', CAST(c_custkey AS STRING)) AS code,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN concat('UMLS:C7', lpad(CAST(c_custkey AS STRING), 9, '0')) ELSE concat('ACC:', CAST(c_custkey AS STRING)) END AS cui FROM customer)
+SELECT 'placed_by' AS label, concat('ORD:', CAST(o_orderkey AS STRING)) AS start_id, cui AS end_id, 1 AS step FROM orders JOIN c ON o_custkey = c_custkey
+UNION ALL SELECT 'has_account', cui, cui, 1 FROM c
+UNION ALL SELECT 'located_in', cui, concat('NATION:', CAST(c_nationkey AS STRING)), 2 FROM c
+UNION ALL SELECT 'kept_in', cui, concat('NATION:', CAST(c_nationkey AS STRING)), 3 FROM c
+UNION ALL SELECT 'CODE', concat('ORD:', CAST(o_orderkey AS STRING)), concat('ORD:', CAST(o_orderkey AS STRING)), 1 FROM orders
+UNION ALL SELECT 'CODE', code, cui, 2 FROM c
+UNION ALL SELECT 'CODE', acc, cui, 3 FROM c
+UNION ALL SELECT 'CODE', acc, acc, 1 FROM c WHERE acc = cui
+UNION ALL SELECT DISTINCT 'CODE', concat('NATION:', CAST(c_nationkey AS STRING)), concat('NATION:', CAST(c_nationkey AS STRING)), s FROM c, (SELECT unnest([2, 3]) AS s)
+UNION ALL SELECT 'CONCEPT', cui, cui, CASE WHEN cui = acc THEN 1 ELSE 3 END FROM c
+UNION ALL SELECT 'CONCEPT', concat('ORD:', CAST(o_orderkey AS STRING)), concat('ORD:', CAST(o_orderkey AS STRING)), 1 FROM orders
+UNION ALL SELECT DISTINCT 'CONCEPT', concat('NATION:', CAST(c_nationkey AS STRING)), concat('NATION:', CAST(c_nationkey AS STRING)), 2 FROM c
+""")
+def context_moved_concepts(inputs: Inputs) -> DataFrame:
+    def load(edges: str, nodes: str, sab: str):
+        return lambda: (inputs.view(edges), tables.list_columns(inputs.view(nodes)), source_row(inputs, sab))
+
+    sources = [
+        ("ORD", load("fx_buyer_edges", "fx_buyer_nodes", "ORD")),
+        ("CUST", load("fx_customer_edges", "fx_holder_nodes", "CUST")),
+        ("ACC", load("fx_account_edges", "fx_account_nodes", "ACC")),
+    ]
+    folder = shared_folder(inputs.spark, "context")
+    graph = ingest.build_context(inputs.spark, tables.empty_graph(inputs.spark), sources, folder, move_concepts=True)
+    rels = graph.rels.select("label", "start_id", "end_id", "step")
+    codes = graph.coderels.select(F.lit("CODE").alias("label"), F.col("codeid").alias("start_id"), F.col("start_id").alias("end_id"), "step")
+    concepts = graph.concepts.select(F.lit("CONCEPT").alias("label"), F.col("id").alias("start_id"), F.col("id").alias("end_id"), "step")
+    return rels.unionByName(codes).unionByName(concepts)
+
+
 # ---- sequence numbers --------------------------------------------------------------------
 
 

@@ -6,16 +6,18 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vocabweave.functions.text import custom_props, standardize_synonym, standardize_synonyms
+from vocabweave.operators.chains import chain_ends
 from vocabweave.operators.resolve import assign_concepts, complete_nodes, missing_nodes, shared_members
 from vocabweave.session import cut_lineage
 from vocabweave.sources.tables import (
     EDGE_COLUMNS,
     NODE_COLUMNS,
     Graph,
+    load_moves,
     load_steps,
     save_graph,
     step_folder,
@@ -170,6 +172,9 @@ class Ingest:
     missing: DataFrame
     self_edges: DataFrame
     counts: DataFrame
+    #: (old_cui, new_cui, codeid) of all codes that had concepts before, and the moves (old_cui, new_cui).
+    changed: DataFrame
+    moved: DataFrame
 
     def write_diagnostics(self, folder: str, mode: str = "error") -> None:
         write_text_table(self.missing, f"{folder}/missing_nodes", mode=mode)
@@ -177,6 +182,7 @@ class Ingest:
         write_text_table(shared_members(self.assigned), f"{folder}/shared_concept_members", mode=mode)
         write_text_table(self.self_edges.drop("props"), f"{folder}/self_referential_edges", sep=",", mode=mode)
         write_text_table(self.counts, f"{folder}/node_counts", mode=mode)
+        write_text_table(self.changed, f"{folder}/changed_concepts", sep=",", mode=mode)
 
 
 def ingest_source(
@@ -191,6 +197,7 @@ def ingest_source(
     own_sab_only: bool = False,
     only_new_links: bool = False,
     synonyms: DataFrame | None = None,
+    move_concepts: bool = False,
 ) -> Ingest:
     """Fold one source into ``graph``; a source that is already in it is refused.
 
@@ -198,6 +205,10 @@ def ingest_source(
     values are rows already, they are given as ``synonyms`` (node_id, synonym), beside those in
     the column, and ``xrefs`` (node_id, xref_ord, xref), instead of the column; then the columns
     may be missing. ``own_sab_only`` uses only the cross-references of the source's own codes.
+
+    With ``move_concepts``, concepts that earlier sources minted from a code of this source give
+    way to those that it gives the code: links to them are rewritten in the whole graph, the rows
+    keeping their step. A concept that is still assigned to a node stays.
     """
     if source_exists(graph.sources, sab):
         raise ValueError(f"source {sab} is already in the graph")
@@ -223,17 +234,25 @@ def ingest_source(
     if only_new_links:
         links = only_new(links, graph.coderels)
     rels, self_edges = split_self_edges(edges_to_rels(edges, assigned, sab))
+    concepts, all_links, all_rels = graph.concepts, added(graph.coderels, links), added(graph.rels, rels)
+    concepts = added(concepts, new_concepts(whole, concept_list, graph.coderels, sab))
+    changed = changed_concepts(links, graph.coderels)
+    moved = changed.select("old_cui", "new_cui").limit(0)
+    if move_concepts:
+        moved = cut_lineage(moved_concepts(changed, assigned))
+        all_rels, all_links = rewrite_moved(all_rels, all_links, moved)
+        concepts = without_moved(concepts, moved)
     after = replace(
         graph,
         sources=added(graph.sources, source),
         rel_labels=added(graph.rel_labels, new_rel_labels(edges, graph.rel_labels, sab)),
-        concepts=added(graph.concepts, new_concepts(whole, concept_list, graph.coderels, sab)),
+        concepts=concepts,
         terms=added(graph.terms, new_terms(whole, graph.terms, synonyms)),
-        coderels=added(graph.coderels, links),
-        rels=added(graph.rels, rels),
+        coderels=all_links,
+        rels=all_rels,
     )
     return Ingest(
-        after, whole, assigned, concept_list, missing_nodes(edges, nodes), self_edges, node_counts(graph, after)
+        after, whole, assigned, concept_list, missing_nodes(edges, nodes), self_edges, node_counts(graph, after), changed, moved
     )
 
 
@@ -243,12 +262,15 @@ def build_context(
     sources: Sequence[tuple[str, Callable[[], tuple[DataFrame, DataFrame, DataFrame]]]],
     folder: str,
     mode: str = "own_code",
+    move_concepts: bool = False,
 ) -> Graph:
     """Fold sources into the graph in the given order; later ones see earlier codes.
 
-    A step writes only the rows it adds, with its diagnostics, to a folder of its own below
-    ``folder``; its counts are written last and mark it as finished. Step 0 is the graph given.
-    A run on a folder that holds finished steps goes on after the last of them.
+    A step writes only the rows it adds and the concepts it moves, with its diagnostics, to a
+    folder of its own below ``folder``; its counts are written last and mark it as finished.
+    Step 0 is the graph given. Rows of earlier steps are never written again: ``load_context``
+    does the moves of later steps in them. A run on a folder that holds finished steps goes on
+    after the last of them.
     """
     def finished(step: int) -> bool:
         try:
@@ -265,15 +287,17 @@ def build_context(
     for step, (sab, load) in enumerate(sources, start=1):
         if finished(step):
             continue
-        before = load_steps(spark, folder, range(step))
+        before = load_context(spark, folder, range(step))
         edges, nodes, source = load()
-        result = ingest_source(before, edges, nodes, source, sab, step, mode)
+        result = ingest_source(before, edges, nodes, source, sab, step, mode, move_concepts=move_concepts)
         result.write_diagnostics(f"{step_folder(folder, step)}/diagnostics", "overwrite")
         added = Graph(**{name: table.where(F.col("step") == step) for name, table in result.graph.tables().items()})
         save_graph(added, step_folder(folder, step), "overwrite")
-        counts = node_counts(before, load_steps(spark, folder, range(step + 1)))
+        if move_concepts:
+            result.moved.write.mode("overwrite").parquet(f"{step_folder(folder, step)}/moved")
+        counts = node_counts(before, load_context(spark, folder, range(step + 1)))
         counts.write.mode("overwrite").parquet(f"{step_folder(folder, step)}/counts")
-    return load_steps(spark, folder, range(len(sources) + 1))
+    return load_context(spark, folder, range(len(sources) + 1))
 
 
 # ---- concepts that change when a code's own source arrives later -------------------------
@@ -286,21 +310,88 @@ def changed_concepts(new_coderels: DataFrame, old_coderels: DataFrame) -> DataFr
     return new.join(old, ["codeid"]).select("old_cui", "new_cui", "codeid")
 
 
+def moved_concepts(changes: DataFrame, in_use: DataFrame | None = None) -> DataFrame:
+    """(old_cui, new_cui): the concepts minted from a code that give way, and where they end up.
+
+    A concept that an ``in_use`` row (assigned_cui) still names stays. A concept that gives way to
+    one that gives way itself goes on to the end of the chain; of concepts that only give way to
+    each other the smallest stays.
+    """
+    minted = changes.where("old_cui = codeid AND new_cui <> old_cui").select("old_cui", "new_cui").distinct()
+    if in_use is not None:
+        minted = minted.join(in_use.select(F.col("assigned_cui").alias("old_cui")).distinct(), ["old_cui"], "left_anti")
+    return chain_ends(minted, "old_cui", "new_cui").where("old_cui <> new_cui")
+
+
 def rewrite_changed(
     rels: DataFrame, coderels: DataFrame, changes: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """Links and code links after minted concepts gave way to the new ones.
 
     Only concepts minted from the code itself are replaced. A link whose ends both changed
-    is rewritten for each pair of new concepts.
+    is rewritten for each pair of new concepts. The code's own link to its old concept goes;
+    links of other codes to it move along.
     """
-    minted = changes.where("old_cui = codeid AND new_cui <> old_cui").select("old_cui", "new_cui").distinct()
+    return rewrite_moved(rels, coderels, moved_concepts(changes))
 
-    def rewritten(links: DataFrame, end: str) -> DataFrame:
-        moves = minted.select(F.col("old_cui").alias(end), F.col("new_cui").alias("_new"))
-        joined = links.join(moves, [end], "left")
-        return joined.withColumn(end, F.coalesce("_new", F.col(end))).drop("_new").select(*links.columns)
 
-    gone = minted.select(F.col("old_cui").alias("start_id")).distinct()
-    kept = coderels.join(gone, ["start_id"], "left_anti")
-    return rewritten(rewritten(rels, "end_id"), "start_id"), kept.select(*coderels.columns)
+def rewrite_moved(rels: DataFrame, coderels: DataFrame, moved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rels`` and ``coderels`` after the moves (old_cui, new_cui).
+
+    Moves with the columns ``since`` and ``step`` concern the rows of the steps from ``since``
+    and before ``step`` only.
+    """
+    def rewritten(links: DataFrame, end: str) -> DataFrame:
+        here = moved.select(*[F.col(c).alias(f"_{c}") for c in moved.columns])
+        met = links[end] == here["_old_cui"]
+        if "_since" in here.columns:
+            met = met & (links["step"] >= here["_since"]) & (links["step"] < here["_step"])
+        joined = links.join(here, met, "left")
+        columns = [F.coalesce("_new_cui", links[end]).alias(end) if c == end else links[c] for c in links.columns]
+        return joined.select(*columns, F.col("_new_cui").isNotNull().alias("_moved"))
+
+    links = rels.select("*")
+    for end in ("end_id", "start_id"):
+        links = rewritten(links, end).drop("_moved")
+    # the concept that was minted from a code is no longer one of the code's own
+    codes = rewritten(coderels.withColumn("_own", F.col("start_id") == F.col("codeid")), "start_id")
+    return links, codes.where("NOT (_moved AND _own)").select(*coderels.columns)
+
+
+def without_moved(concepts: DataFrame, moved: DataFrame) -> DataFrame:
+    """``concepts`` without those that have moved (in the steps that the moves concern)."""
+    here = moved.select(*[F.col(c).alias(f"_{c}") for c in moved.columns]).drop("_new_cui").distinct()
+    met = concepts["id"] == here["_old_cui"]
+    if "_since" in here.columns:
+        met = met & (concepts["step"] >= here["_since"]) & (concepts["step"] < here["_step"])
+    return concepts.join(here, met, "left_anti")
+
+
+def moves_by_step(moves: DataFrame) -> DataFrame:
+    """Where the rows of earlier steps end up, from the moves (step, old_cui, new_cui) of all steps.
+
+    A row of a step follows the first later move of its concept, then the first move after that
+    one of the new concept, and so on. A concept can be minted again after it moved: each of its
+    moves concerns the steps ``since`` its last one and before ``step``.
+    """
+    times = moves.select("old_cui", "step").distinct()
+    earlier = Window.partitionBy("old_cui").orderBy("step")
+    spans = times.withColumn("since", F.coalesce(F.lag("step").over(earlier), F.lit(0)))
+    # the move that a move leads to: the first later one of its new concept
+    later = times.select(F.col("old_cui").alias("_next"), F.col("step").alias("_at"))
+    leads = moves.join(later, (F.col("new_cui") == F.col("_next")) & (F.col("_at") > F.col("step")), "left")
+    leads = leads.groupBy("step", "old_cui", "new_cui").agg(F.min("_at").alias("_at"))
+    # a move is named by its concept and step; what never moves again has no step
+    named = leads.select(F.struct("old_cui", "step").alias("move"), F.struct(F.col("new_cui").alias("old_cui"), F.col("_at").alias("step")).alias("to"))
+    ends = chain_ends(named, "move", "to").select("move.*", F.col("to.old_cui").alias("new_cui"))
+    return ends.join(spans, ["old_cui", "step"]).select("old_cui", "new_cui", "since", "step")
+
+
+def load_context(spark: SparkSession, folder: str, steps: Sequence[int]) -> Graph:
+    """Graph of the given steps of a context, with the moves of later steps done in the rows of earlier ones."""
+    graph = load_steps(spark, folder, steps)
+    moves = cut_lineage(moves_by_step(load_moves(spark, folder, steps)))
+    if moves.isEmpty():
+        return graph
+    rels, coderels = rewrite_moved(graph.rels, graph.coderels, moves)
+    return replace(graph, rels=rels, coderels=coderels, concepts=without_moved(graph.concepts, moves))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, fields, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -379,5 +380,17 @@ def load_steps(spark: SparkSession, folder: str, steps: Sequence[int]) -> Graph:
     return Graph(**{name: spark.read.schema(schema).parquet(*[f"{p}/{name}" for p in paths]) for name, schema in GRAPH_SCHEMAS.items()})
 
 
+def load_moves(spark: SparkSession, folder: str, steps: Sequence[int]) -> DataFrame:
+    """Moved concepts (step, old_cui, new_cui) of the steps that have any."""
+    moves = spark.createDataFrame([], "step int, old_cui string, new_cui string")
+    for step in steps:
+        try:
+            own = spark.read.schema("old_cui string, new_cui string").parquet(f"{step_folder(folder, step)}/moved")
+        except AnalysisException:
+            continue
+        moves = moves.unionByName(own.withColumn("step", F.lit(step)))
+    return moves
+
+
 def step_folder(folder: str, step: int) -> str:
     return f"{folder}/step={step:04d}"
