@@ -5,8 +5,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from vocabweave.functions import codes, text
-from vocabweave.operators import graph_queries, relations
-from vocabweave.sources import crosswalk, field_vocabulary, oneshot, pathways, proteins, sheets
+from vocabweave.operators import affixes, graph_queries, relations
+from vocabweave.functions import fixed_values as fixed
+from vocabweave.sources import crosswalk, field_vocabulary, oneshot, pathways, proteins, sheets, triples
 
 
 def value(spark, text_value, expression):
@@ -195,3 +196,57 @@ def test_oneshot_keeps_every_synonym(spark):
     rows = spark.createDataFrame([("http://x/obo/A_1", "a", "None", "b|c|a", None)], "node_id string, node_label string, node_definition string, node_synonyms string, node_dbxrefs string")
     got = sorted((r.kind, r.id) for r in oneshot.oneshot_nodes(rows).collect())
     assert got == [("Concept", "A:1"), ("Term", "a"), ("Term", "b"), ("Term", "c")]
+
+
+def test_maps_of_any_size(spark):
+    keys = spark.range(50_000).select(F.concat(F.lit("_"), F.col("id").cast("string")).alias("key"), F.col("id").cast("string").alias("value"), F.col("id").alias("ord"))
+    keys = keys.unionByName(spark.createDataFrame([("", "none", -1), (None, "none", -2), ("_7", "again", 60_000), ("c_1", "longer", 5)], "key string, value string, ord bigint"))
+    texts = spark.createDataFrame([(1, "abc_49999"), (2, "abc_1"), (2, "abc_1"), (3, "7"), (4, None), (5, ""), (6, "x_7"), (7, "_12_3")], "id int, value string")
+    found = affixes.affix_join(texts, "value", keys, "hit")
+    assert sorted((r.id, r.hit) for r in found.collect()) == [(1, "49999"), (2, "1"), (2, "1"), (3, None), (4, None), (5, None), (6, "7"), (7, "3")]
+    assert sorted((r.id, r.hit) for r in affixes.affix_join(texts, "value", keys, "hit", last=True).collect()) == [
+        (1, "49999"), (2, "longer"), (2, "longer"), (3, None), (4, None), (5, None), (6, "again"), (7, "3")]
+    held = affixes.affix_join(texts, "value", keys, "hit", "inside", last=True)
+    assert {r.id: r.hit for r in held.collect()} == {1: "49999", 2: "longer", 3: None, 4: None, 5: None, 6: "again", 7: "12"}
+    begun = affixes.affix_join(texts, "value", keys, "hit", "prefix")
+    assert {r.id: r.hit for r in begun.collect()} == {1: None, 2: None, 3: None, 4: None, 5: None, 6: None, 7: "1"}
+    assert {r.hit for r in affixes.affix_join(texts, "value", keys.limit(0), "hit").collect()} == {None}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_relation_names_by_a_map_table(spark):
+    reference = spark.createDataFrame([], "iri string, label string, inverse_label string, ord bigint")
+    predicates = spark.createDataFrame([("http://x/a#EFO_12",), ("http://x/part_of",), ("plain",)], "predicate string")
+    table = spark.createDataFrame([("efo_12 ", "has part", 1), ("12", "other", 2)], "key string, value string, ord int")
+    named = lambda pairs: {r.predicate: r.relation_label for r in relations.relation_names(predicates, reference, pairs=pairs).collect()}
+    expected = {"http://x/a#EFO_12": "has_part", "http://x/part_of": "part_of", "plain": "plain"}
+    assert named(table) == named([("efo_12 ", "has part"), ("12", "other")]) == expected
+
+
+def test_axioms_and_long_lists_become_links(spark):
+    iri = lambda name: f"http://x.org/{name}"
+    rows = [(iri(f"m{i}"), fixed.RDF_TYPE, fixed.OWL_CLASS) for i in range(1000)] + [(iri(c), fixed.RDF_TYPE, fixed.OWL_CLASS) for c in "ABCDEFG"]
+    # a class equal to an intersection of 1,000 members, the last of which is an intersection of D and a restriction
+    rows += [(iri("A"), fixed.OWL_EQUIVALENT, "_:i"), ("_:i", fixed.OWL_INTERSECTION, "_:c0")]
+    rows += [(f"_:c{i}", fixed.RDF_FIRST, iri(f"m{i}")) for i in range(1000)] + [("_:c1000", fixed.RDF_FIRST, "_:j")]
+    rows += [(f"_:c{i}", fixed.RDF_REST, f"_:c{i + 1}") for i in range(1000)] + [("_:c1000", fixed.RDF_REST, fixed.RDF_NIL)]
+    rows += [("_:j", fixed.OWL_INTERSECTION, "_:d0"), ("_:d0", fixed.RDF_FIRST, iri("D")), ("_:d0", fixed.RDF_REST, "_:d1"), ("_:d1", fixed.RDF_FIRST, "_:r"), ("_:d1", fixed.RDF_REST, fixed.RDF_NIL)]
+    # the restriction's filler is an intersection of E and F
+    rows += [("_:r", fixed.OWL_ON_PROPERTY, iri("p")), ("_:r", fixed.OWL_FILLERS[0], "_:k"), ("_:k", fixed.OWL_INTERSECTION, "_:e0")]
+    rows += [("_:e0", fixed.RDF_FIRST, iri("E")), ("_:e0", fixed.RDF_REST, "_:e1"), ("_:e1", fixed.RDF_FIRST, iri("F")), ("_:e1", fixed.RDF_REST, fixed.RDF_NIL)]
+    # G is the union of B and C; B is below a restriction
+    rows += [(iri("G"), fixed.OWL_EQUIVALENT, "_:u"), ("_:u", fixed.OWL_UNION, "_:f0"), ("_:f0", fixed.RDF_FIRST, iri("B")), ("_:f0", fixed.RDF_REST, "_:f1")]
+    rows += [("_:f1", fixed.RDF_FIRST, iri("C")), ("_:f1", fixed.RDF_REST, fixed.RDF_NIL), (iri("B"), fixed.RDFS_SUBCLASS, "_:s"), ("_:s", fixed.OWL_ON_PROPERTY, iri("q")), ("_:s", fixed.OWL_FILLERS[1], iri("C"))]
+    # an axiom on two classes, one on a text, one on something that is no class
+    axiom = lambda name, target, kind=iri("says"): [(name, fixed.RDF_TYPE, fixed.OWL_AXIOM), (name, fixed.OWL_SOURCE, iri("B")), (name, fixed.OWL_PROPERTY, kind), (name, fixed.OWL_TARGET, target)]
+    rows += axiom("_:x", iri("D")) + axiom("_:y", "a text") + axiom("_:z", iri("thing")) + [(iri("thing"), fixed.RDF_TYPE, iri("Kind"))] + axiom("_:w", iri("open"))
+    table = spark.createDataFrame(rows, "s string, p string, o string")
+    short = lambda frame: {tuple(v.removeprefix("http://x.org/") for v in r) for r in frame.collect()}
+    below = fixed.RDFS_SUBCLASS
+    assert short(triples.stated_links(table)) == {("B", "says", "D"), ("B", "says", "open")}
+    assert short(triples.decoded_links(table)) == {
+        *[("A", below, f"m{i}") for i in range(1000)], ("A", below, "D"), ("A", "p", "E"), ("A", "p", "F"),
+        ("B", below, "G"), ("C", below, "G"), ("B", "q", "C")}
+    assert short(triples.class_links(table).select("s", "p", "o")) == set()
+    assert triples.logical_links(table.limit(0)).count() == 0

@@ -116,19 +116,20 @@ def prefix_source(raw: Column) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
-def standardize_code(raw: Column, sab: Column | str = "", as_coded: bool = False) -> Column:
+def standardize_code(raw: Column, sab: Column | str = "", as_coded: bool = False, prefix: Column | None = None) -> Column:
     """``SAB:id`` form of a code or cross-reference of source ``sab``; null stays null.
 
     One CASE over the raw text, latest rule first. ``as_coded`` keeps two oddities of the
     original results: EDAM cross-references lose their SAB, and any blank-free text that
     starts with C counts as a UMLS concept (by default its second character must be a digit).
+    ``prefix`` is the source that a map names, where it is not the map kept here.
     """
     rules = [(rule.applies(raw), rule.value(raw)) for rule in SPELLINGS_BEFORE_PREFIXES]
     if as_coded:
         rules[1] = (rules[1][0], after_last(raw, ":"))
     source = F.lit(sab) if isinstance(sab, str) else sab
     if not isinstance(sab, str) or sab in HASH_PREFIX_SOURCES + UNDERSCORE_PREFIX_SOURCES:
-        mapped = prefix_source(raw)
+        mapped = prefix_source(raw) if prefix is None else prefix
         rules.append((
             source.isin(HASH_PREFIX_SOURCES) & mapped.isNotNull(),
             F.concat(mapped, F.lit(":"), after_last(F.translate(raw, " /", "__"), "#")),

@@ -148,6 +148,18 @@ OWL_AXIOM = "http://www.w3.org/2002/07/owl#Axiom"
 OWL_DISJOINT = "http://www.w3.org/2002/07/owl#disjointWith"
 OWL_SOURCE = "http://www.w3.org/2002/07/owl#annotatedSource"
 OWL_TARGET = "http://www.w3.org/2002/07/owl#annotatedTarget"
+OWL_PROPERTY = "http://www.w3.org/2002/07/owl#annotatedProperty"
+OWL_EQUIVALENT = "http://www.w3.org/2002/07/owl#equivalentClass"
+OWL_INTERSECTION = "http://www.w3.org/2002/07/owl#intersectionOf"
+OWL_UNION = "http://www.w3.org/2002/07/owl#unionOf"
+OWL_ON_PROPERTY = "http://www.w3.org/2002/07/owl#onProperty"
+OWL_FILLERS = [
+    "http://www.w3.org/2002/07/owl#someValuesFrom", "http://www.w3.org/2002/07/owl#allValuesFrom",
+    "http://www.w3.org/2002/07/owl#hasValue", "http://www.w3.org/2002/07/owl#onClass",
+]
+RDF_FIRST = "http://www.w3.org/1999/02/22-rdf-syntax-ns#first"
+RDF_REST = "http://www.w3.org/1999/02/22-rdf-syntax-ns#rest"
+RDF_NIL = "http://www.w3.org/1999/02/22-rdf-syntax-ns#nil"
 OBO_SYNONYM = "http://www.geneontology.org/formats/oboInOwl#hasExactSynonym"
 OBO_DBXREF = "http://www.geneontology.org/formats/oboInOwl#hasDbXref"
 OBO_DEFINITION = "http://purl.obolibrary.org/obo/IAO_0000115"

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from vocabweave.functions.codes import after_last, pair_literal
 from vocabweave.functions.fixed_values import OBO_PREFIX, RDF_TYPE, RDFS_TYPE, RELATION_LABELS
+from vocabweave.operators.affixes import affix_join
 from vocabweave.operators.keyed import first_per_key
 
 REFERENCE_DOCUMENT = (
     "graphs array<struct<nodes:array<struct<id:string,lbl:string,meta:struct<definition:struct<val:string>>>>,"
     "edges:array<struct<sub:string,pred:string,obj:string>>>>"
 )
-MAP_LIMIT = 2000
 
 
 def read_relation_reference(documents: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -68,14 +68,6 @@ def relation_inverses(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def load_small_map(table: DataFrame, key: str, value: str) -> list[tuple[str, str]]:
-    """Ordered (key, value) pairs of a map file; a map too large for an expression is refused."""
-    rows = table.orderBy("ord").select(key, value).limit(MAP_LIMIT + 1).collect()
-    if len(rows) > MAP_LIMIT:
-        raise ValueError(f"map has more than {MAP_LIMIT} rows")
-    return [(row[0], row[1]) for row in rows]
-
-
 def label_of_suffix(label: Column, pairs: Sequence[tuple[str, str]] = RELATION_LABELS) -> Column:
     """Label of the first code in the map that ``label`` ends with, any case; else null."""
     codes = pair_literal([(code.strip().lower(), name.strip()) for code, name in pairs])
@@ -87,13 +79,14 @@ def relation_names(
     predicates: DataFrame,
     reference: DataFrame,
     spatial: DataFrame | None = None,
-    pairs: Sequence[tuple[str, str]] = RELATION_LABELS,
+    pairs: Sequence[tuple[str, str]] | DataFrame = RELATION_LABELS,
 ) -> DataFrame:
     """(predicate, relation_label, inverse_label) for distinct predicates.
 
     ``reference`` is the result of ``relation_inverses``; ``spatial`` has (id, lbl, ord).
     Precedence: reference by IRI, by ``RO:code``, by label; spatial reference by IRI; text
-    after ``#``; text after the last ``/``. The lookups are joins on distinct keys.
+    after ``#``; text after the last ``/``. The lookups are joins on distinct keys. ``pairs`` is
+    a short map, or a table (key, value, ord) of any size.
     """
     by_iri = first_per_key(reference.where("iri IS NOT NULL"), ["iri"], ["ord"])
     by_label = first_per_key(reference.where("label IS NOT NULL"), ["label"], ["ord"])
@@ -122,7 +115,13 @@ def relation_names(
     after_hash = F.when(predicate.contains("#"), after_last(predicate, "#"))
     looked = F.coalesce("iri_label", "code_label", "name_label", "place_label", after_hash, after_last(predicate, "/"))
     isa = predicate.isin(RDF_TYPE, RDFS_TYPE) | looked.contains("subClassOf")
-    label = F.when(isa, F.lit("isa")).otherwise(F.coalesce(label_of_suffix(looked, pairs), looked))
+    if isinstance(pairs, DataFrame):
+        codes = pairs.select(F.lower(F.trim("key")).alias("key"), F.trim("value").alias("value"), "ord")
+        found = affix_join(found.withColumn("looked_text", F.lower(F.trim(looked))), "looked_text", codes, "suffix_label")
+        of_suffix = F.col("suffix_label")
+    else:
+        of_suffix = label_of_suffix(looked, pairs)
+    label = F.when(isa, F.lit("isa")).otherwise(F.coalesce(of_suffix, looked))
     named = found.select(
         "predicate",
         label.alias("label"),
@@ -139,7 +138,7 @@ def standardize_relations(
     edges: DataFrame,
     reference: DataFrame,
     spatial: DataFrame | None = None,
-    pairs: Sequence[tuple[str, str]] = RELATION_LABELS,
+    pairs: Sequence[tuple[str, str]] | DataFrame = RELATION_LABELS,
 ) -> DataFrame:
     """Edges with the standard label in place of their predicate."""
     names = relation_names(edges, reference, spatial, pairs).select("predicate", "relation_label")

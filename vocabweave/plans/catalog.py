@@ -41,8 +41,12 @@ class Inputs:
         return self.spark.sql(whole)
 
 
-def with_views(text: str) -> str:
-    """``text`` behind the definitions of all views it names, in dependency order."""
+def with_views(text: str, kept: str = "") -> str:
+    """``text`` behind the definitions of all views it names, in dependency order.
+
+    ``kept`` is what the other engine writes before views that are worked out once (those that
+    start with ox); without it, a view is worked out wherever it is named.
+    """
     ordered: list[str] = []
 
     def visit(body: str) -> None:
@@ -61,7 +65,7 @@ def with_views(text: str) -> str:
     if own:
         recursive = "RECURSIVE " if own.group(1) else ""
         body = ", " + body[own.end():]
-    definitions = ", ".join(f"{name} AS ({VIEWS[name]})" for name in ordered)
+    definitions = ", ".join(f"{name} AS {kept if name.startswith('ox_') else ''}({VIEWS[name]})" for name in ordered)
     return f"WITH {recursive}{definitions} {body}"
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vocabweave.functions import codes, text
 from vocabweave.functions.fixed_values import PREFIX_SOURCES, RELATION_LABELS
+from vocabweave.operators.affixes import affix_join, standardize_codes
 from vocabweave.operators.relations import format_relation, label_of_suffix
 from vocabweave.operators.rows import dedupe_counts
 from vocabweave.plans.catalog import VIEWS, Inputs, query
@@ -135,6 +136,46 @@ def suffix_map(inputs: Inputs) -> DataFrame:
     return inputs.view("fx_suffix_labels").withColumn("relation", label_of_suffix(F.col("label")))
 
 
+# maps that are tables: codes of customers by the end of a label, suppliers by their name in a text
+VIEWS["fx_label_map"] = """
+SELECT c_name AS key, c_mktsegment AS value, c_custkey AS ord FROM customer
+UNION ALL SELECT substr(c_name, length(c_name) - 2, 3), concat('any ', c_mktsegment), 1000000000 - c_custkey FROM customer
+UNION ALL SELECT '', 'never', 0 FROM region"""
+VIEWS["fx_order_labels"] = """
+SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN concat('order of CUSTOMER#', lpad(CAST(o_custkey AS STRING), 9, '0'))
+  WHEN '2-HIGH' THEN concat('number ', CAST(o_custkey AS STRING)) ELSE o_orderpriority END AS label FROM orders"""
+
+
+@query("suffix_map_table", """
+WITH hit AS (SELECT label, arg_min(value, ord) AS relation FROM (SELECT DISTINCT label FROM fx_order_labels) JOIN fx_label_map ON key <> '' AND suffix(lower(label), lower(key)) GROUP BY label)
+SELECT o_orderkey, label, relation FROM fx_order_labels LEFT JOIN hit USING (label)
+""")
+def suffix_map_table(inputs: Inputs) -> DataFrame:
+    keys = inputs.view("fx_label_map").withColumn("key", F.lower("key"))
+    labels = inputs.view("fx_order_labels").withColumn("folded", F.lower("label"))
+    return affix_join(labels, "folded", keys, "relation").drop("folded")
+
+
+VIEWS["fx_source_map"] = """
+SELECT concat(s_name, '_') AS key, concat('SUPP', CAST(s_nationkey AS STRING)) AS value, s_suppkey AS ord FROM supplier
+UNION ALL SELECT c_mktsegment, c_mktsegment, 100000000 + min(c_custkey) FROM customer WHERE c_mktsegment LIKE 'B%' GROUP BY c_mktsegment"""
+VIEWS["fx_mixed_codes"] = """
+SELECT DISTINCT concat('http://x.org/Supplier#', lpad(CAST(l_suppkey AS STRING), 9, '0'), CASE WHEN l_linenumber < 4 THEN '_' ELSE '/' END,
+  CASE l_linestatus WHEN 'O' THEN 'BUILDING_' ELSE 'none_' END, 'id=', CAST(l_linenumber AS STRING)) AS raw FROM lineitem"""
+
+
+@query("prefix_map_table", """
+WITH hit AS (SELECT raw, arg_max(value, ord) AS source FROM fx_mixed_codes JOIN fx_source_map ON contains(raw, key) GROUP BY raw)
+SELECT raw, source, CASE WHEN source IS NOT NULL THEN concat(source, ':', list_last(string_split(translate(raw, ' /=', '___'), '_'))) END AS code
+FROM fx_mixed_codes LEFT JOIN hit USING (raw)
+""")
+def prefix_map_table(inputs: Inputs) -> DataFrame:
+    prefixes = inputs.view("fx_source_map")
+    found = affix_join(inputs.view("fx_mixed_codes"), "raw", prefixes, "source", "inside", last=True)
+    spelled = standardize_codes(found, "raw", "NPO", prefixes)
+    return spelled.select("raw", "source", F.when(F.col("source").isNotNull(), F.col("code")).alias("code"))
+
+
 @query("synonym_standardize", "SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9._ ]', '_', 'g') AS synonym FROM documents")
 def synonym_standardize(inputs: Inputs) -> DataFrame:
     rows = inputs.table("documents").select("doc_id", F.array("text").alias("synonyms"))

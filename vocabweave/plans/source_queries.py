@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from vocabweave.functions import codes as code_functions
 from vocabweave.functions.fixed_values import (
-    OBO_DBXREF, OBO_DEFINITION, OBO_SYNONYM, OWL_AXIOM, OWL_CLASS, OWL_DISJOINT, OWL_SOURCE,
-    OWL_TARGET, RDF_TYPE, RDFS_LABEL, RDFS_SUBCLASS, TEMPLATE_PARENT,
+    OBO_DBXREF, OBO_DEFINITION, OBO_SYNONYM, OWL_AXIOM, OWL_CLASS, OWL_DISJOINT, OWL_EQUIVALENT, OWL_FILLERS,
+    OWL_INTERSECTION, OWL_ON_PROPERTY, OWL_PROPERTY, OWL_SOURCE, OWL_TARGET, OWL_UNION, RDF_FIRST, RDF_NIL, RDF_REST,
+    RDF_TYPE, RDFS_LABEL, RDFS_SUBCLASS, TEMPLATE_PARENT,
 )
 from vocabweave.operators.keyed import list_rows
 from vocabweave.plans.catalog import VIEWS, Inputs, query
@@ -486,6 +487,43 @@ def triples_edges(inputs: Inputs) -> DataFrame:
     return triples.triple_edges(triple_table(inputs), "X", *relation_tables(inputs))
 
 
+# axioms with a property, restrictions, a list of all customers of a nation, and regions as unions of nations
+_blank = lambda name, key: f"concat('_:{name}', CAST({key} AS STRING))"
+_next = lambda name, key, group: f"coalesce(concat('_:{name}', CAST(lead({key}) OVER (PARTITION BY {group} ORDER BY {key}) AS STRING)), '{RDF_NIL}')"
+VIEWS["fx_axiom_triples"] = f"""
+SELECT s, p, o FROM fx_triples
+UNION ALL SELECT {_axiom}, '{OWL_PROPERTY}', 'http://x.org/core#supplied from' FROM supplier
+UNION ALL SELECT {_cust}, '{RDFS_SUBCLASS}', {_blank("r", "c_custkey")} FROM customer WHERE c_mktsegment IN ('MACHINERY', 'BUILDING')
+UNION ALL SELECT {_blank("r", "c_custkey")}, '{OWL_ON_PROPERTY}', 'http://x.org/core#buys in' FROM customer
+UNION ALL SELECT {_blank("r", "c_custkey")}, '{OWL_FILLERS[0]}', {_nation.replace("n_nationkey", "c_nationkey")} FROM customer
+UNION ALL SELECT {_nation}, '{RDFS_SUBCLASS}', {_blank("i", "n_nationkey")} FROM nation
+UNION ALL SELECT {_blank("i", "c_nationkey")}, '{OWL_INTERSECTION}', {_blank("c", "min(c_custkey)")} FROM customer GROUP BY c_nationkey
+UNION ALL SELECT {_blank("c", "c_custkey")}, '{RDF_FIRST}', CASE c_mktsegment WHEN 'AUTOMOBILE' THEN {_blank("r", "c_custkey")} ELSE {_cust} END FROM customer
+UNION ALL SELECT {_blank("c", "c_custkey")}, '{RDF_REST}', {_next("c", "c_custkey", "c_nationkey")} FROM customer
+UNION ALL SELECT {_region.format("r_regionkey")}, '{OWL_EQUIVALENT}', {_blank("u", "r_regionkey")} FROM region
+UNION ALL SELECT {_blank("u", "n_regionkey")}, '{OWL_UNION}', {_blank("n", "min(n_nationkey)")} FROM nation GROUP BY n_regionkey
+UNION ALL SELECT {_blank("n", "n_nationkey")}, '{RDF_FIRST}', {_nation} FROM nation
+UNION ALL SELECT {_blank("n", "n_nationkey")}, '{RDF_REST}', {_next("n", "n_nationkey", "n_regionkey")} FROM nation"""
+
+
+@query("triples_axiom_edges", f"""
+WITH k AS (SELECT s_nationkey, CASE WHEN s_nationkey < 8 THEN {_region.format("0")} ELSE 'http://x.org/untyped' END AS o FROM supplier WHERE s_nationkey < 16
+  UNION ALL SELECT s_nationkey, concat('http://x.org/obo/CUST_', CAST(s_suppkey AS STRING)) FROM supplier
+  WHERE s_nationkey >= 16 AND s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')),
+links AS (
+  SELECT s, p, o FROM ox_links
+  UNION SELECT {_nation.replace("n_nationkey", "s_nationkey")}, 'http://x.org/core#supplied from', o FROM k
+  UNION SELECT {_cust}, 'http://x.org/core#buys in', {_nation.replace("n_nationkey", "c_nationkey")} FROM customer WHERE c_mktsegment = 'MACHINERY'
+  UNION SELECT {_nation.replace("n_nationkey", "c_nationkey")}, 'http://x.org/core#buys in', {_nation.replace("n_nationkey", "c_nationkey")} FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
+  UNION SELECT {_nation.replace("n_nationkey", "c_nationkey")}, '{RDFS_SUBCLASS}', {_cust} FROM customer WHERE c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING')
+  UNION SELECT {_nation}, '{RDFS_SUBCLASS}', {_region.format("n_regionkey")} FROM nation)
+SELECT replace(split_part(s, '/', -1), '_', ':') AS subject, CASE WHEN p = '{RDFS_SUBCLASS}' THEN 'isa' ELSE replace(split_part(p, '#', -1), ' ', '_') END AS predicate,
+  replace(split_part(o, '/', -1), '_', ':') AS object FROM links
+""")
+def triples_axiom_edges(inputs: Inputs) -> DataFrame:
+    return triples.triple_edges(cut_lineage(inputs.view("fx_axiom_triples")), "X", *relation_tables(inputs))
+
+
 @query("nodes_in_edges", "SELECT node_id, label FROM ox_metadata WHERE node_id IN (SELECT s FROM ox_links UNION SELECT o FROM ox_links)")
 def nodes_in_edges(inputs: Inputs) -> DataFrame:
     table = triple_table(inputs)

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from vocabweave.functions.codes import iri_namespace, standardize_code
 from vocabweave.functions.fixed_values import (
-    OBO_DBXREF, OBO_DEFINITION, OBO_SYNONYM, OWL_AXIOM, OWL_CLASS, OWL_DISJOINT, OWL_SOURCE,
-    OWL_TARGET, RDF_TYPE, RDFS_LABEL,
+    OBO_DBXREF, OBO_DEFINITION, OBO_SYNONYM, OWL_AXIOM, OWL_CLASS, OWL_DISJOINT, OWL_EQUIVALENT, OWL_FILLERS,
+    OWL_INTERSECTION, OWL_ON_PROPERTY, OWL_PROPERTY, OWL_SOURCE, OWL_TARGET, OWL_UNION, RDF_FIRST, RDF_NIL, RDF_REST,
+    RDF_TYPE, RDFS_LABEL, RDFS_SUBCLASS,
 )
 from vocabweave.functions.text import default_label
+from vocabweave.operators.chains import chain_ends
 from vocabweave.operators.keyed import list_rows
 from vocabweave.operators.relations import standardize_relations
+from vocabweave.session import cut_lineage
 from vocabweave.sources.tables import union_sources
 
 
@@ -74,8 +77,82 @@ def class_links(triples: DataFrame) -> DataFrame:
     return started.join(classes.withColumnRenamed("s", "o"), ["o"], "left_semi")
 
 
+def _pairs(triples: DataFrame, predicates: str | list[str], s: str, o: str) -> DataFrame:
+    """The distinct subjects and objects of some predicates, under these names."""
+    wanted = [predicates] if isinstance(predicates, str) else predicates
+    return triples.where(F.col("p").isin(wanted)).select(F.col("s").alias(s), F.col("o").alias(o)).distinct()
+
+
+def stated_links(triples: DataFrame) -> DataFrame:
+    """(s, p, o) of the statements that kept axioms are about: their source, property and target.
+
+    Both ends have to be IRIs, so that a statement on a text gives no link.
+    """
+    axioms = kept_entities(triples).where("kind = 'axiom'").select(F.col("entity").alias("axiom"))
+    links = (
+        _pairs(triples, OWL_SOURCE, "axiom", "s").join(axioms, "axiom", "left_semi")
+        .join(_pairs(triples, OWL_PROPERTY, "axiom", "p"), "axiom")
+        .join(_pairs(triples, OWL_TARGET, "axiom", "o"), "axiom")
+    )
+    named = lambda end: F.col(end).rlike("^[A-Za-z][A-Za-z0-9+.-]*://")
+    return links.where(named("s") & named("o") & ~F.col("p").isin(RDF_TYPE, OWL_DISJOINT)).select("s", "p", "o").distinct()
+
+
+def list_members(triples: DataFrame) -> DataFrame:
+    """(head, member) of all lists, of any length: every cell finds its head by pointer doubling."""
+    cells = _pairs(triples, RDF_FIRST, "cell", "member")
+    before = _pairs(triples, RDF_REST, "before", "cell").where(F.col("cell") != RDF_NIL)
+    heads = chain_ends(before, "cell", "before").select("cell", F.col("before").alias("head"))
+    return cells.join(heads, "cell", "left").select(F.coalesce("head", "cell").alias("head"), "member").distinct()
+
+
+def decoded_links(triples: DataFrame) -> DataFrame:
+    """(s, p, o) between classes that blank nodes spell out: restrictions, intersections and unions.
+
+    A class below (or equal to) a restriction on a property has that property to the filler. A class
+    below an intersection is below its members, restrictions among them included, however deep
+    intersections are nested; an intersection as filler stands for its members. The members of a union
+    that a class equals are below that class.
+    """
+    classes = ontology_classes(triples)
+    members = cut_lineage(list_members(triples))
+    below = _pairs(triples, [RDFS_SUBCLASS, OWL_EQUIVALENT], "s", "expression").join(classes, ["s"], "left_semi")
+
+    def parts(predicate: str) -> DataFrame:
+        heads = _pairs(triples, predicate, "expression", "head")
+        return heads.join(members, "head").select("expression", F.col("member").alias("part")).distinct()
+
+    # every part of an intersection, nested ones too, with the outermost expression that holds it
+    direct = cut_lineage(parts(OWL_INTERSECTION))
+    inner = direct.join(direct.select(F.col("expression").alias("part")).distinct(), ["part"], "left_semi")
+    outer = chain_ends(inner, "part", "expression").select(F.col("part").alias("expression"), F.col("expression").alias("outer"))
+    held = direct.join(outer, "expression", "left").select(F.coalesce("outer", "expression").alias("expression"), "part")
+    held = cut_lineage(held.unionByName(direct).distinct())
+
+    reached = cut_lineage(below.unionByName(below.join(held, "expression").select("s", F.col("part").alias("expression"))).distinct())
+    isa = below.join(held, "expression").select("s", F.lit(RDFS_SUBCLASS).alias("p"), F.col("part").alias("o"))
+    fillers = _pairs(triples, OWL_FILLERS, "restriction", "filler")
+    within = fillers.join(held.select(F.col("expression").alias("filler"), "part"), "filler").select("restriction", F.col("part").alias("filler"))
+    restricted = (
+        reached.select("s", F.col("expression").alias("restriction"))
+        .join(_pairs(triples, OWL_ON_PROPERTY, "restriction", "p"), "restriction")
+        .join(fillers.unionByName(within), "restriction")
+        .select("s", "p", F.col("filler").alias("o"))
+    )
+    equal = _pairs(triples, OWL_EQUIVALENT, "o", "expression").join(parts(OWL_UNION), "expression")
+    unions = equal.select(F.col("part").alias("s"), F.lit(RDFS_SUBCLASS).alias("p"), "o")
+    links = isa.unionByName(restricted).unionByName(unions).distinct()
+    return links.join(classes, ["s"], "left_semi").join(classes.withColumnRenamed("s", "o"), ["o"], "left_semi").select("s", "p", "o")
+
+
+def logical_links(triples: DataFrame) -> DataFrame:
+    """All links of an ontology: between classes, of kept axioms, and those that blank nodes spell out."""
+    plain = class_links(triples).select("s", "p", "o")
+    return plain.unionByName(stated_links(triples)).unionByName(decoded_links(triples)).distinct()
+
+
 def triple_edges(triples: DataFrame, sab: str, reference: DataFrame, spatial: DataFrame | None = None) -> DataFrame:
-    edges = class_links(triples).select(
+    edges = logical_links(triples).select(
         standardize_code(F.col("s"), sab).alias("subject"), F.col("p").alias("predicate"),
         standardize_code(F.col("o"), sab).alias("object"),
     )
@@ -92,7 +169,7 @@ def triple_nodes(triples: DataFrame, sab: str) -> DataFrame:
     """Node table of the linked classes, without lists; the code stands in for a missing label."""
     missing = lambda name: F.nullif(F.col(name), F.lit("None"))
     node_id = standardize_code(F.col("node_id"), sab)
-    return nodes_in_links(class_metadata(triples), class_links(triples)).select(
+    return nodes_in_links(class_metadata(triples), logical_links(triples)).select(
         node_id.alias("node_id"),
         default_label(missing("label"), node_id).alias("node_label"),
         missing("definition").alias("node_definition"),
@@ -101,7 +178,7 @@ def triple_nodes(triples: DataFrame, sab: str) -> DataFrame:
 
 def triple_node_values(triples: DataFrame, sab: str) -> DataFrame:
     """(node_id, kind, pos, value): synonyms and cross-references of the linked classes."""
-    found = nodes_in_links(class_values(triples), class_links(triples))
+    found = nodes_in_links(class_values(triples), logical_links(triples))
     return found.withColumn("node_id", standardize_code(F.col("node_id"), sab))
 
 
