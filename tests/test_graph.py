@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vocabweave.operators import quality, resolve
 from vocabweave.operators.chains import chain_ends
 from vocabweave.plans import ingest
-from vocabweave.sources import field_vocabulary, sheets, tables
+from vocabweave.sources import field_vocabulary, known, sheets, tables
 
 NODE = "node_id string, node_label string, node_definition string, node_synonyms array<string>, node_dbxrefs array<string>, ord bigint"
 
@@ -364,6 +364,61 @@ def _moving_source(spark, sab):
     )
 
 
+def test_bucketed_tables_are_not_shuffled(spark, tmp_path, small):
+    """Only rows of the new source move; the graph's side of every join is read as it lies."""
+    stored = known.store_known(small.graph, str(tmp_path / "known"))
+    new = spark.createDataFrame([(f"N:{i}", f"n {i}", i) for i in range(50)], "node_id string, node_label string, ord bigint")
+    new = new.withColumn("node_synonyms", F.array(F.lit("")))
+    listed = new.select("node_id", F.col("node_id").alias("cui"), F.lit(1).alias("pos"))
+    xrefs = new.select("node_id", F.lit(0).alias("xref_ord"), F.col("node_label").alias("xref"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        frames = {
+            "codes": [resolve.transitive_concepts(xrefs, stored.codes), resolve.existing_concepts(new, stored.codes, stored.concepts)],
+            "concepts": [ingest.new_concepts(new, listed, stored.concepts, "N")], "terms": [ingest.new_terms(new, stored.terms)],
+        }
+        for table, own in frames.items():
+            for frame in own:
+                lines = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+                scans = [i for i, line in enumerate(lines) if "FileScan" in line and f"known_{table}" in line]
+                assert scans
+                for at in scans:
+                    # walk up from the scan to the join that takes it
+                    depth, above = _depth(lines[at]), []
+                    for line in reversed(lines[:at]):
+                        if _depth(line) < depth:
+                            depth = _depth(line)
+                            above.append(line)
+                            if "Join" in line:
+                                break
+                    assert "Join" in above[-1] and not any("Exchange" in line for line in above), above
+                    assert "Bucketed: true" in lines[at]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _depth(line):
+    return len(line) - len(line.lstrip(" :+-*"))
+
+
+def test_a_bucketed_context_is_the_same(spark, tmp_path):
+    sources = [(sab, _moving_source(spark, sab)) for sab in "AB"]
+    plain = ingest.build_context(spark, tables.empty_graph(spark), sources, str(tmp_path / "plain"))
+    kept = ingest.build_context(spark, tables.empty_graph(spark), sources, str(tmp_path / "kept"), bucketed=True)
+    for name, table in plain.tables().items():
+        columns = [c for c in table.columns if c != "props"]
+        rows = lambda frame, own=columns: sorted(map(str, frame.select(*own).collect()))
+        assert rows(table) == rows(getattr(kept, name)), name
+    stored = known.load_known(spark, str(tmp_path / "kept/known"))
+    assert {r.id for r in stored.terms.collect()} == {r.id for r in kept.terms.collect()}
+    with pytest.raises(ValueError, match="one|not with"):
+        ingest.build_context(spark, tables.empty_graph(spark), sources, str(tmp_path / "no"), bucketed=True, move_concepts=True)
+
+
 def test_definitions_are_appended_once(spark, tmp_path):
     found = sheets.definition_rows(spark.createDataFrame([(1, "text"), (2, ""), (1, "text")], "uid bigint, summary string"))
     path = str(tmp_path / "defs")

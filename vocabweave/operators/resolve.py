@@ -56,15 +56,11 @@ def xref_rows(nodes: DataFrame) -> DataFrame:
     )
 
 
-def concept_of_code(coderels: DataFrame) -> DataFrame:
-    """Distinct (code, concept) pairs with the place of their first link."""
-    return coderels.groupBy("codeid", "start_id").agg(
-        F.min(F.struct("step", "ord", "pos")).alias("place")
-    ).select("codeid", "start_id", "place.*")
-
-
 def transitive_concepts(xrefs: DataFrame, coderels: DataFrame) -> DataFrame:
-    """Concepts that existing codes give to the nodes which refer to them."""
+    """Concepts that existing codes give to the nodes which refer to them.
+
+    ``coderels`` are links, or only their columns codeid, start_id, step, ord and pos.
+    """
     links = concept_of_code(coderels).withColumnRenamed("codeid", "xref")
     umls_concept = F.col("start_id").startswith("UMLS")
     umls_xref = F.upper("xref").startswith("UMLS")
@@ -76,6 +72,13 @@ def transitive_concepts(xrefs: DataFrame, coderels: DataFrame) -> DataFrame:
     )
 
 
+def concept_of_code(coderels: DataFrame) -> DataFrame:
+    """Distinct (code, concept) pairs with the place of their first link."""
+    return coderels.groupBy("codeid", "start_id").agg(
+        F.min(F.struct("step", "ord", "pos")).alias("place")
+    ).select("codeid", "start_id", "place.*")
+
+
 def direct_concepts(xrefs: DataFrame) -> DataFrame:
     """UMLS concepts named by the cross-reference itself."""
     none = F.lit(0).cast("bigint")
@@ -85,28 +88,30 @@ def direct_concepts(xrefs: DataFrame) -> DataFrame:
     )
 
 
-def existing_concepts(node_ids: DataFrame, coderels: DataFrame) -> DataFrame:
-    """Concept that a node already has: its code's first one, else the node is a concept."""
-    as_code = concept_of_code(coderels).select(
-        F.col("codeid").alias("node_id"), F.lit(0).alias("kind"), "step", "ord", "pos", F.col("start_id").alias("cui")
-    )
-    itself = coderels.select("start_id").distinct().select(
-        F.col("start_id").alias("node_id"), F.lit(1).alias("kind"), F.lit(0).alias("step"),
-        F.lit(0).cast("bigint").alias("ord"), F.lit(0).cast("bigint").alias("pos"), F.col("start_id").alias("cui"),
-    )
-    known = first_per_key(as_code.unionByName(itself), ["node_id"], ["kind", "step", "ord", "pos", "cui"])
-    return node_ids.select("node_id").join(known, "node_id").select(
-        "node_id", F.lit(OWN).alias("rank"), F.lit(0).cast("bigint").alias("xref_ord"),
-        "step", "ord", "pos", "cui",
+def existing_concepts(node_ids: DataFrame, coderels: DataFrame, concepts: DataFrame | None = None) -> DataFrame:
+    """Concept that a node already has: its code's first one, else the node is a concept.
+
+    Both are looked up by the node id, so the nodes are shuffled once, and the links not at
+    all where they are bucketed. ``concepts`` (start_id) are the concepts of ``coderels``.
+    """
+    place = F.struct("step", "ord", "pos", F.col("start_id").alias("cui"))
+    as_code = coderels.groupBy(F.col("codeid").alias("node_id")).agg(F.min(place).alias("own"))
+    itself = (coderels if concepts is None else concepts).select(F.col("start_id").alias("node_id")).distinct().withColumn("known", F.lit(True))
+    found = node_ids.select("node_id").join(as_code, "node_id", "left").join(itself, "node_id", "left")
+    none = F.lit(0).cast("bigint")
+    return found.where("own IS NOT NULL OR known").select(
+        "node_id", F.lit(OWN).alias("rank"), none.alias("xref_ord"),
+        F.coalesce("own.step", F.lit(0)).alias("step"), F.coalesce("own.ord", none).alias("ord"), F.coalesce("own.pos", none).alias("pos"),
+        F.coalesce("own.cui", "node_id").alias("cui"),
     )
 
 
-def candidate_concepts(node_ids: DataFrame, xrefs: DataFrame, coderels: DataFrame) -> DataFrame:
+def candidate_concepts(node_ids: DataFrame, xrefs: DataFrame, coderels: DataFrame, concepts: DataFrame | None = None) -> DataFrame:
     """All concepts of each node with their rank and place; a node without any has no row."""
     found = (
         direct_concepts(xrefs)
         .unionByName(transitive_concepts(xrefs, coderels))
-        .unionByName(existing_concepts(node_ids, coderels))
+        .unionByName(existing_concepts(node_ids, coderels, concepts))
     )
     return found.withColumn("cui", clean_concept_id(F.col("cui")))
 
@@ -219,15 +224,17 @@ def shared_members(resolved: DataFrame) -> DataFrame:
 
 
 def assign_concepts(
-    nodes: DataFrame, coderels: DataFrame, mode: str = "own_code", xrefs: DataFrame | None = None
+    nodes: DataFrame, coderels: DataFrame, mode: str = "own_code", xrefs: DataFrame | None = None, concepts: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(node_id, rank, first_cui, assigned_cui, assignment_comment) and the list rows.
 
-    ``mode`` is ``own_code`` (a shared first choice goes to nobody) or ``greedy``.
+    ``mode`` is ``own_code`` (a shared first choice goes to nobody) or ``greedy``. ``coderels``
+    needs the columns codeid, start_id, step, ord and pos only; ``concepts`` (start_id) are its
+    concepts, where they are at hand.
     """
     # three steps read the spelled-out cross-references; written once, they are spelled once
     xrefs = cut_lineage(xref_rows(nodes) if xrefs is None else xrefs)
-    candidates = cut_lineage(candidate_concepts(nodes, xrefs, coderels))
+    candidates = cut_lineage(candidate_concepts(nodes, xrefs, coderels, concepts))
     choice = ranked_choice(nodes, candidates)
     if mode == "own_code":
         assigned = resolve_shared(choice)

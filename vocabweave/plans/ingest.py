@@ -13,10 +13,12 @@ from vocabweave.functions.text import custom_props, standardize_synonym, standar
 from vocabweave.operators.chains import chain_ends
 from vocabweave.operators.resolve import assign_concepts, complete_nodes, missing_nodes, shared_members
 from vocabweave.session import cut_lineage
+from vocabweave.sources.known import Known, add_known, known_rows, load_known, store_known
 from vocabweave.sources.tables import (
     EDGE_COLUMNS,
     NODE_COLUMNS,
     Graph,
+    load_graph,
     load_moves,
     load_steps,
     save_graph,
@@ -198,6 +200,7 @@ def ingest_source(
     only_new_links: bool = False,
     synonyms: DataFrame | None = None,
     move_concepts: bool = False,
+    known: Known | None = None,
 ) -> Ingest:
     """Fold one source into ``graph``; a source that is already in it is refused.
 
@@ -209,7 +212,11 @@ def ingest_source(
     With ``move_concepts``, concepts that earlier sources minted from a code of this source give
     way to those that it gives the code: links to them are rewritten in the whole graph, the rows
     keeping their step. A concept that is still assigned to a node stays.
+
+    ``known`` are the codes, concepts and terms of ``graph`` as bucketed tables (``store_known``);
+    then only the new source is shuffled to find out what is new.
     """
+    known = known or known_rows(graph)
     if source_exists(graph.sources, sab):
         raise ValueError(f"source {sab} is already in the graph")
     nodes = nodes.withColumns({c: F.array(F.lit("")) for c in ("node_synonyms", "node_dbxrefs") if c not in nodes.columns})
@@ -222,7 +229,7 @@ def ingest_source(
         whole = whole.withColumn(
             "node_dbxrefs", F.when(own, F.col("node_dbxrefs")).otherwise(F.array(F.lit("")))
         )
-    assigned, listed = assign_concepts(whole, graph.coderels, mode, xrefs)
+    assigned, listed = assign_concepts(whole, known.codes, mode, xrefs, known.concepts)
     concept_list = cut_lineage(listed)
 
     def added(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -232,11 +239,11 @@ def ingest_source(
 
     links = build_coderels(whole, concept_list, sab, synonyms)
     if only_new_links:
-        links = only_new(links, graph.coderels)
+        links = only_new(links, known.codes)
     rels, self_edges = split_self_edges(edges_to_rels(edges, assigned, sab))
     concepts, all_links, all_rels = graph.concepts, added(graph.coderels, links), added(graph.rels, rels)
-    concepts = added(concepts, new_concepts(whole, concept_list, graph.coderels, sab))
-    changed = changed_concepts(links, graph.coderels)
+    concepts = added(concepts, new_concepts(whole, concept_list, known.concepts, sab))
+    changed = changed_concepts(links, known.codes)
     moved = changed.select("old_cui", "new_cui").limit(0)
     if move_concepts:
         moved = cut_lineage(moved_concepts(changed, assigned))
@@ -247,7 +254,7 @@ def ingest_source(
         sources=added(graph.sources, source),
         rel_labels=added(graph.rel_labels, new_rel_labels(edges, graph.rel_labels, sab)),
         concepts=concepts,
-        terms=added(graph.terms, new_terms(whole, graph.terms, synonyms)),
+        terms=added(graph.terms, new_terms(whole, known.terms, synonyms)),
         coderels=all_links,
         rels=all_rels,
     )
@@ -263,6 +270,7 @@ def build_context(
     folder: str,
     mode: str = "own_code",
     move_concepts: bool = False,
+    bucketed: bool = False,
 ) -> Graph:
     """Fold sources into the graph in the given order; later ones see earlier codes.
 
@@ -270,8 +278,12 @@ def build_context(
     folder of its own below ``folder``; its counts are written last and mark it as finished.
     Step 0 is the graph given. Rows of earlier steps are never written again: ``load_context``
     does the moves of later steps in them. A run on a folder that holds finished steps goes on
-    after the last of them.
+    after the last of them. With ``bucketed``, what the graph knows is kept below ``folder`` in
+    bucketed tables, so that a step shuffles its own source only; moves would change these
+    tables, so it is one or the other.
     """
+    if bucketed and move_concepts:
+        raise ValueError("moved concepts change what the graph knows: not with bucketed tables")
     def finished(step: int) -> bool:
         try:
             return not spark.read.parquet(f"{step_folder(folder, step)}/counts").isEmpty()
@@ -283,16 +295,20 @@ def build_context(
         counts.write.mode("overwrite").parquet(f"{step_folder(folder, step)}/counts")
 
     if not finished(0):
+        if bucketed:
+            store_known(graph, f"{folder}/known")
         finish(0, graph, node_counts(graph, graph))
     for step, (sab, load) in enumerate(sources, start=1):
         if finished(step):
             continue
         before = load_context(spark, folder, range(step))
         edges, nodes, source = load()
-        result = ingest_source(before, edges, nodes, source, sab, step, mode, move_concepts=move_concepts)
+        result = ingest_source(before, edges, nodes, source, sab, step, mode, move_concepts=move_concepts, known=load_known(spark, f"{folder}/known") if bucketed else None)
         result.write_diagnostics(f"{step_folder(folder, step)}/diagnostics", "overwrite")
         added = Graph(**{name: table.where(F.col("step") == step) for name, table in result.graph.tables().items()})
         save_graph(added, step_folder(folder, step), "overwrite")
+        if bucketed:
+            add_known(load_graph(spark, step_folder(folder, step)), f"{folder}/known")
         if move_concepts:
             result.moved.write.mode("overwrite").parquet(f"{step_folder(folder, step)}/moved")
         counts = node_counts(before, load_context(spark, folder, range(step + 1)))
