@@ -406,8 +406,9 @@ def moves_by_step(moves: DataFrame) -> DataFrame:
 def load_context(spark: SparkSession, folder: str, steps: Sequence[int]) -> Graph:
     """Graph of the given steps of a context, with the moves of later steps done in the rows of earlier ones."""
     graph = load_steps(spark, folder, steps)
-    moves = cut_lineage(moves_by_step(load_moves(spark, folder, steps)))
-    if moves.isEmpty():
+    moves = load_moves(spark, folder, steps)
+    if moves is None or moves.isEmpty():
         return graph
+    moves = cut_lineage(moves_by_step(moves))
     rels, coderels = rewrite_moved(graph.rels, graph.coderels, moves)
     return replace(graph, rels=rels, coderels=coderels, concepts=without_moved(graph.concepts, moves))

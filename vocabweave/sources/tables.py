@@ -380,16 +380,16 @@ def load_steps(spark: SparkSession, folder: str, steps: Sequence[int]) -> Graph:
     return Graph(**{name: spark.read.schema(schema).parquet(*[f"{p}/{name}" for p in paths]) for name, schema in GRAPH_SCHEMAS.items()})
 
 
-def load_moves(spark: SparkSession, folder: str, steps: Sequence[int]) -> DataFrame:
-    """Moved concepts (step, old_cui, new_cui) of the steps that have any."""
-    moves = spark.createDataFrame([], "step int, old_cui string, new_cui string")
+def load_moves(spark: SparkSession, folder: str, steps: Sequence[int]) -> DataFrame | None:
+    """Moved concepts (step, old_cui, new_cui) of the steps that wrote any; None if no step did."""
+    moves = []
     for step in steps:
         try:
             own = spark.read.schema("old_cui string, new_cui string").parquet(f"{step_folder(folder, step)}/moved")
         except AnalysisException:
             continue
-        moves = moves.unionByName(own.withColumn("step", F.lit(step)))
-    return moves
+        moves.append(own.withColumn("step", F.lit(step)))
+    return union_sources(moves) if moves else None
 
 
 def step_folder(folder: str, step: int) -> str:
