@@ -173,6 +173,26 @@ def test_paths(spark):
     assert (longest.hops, longest.path) == (4, "A>B>C>D>E")
 
 
+def test_longest_paths_are_the_smallest_of_their_length(spark):
+    """Against all walks, with many paths of one length, starts without a path and more hops than joins in one plan."""
+    edges = {(f"{level:02d}{a}", f"{level + 1:02d}{b}") for level in range(12) for a in "cab" for b in "cab" if (level, a, b) not in {(0, "a", "a"), (3, "c", "a"), (11, "b", "c")}}
+    edges |= {("00a", "05c"), ("07b", "12z"), ("S", "00b"), ("S", "00c")}
+    rels = spark.createDataFrame([("r", a, b, "S") for a, b in edges], "label string, start_id string, end_id string, sab string")
+    starts = ["00a", "03b", "S", "12a", "nowhere"]
+    for most in (1, 4, 11, 20):
+        best = {}
+        for start in starts:
+            walks = [(start,)]
+            for hops in range(1, most + 1):
+                walks = [w + (b,) for w in walks for a, b in edges if a == w[-1]]
+                if not walks:
+                    break
+                walks = [min(w for w in walks if w[-1] == end) for end in {w[-1] for w in walks}]
+                best[start] = (min(walks)[-1], hops, ">".join(min(walks)))
+        found = graph_queries.longest_paths(rels, spark.createDataFrame([(s,) for s in starts], "cui string"), ["r"], most)
+        assert {r.start: (r.cui, r.hops, r.path) for r in found.collect()} == best, most
+
+
 def test_cycle_is_an_error(spark):
     rels = spark.createDataFrame([("r", "A", "B", "S"), ("r", "B", "A", "S")], "label string, start_id string, end_id string, sab string")
     with pytest.raises(PySparkException, match="cycle"):
