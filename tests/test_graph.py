@@ -1,5 +1,7 @@
 """Concept choice, ingest and table IO."""
 
+import csv
+import dataclasses
 import random
 
 import pytest
@@ -252,6 +254,75 @@ def test_ordered_graph_reads_back_with_the_same_ranks(spark, small, tmp_path):
     assert sorted(ranked(tables.read_graph(spark, path))) == sorted(ranked(small.graph))
 
 
+def test_an_overwrite_that_stops_leaves_the_old_graph(spark, small, tmp_path, monkeypatch):
+    path = str(tmp_path / "graph")
+    ids = lambda g: sorted(r.id for r in g.terms.collect())
+    tables.write_graph(small.graph, path)
+    old = ids(tables.read_graph(spark, f"{path}/section=*"))
+    fewer = dataclasses.replace(small.graph, terms=small.graph.terms.limit(1))
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    for ordered in (False, True):
+        with monkeypatch.context() as m:
+            m.setattr(tables.versions, "publish", stop)
+            with pytest.raises(RuntimeError, match="stopped"):
+                tables.write_graph(fewer, path, ordered, overwrite=True)
+        assert ids(tables.read_graph(spark, path)) == old
+    for graph in (fewer, small.graph, fewer):
+        tables.write_graph(graph, path, overwrite=True)
+        assert ids(tables.read_graph(spark, path)) == ids(graph)
+    assert len(list((tmp_path / "graph.versions").iterdir())) == 6
+    tables.versions.remove_old(spark, path)
+    assert len(list((tmp_path / "graph.versions").iterdir())) == 2 and not (tmp_path / "graph").exists()
+    assert ids(tables.read_graph(spark, path)) == ids(fewer)
+
+
+def test_first_rows(spark):
+    """Against a sort of all rows; places repeat, steps are whole, cut or left out."""
+    rows = [(step, place % 7, f"c{place * 37 % 11}", {"k": str(place % 3)}) for step in (None, 1, 4) for place in range(20)]
+    table = spark.createDataFrame(rows, "step int, ord bigint, id string, props map<string,string>").repartition(5)
+    order = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1], r[2], sorted(r[3].items())))
+    for limit in (0, 1, 19, 20, 33, 40, 59, 60, 99):
+        found = tables.first_rows(table, limit)
+        assert "TakeOrderedAndProject" not in found._jdf.queryExecution().toString()
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, order[:limit])), limit
+
+
+@pytest.mark.parametrize("split", ["400", "1000000"])
+def test_quoted_line_breaks_over_splits(spark, tmp_path, split):
+    """Against the csv module; cells hold line breaks, doubled quotes, separators, stray quotes and many lines."""
+    cells = ["plain", "two\nlines", 'a "quoted" one', 'ends in a quote"', 'x,\n,"\n"', "", "#no comment\n#nor this", 'say ""\n""', "\n".join(f"line {i}, {chr(34)}" for i in range(40))]
+    folder = tmp_path / "notes"
+    folder.mkdir()
+    expected = []
+    for name in "ab":
+        body = [[f"{name}{i}", cells[i * 5 % len(cells)], cells[i * 7 % len(cells)]] for i in range(60)]
+        with open(folder / f"{name}.csv", "w", newline="") as out:
+            out.write('an open " quote,"\nnote "two\n')
+            csv.writer(out, lineterminator="\n").writerows([["id", "text", "more"], *body])
+            out.write(f'#left, "out"\n{name}60,5" pipe,"x\ny"\n\n{name}61,a"b"c,""\n')
+        expected += [*map(tuple, body), (f"{name}60", '5" pipe', "x\ny"), (f"{name}61", 'a"b"c', "")]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = tables.read_text_table(spark, str(folder), ",", skip_rows=2, comment="#").orderBy("ord").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [(r.id, r.text, r.more) for r in rows] == expected
+
+
+def test_a_quote_that_stays_open(spark, tmp_path):
+    """Lines stand by themselves where a record would have too many of them."""
+    (tmp_path / "x.csv").write_text('id,text\n1,"a\nb"\n2,"open\n' + "".join(f"{i},t\n" for i in range(3, 50)))
+    lines = tables.in_file_order(tables._placed(spark.read.text(str(tmp_path / "x.csv"))).withColumn("_split", F.col("_block")), within="_line")
+    found = [r.value for r in tables.quoted_records(lines, ",", '"', max_lines=10).orderBy("ord").collect()]
+    assert found == ["id,text", '1,"a\nb"', '2,"open', *[f"{i},t" for i in range(3, 50)]]
+    assert tables.read_text_table(spark, str(tmp_path / "x.csv"), ",", line_breaks=True).where("id = '1'").first().text == "a\nb"
+
+
 def test_context_goes_on_after_the_last_finished_step(spark, tmp_path):
     folder, loaded = str(tmp_path / "context"), []
 

@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 
 from vocabweave.functions.fixed_values import GTF_COLUMNS
 from vocabweave.functions.text import blank_to_int, pipe_split
-from vocabweave.operators.keyed import first_per_key
+from vocabweave.operators.keyed import dense_number, first_per_key
 from vocabweave.session import cut_lineage, shared_folder
+from vocabweave.sources import versions
+from vocabweave.sources.records import quoted_records
 
 EDGE_COLUMNS = ["subject", "predicate", "object"]
 NODE_COLUMNS = ["node_id", "node_label", "node_definition", "node_synonyms", "node_dbxrefs"]
@@ -93,13 +95,14 @@ def in_file_order(placed: DataFrame, name: str = "ord", within: str | None = Non
 def read_text_table(
     spark: SparkSession, path: str | list[str], sep: str = "\t", header: bool = True,
     columns: Sequence[str] | None = None, comment: str | None = None, skip_malformed: bool = True,
-    quote: str = '"', skip_rows: int = 0, source_file: str | None = None,
+    quote: str = '"', skip_rows: int = 0, source_file: str | None = None, line_breaks: bool = False,
 ) -> DataFrame:
     """Delimited text with every column a string, blanks for missing cells and a row order.
 
     ``path`` is a file, a folder or a list of them; rows are in order of file name and place.
     ``columns`` names the columns of a file without (or instead of) a header. ``skip_rows``
-    lines are left out at the front of every file; a quoted line break ends a record then.
+    lines are left out at the front of every file. Quoted cells may hold line breaks (read as line
+    feeds) when rows are skipped or ``line_breaks`` is set, in files of any number of splits.
     ``source_file`` names a column for the file a row came from. ``.gz`` files are read as they
     are; one such file is one task, so spread it before heavy work.
     """
@@ -107,13 +110,18 @@ def read_text_table(
         "sep": sep, "quote": quote, "escape": quote or "\\", "encoding": "UTF-8", "mode": "DROPMALFORMED" if skip_malformed else "PERMISSIVE",
         **({"comment": comment} if comment else {}),
     }
-    if skip_rows:
-        lines = in_file_order(_placed(spark.read.text(path)), within="_line")
-        names = columns or lines.where(F.col("_line") == skip_rows).orderBy("_file").first()["value"].split(sep)
-        body = lines.where(F.col("_line") >= skip_rows + (1 if header else 0)).where("trim(value) <> ''")
+    if skip_rows or line_breaks:
+        placed = _placed(spark.read.text(path)).withColumn("_split", F.col("_block"))
+        lines = in_file_order(placed, within="_line")
+        if quote:
+            lines = quoted_records(lines, sep, quote, skip_rows, comment)
+        lines = lines.where((F.col("_line") >= skip_rows) & (F.trim("value") != ""))
         if comment:
-            body = body.where(~F.col("value").startswith(comment))
-        schema = ", ".join(f"`{name.strip()}` string" for name in names)
+            lines = lines.where(~F.startswith("value", F.lit(comment)))
+        heads = lines.groupBy("_file").agg(F.min("ord").alias("_head"))
+        names = columns or lines.join(F.broadcast(heads), "_file").where("ord = _head").orderBy("ord").first()["value"].split(sep)
+        body = lines.join(F.broadcast(heads), "_file").where("ord > _head") if header else lines
+        schema = ", ".join(f"`{name.strip().strip(quote)}` string" for name in names)
         parsed = {k: v for k, v in options.items() if k != "mode"} | {"columnNameOfCorruptRecord": "_broken"}
         rows = body.select(F.from_csv("value", schema + ", _broken string", parsed).alias("row"), "_file", "ord")
         if skip_malformed:
@@ -293,28 +301,45 @@ def graph_from_objects(objects: DataFrame) -> Graph:
 
 
 def read_graph(spark: SparkSession, path: str) -> Graph:
-    """Graph from JSON lines, one object per line, in order of file and line."""
-    objects = in_file_order(_placed(spark.read.schema(GRAPH_OBJECT).json(path)))
+    """Graph from JSON lines, one object per line, in order of file and line; the version in force, if ``path`` was overwritten."""
+    objects = in_file_order(_placed(spark.read.schema(GRAPH_OBJECT).json(versions.current(spark, path)))).drop("section")
     return graph_from_objects(objects.na.fill(0, ["step", "pos"]))
 
 
+def first_rows(table: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows by (step, ord); equal places are told apart by the whole row.
+
+    Counts per step find the step in which the limit falls; earlier steps stay whole, and the
+    rows of that step are numbered over range slices, so no task sees more than a slice.
+    """
+    step = F.coalesce("step", F.lit(-1))
+    left, cut = limit, None
+    for row in table.groupBy(step.alias("step")).count().orderBy("step").collect():  # one row per source
+        if row["count"] > left:
+            cut = row["step"]
+            break
+        left -= row["count"]
+    if cut is None:
+        return table
+    # maps have no order; their entries do
+    cells = [F.array_sort(F.map_entries(c)) if kind.startswith("map<") else F.col(c) for c, kind in table.dtypes if c not in ("step", "ord")]
+    within = dense_number(table.where(step == cut).withColumn("_row", F.struct(*cells)), ["ord", "_row"], "_n") if left else table.where("false")
+    kept = within.where(F.col("_n") <= left).drop("_n", "_row") if left else within
+    return table.where(step < cut).unionByName(kept)
+
+
 def sample_graph(graph: Graph, max_nodes: int = 0, max_rels: int = 0) -> Graph:
     """First ``max_nodes`` objects of all node tables and ``max_rels`` of both link tables; 0 is all."""
 
-    def first_rows(names: list[str], limit: int) -> dict[str, DataFrame]:
-        rows = {}
+    def capped(names: list[str], limit: int) -> dict[str, DataFrame]:
+        rows, left = {}, limit
         for name in names:
             table = getattr(graph, name)
-            size = table.count() if limit else 0
-            if limit and size > limit - sum(taken for _, taken in rows.values()):
-                left = limit - sum(taken for _, taken in rows.values())
-                ties = [c for c, kind in table.dtypes if c not in ("step", "ord") and "map<" not in kind]
-                rows[name] = table.orderBy("step", "ord", *ties).limit(left), left
-            else:
-                rows[name] = table, size
-        return {name: table for name, (table, _) in rows.items()}
+            rows[name] = first_rows(table, left) if limit else table
+            left = max(0, left - table.count()) if limit else 0
+        return rows
 
-    return replace(graph, **first_rows(list(NODE_KINDS.values()), max_nodes), **first_rows(["rels", "coderels"], max_rels))
+    return replace(graph, **capped(list(NODE_KINDS.values()), max_nodes), **capped(["rels", "coderels"], max_rels))
 
 
 def graph_objects(graph: Graph) -> DataFrame:
@@ -348,20 +373,21 @@ def graph_objects(graph: Graph) -> DataFrame:
     ])
 
 
-def write_graph(graph: Graph, path: str, ordered: bool = False, overwrite: bool = False, aside: bool = True) -> None:
+def write_graph(graph: Graph, path: str, ordered: bool = False, overwrite: bool = False) -> None:
     """Graph as JSON lines: a folder per section, or one globally sorted set of files.
 
-    ``overwrite`` replaces what is there. With ``aside`` the text is first written to the shared
-    folder, so that ``path`` may be what the graph was read from; without it, it must not be.
+    ``overwrite`` writes a new version beside ``path`` and then names it in the manifest, so that
+    ``read_graph`` of ``path`` gives the whole old graph until the whole new one is there, and
+    ``graph`` may be what was read from ``path``. ``versions.remove_old`` clears what is left behind.
     """
+    folder = versions.new_folder(path) if overwrite else path
     objects = graph_objects(graph)
-    if overwrite and aside:
-        objects = cut_lineage(objects)
-    mode = "overwrite" if overwrite else "error"
     if ordered:
-        objects.orderBy("section", "step", "ord").select("value").write.mode(mode).text(path)
+        objects.orderBy("section", "step", "ord").select("value").write.text(folder)
     else:
-        objects.select("section", "value").write.mode(mode).partitionBy("section").text(path)
+        objects.select("section", "value").write.partitionBy("section").text(folder)
+    if overwrite:
+        versions.publish(graph.rels.sparkSession, path, folder)
 
 
 def save_graph(graph: Graph, path: str, mode: str = "error") -> None:
