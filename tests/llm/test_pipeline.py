@@ -2,6 +2,7 @@
 
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_bpe import brute as encode
@@ -79,3 +80,17 @@ def test_odd_tables(spark, documents):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, FOLDER).count() == 0, name
         assert stage(spark, few, FOLDER).count() == 3, name
+
+
+def test_columns_of_any_name(spark, documents):
+    """Names that stages use inside are kept with what they hold; ``n_chars`` need not be there."""
+    names = ["set_of_shingles", "_set_of_shingles", "_id", "_node", "id_of_set", "Node_of_id", "toxicity", "_toxicity", "carried", "contaminated", "node", "root", "block", "part", "payload", "n_words", "shingle", "value"]
+    made = [(1, "one two three four five six"), (2, "one two three four five six"), (None, None), (4, ""), (5, "y" * 200_000), (5, "else"), (5, "else")]
+    docs = documents(made).drop("n_chars", "lang", "source").withColumns({c: F.lit(c) for c in names})
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, FOLDER)
+        ids = sorted(r.doc_id or 0 for r in found.collect())
+        assert ids == ([0, 1, 4, 5, 5] if name == "near_duplicates" else [0, 1, 2, 4, 5, 5, 5]), name
+        if name != "encoding":
+            assert found.columns == docs.columns
+            assert all(r[c] == c for r in found.collect() for c in names) and {(r.n, r.score, r.key) for r in found.collect()} == {(7, 0.5, "x")}, name

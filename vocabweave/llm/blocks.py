@@ -6,7 +6,7 @@ the block size and on the longest single text, not on the size of its partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,14 @@ PLAIN[0x30:0x3A] = PLAIN[0x61:0x7B] = PLAIN[0x80:] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, with as many underscores before it as set it apart from ``taken`` in any case."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Well spread 64-bit values of 64-bit values, one to one."""
     x = x ^ (x >> np.uint64(30))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from vocabweave.llm.blocks import LOWER, SPACED, Hashes, shingles, text_blocks, words
+from vocabweave.llm.blocks import LOWER, SPACED, Hashes, free_name, shingles, text_blocks, words
 from vocabweave.llm.links import components
 from vocabweave.session import cut_lineage
 
@@ -53,7 +53,7 @@ _LOW = np.uint64((1 << 40) - 1)
 LAST = (1 << 31) - 1
 #: Keys that a broadcast may hold, 16 bytes each.
 FEW = 1_000_000
-NODE = "_set_of_shingles"
+NODE = "set_of_shingles"
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -319,11 +319,11 @@ def join(documents: DataFrame, **settings) -> DataFrame:
     return placed.join(named, "root", "left").select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _marker(text: str, size: int):
+def _marker(text: str, size: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = [_name(own) for _, _, data, offsets in text_blocks(batch.column(text)) for own in sets_of(data, offsets, size)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=[*batch.schema.names, NODE])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=[*batch.schema.names, name])
 
     return run
 
@@ -332,19 +332,23 @@ def one_of_each(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     """``documents`` with one row of each class: that of the smallest id. Rows with an empty set all stay.
 
     Rows that go are looked up by id and set; up to ``few`` of these keys are broadcast, more are joined by a shuffle.
+    Null and empty texts and those without words have an empty set. Of rows with one id and one set,
+    one stays; a null id comes after all others. An empty table gives an empty one. Texts may have any
+    length, and other columns any name.
     """
     rows = groups(documents, doc_id=doc_id, text=text, size=size, **settings).where("node IS NOT NULL")
     pairs = cut_lineage(rows.groupBy("doc_id", "node").agg(F.min("root").alias("root"), F.count(F.lit(1)).alias("times")))
     best = pairs.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node", "times")).alias("best"))
     stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("node") == F.col("best.node"))
-    keys = [F.col("doc_id").alias("_id"), F.col("node").alias("_node")]
+    node, key, of = (free_name(name, documents.columns) for name in (NODE, "id_of_set", "node_of_id"))
+    keys = [F.col("doc_id").alias(key), F.col("node").alias(of)]
     gone = cut_lineage(pairs.join(best, "root").where(~stays).select(*keys))
     again = cut_lineage(best.where("best.times > 1").select("best.doc_id", "best.node").select(*keys))
 
-    named = documents.mapInArrow(_marker(text, size), StructType([*documents.schema.fields, StructField(NODE, LongType())]))
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_id")) & (F.col(NODE) == F.col("_node"))
+    named = documents.mapInArrow(_marker(text, size, node), StructType([*documents.schema.fields, StructField(node, LongType())]))
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(key)) & (F.col(node) == F.col(of))
     left = named.join(F.broadcast(gone) if gone.count() <= few else gone, same, "left_anti")
     if not again.isEmpty():
-        repeated = left.join(again, same, "left_semi").dropDuplicates([doc_id, NODE])
+        repeated = left.join(again, same, "left_semi").dropDuplicates([doc_id, node])
         left = left.join(again, same, "left_anti").union(repeated)
-    return left.drop(NODE)
+    return left.drop(node)
