@@ -1,4 +1,9 @@
-"""Cleans a corpus of documents and encodes it: five stages, each on all rows the one before kept."""
+"""Cleans a corpus of documents and encodes it: five stages, each on all rows the one before kept.
+
+A null or empty text is clean, like no other and without tokens. Texts may have any length, and columns beside
+``doc_id`` and ``text`` any name; all but the last stage keep them. Rows that are equal count as near duplicates, if
+they have words. An empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -8,16 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocabweave.llm import bpe, decontamination, jaccard, repeats, toxicity
+from vocabweave.llm.blocks import free_name
 from vocabweave.llm.queries import toxicity_model
 from vocabweave.session import cut_lineage
 
-SCORE = "_toxicity"
-
 
 def ordinary(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not judged toxic, by a model of the labelled ones among them."""
     model = toxicity_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, to=SCORE).where(F.col(SCORE) < toxicity.THRESHOLD).drop(SCORE)
+    score = free_name("toxicity", docs.columns)
+    return toxicity.score(docs, model, to=score).where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +31,11 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier place has; their length follows the text."""
-    return repeats.without_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Documents without the passages that an earlier place has; their length, where there is such a column, follows the text."""
+    kept = repeats.without_repeats(docs)
+    if "n_chars" not in docs.columns:
+        return kept
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
