@@ -174,7 +174,7 @@ def test_paths(spark):
 
 
 def test_longest_paths_are_the_smallest_of_their_length(spark):
-    """Against all walks, with many paths of one length, starts without a path and more hops than joins in one plan."""
+    """Against walks in plain Python, the smallest per end and length, with many paths of one length, starts without a path and more hops than joins in one plan."""
     edges = {(f"{level:02d}{a}", f"{level + 1:02d}{b}") for level in range(12) for a in "cab" for b in "cab" if (level, a, b) not in {(0, "a", "a"), (3, "c", "a"), (11, "b", "c")}}
     edges |= {("00a", "05c"), ("07b", "12z"), ("S", "00b"), ("S", "00c")}
     rels = spark.createDataFrame([("r", a, b, "S") for a, b in edges], "label string, start_id string, end_id string, sab string")
