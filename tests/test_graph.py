@@ -87,6 +87,28 @@ def test_greedy_equals_the_walk(spark, seed):
     assert picked == walk(rows)
 
 
+@pytest.mark.parametrize("group_rows", [0, 20, 10**6])
+def test_greedy_by_rounds_and_by_walks(spark, group_rows, monkeypatch):
+    """All by rounds, first by rounds and then by walks, and all by walks."""
+    rng = random.Random(3)
+    rows = [(f"U:{i:02}", [f"umls:{rng.choice('ab')}", *(f"umls:{rng.choice('abcdefgh')}" for _ in range(rng.randint(0, 4)))]) for i in range(40)]
+    monkeypatch.setattr(resolve.resolve_shared_greedy, "__defaults__", (group_rows,))
+    picked, _ = assigned(spark, rows, mode="greedy")
+    assert picked == walk(rows)
+
+
+def test_a_long_chain_of_shared_concepts_takes_few_rounds(spark, monkeypatch):
+    """Each node pushes the next one on; by rounds alone this would take 2,000 of them."""
+    rows = [("U:0000", ["umls:a"]), ("U:0001", ["umls:a", "umls:c1"])]
+    rows += [(f"U:{i:04}", ["umls:a", f"umls:c{i - 1}", f"umls:c{i}"]) for i in range(2, 2000)]
+    rounds = []
+    one_round = resolve._offers_round
+    monkeypatch.setattr(resolve, "_offers_round", lambda offers: rounds.append(1) or one_round(offers))
+    picked, _ = assigned(spark, rows, mode="greedy")
+    assert picked == walk(rows)
+    assert len(rounds) < 30
+
+
 def source(spark, sab):
     return spark.createDataFrame([(f"{sab}:{sab}", sab, "", sab, "1", "", None, ["PT", "SY"])],
                                  "id string, name string, description string, sab string, source_version string, source string, srl int, ttyl array<string>")

@@ -6,15 +6,21 @@ node's or a concept's rows into one value.
 
 from __future__ import annotations
 
+from itertools import count
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocabweave.functions.codes import clean_concept_id, standardize_dbxref
 from vocabweave.operators.keyed import first_per_key, number_within
-from vocabweave.session import cut_lineage
+from vocabweave.session import cut_lineage, shared_folder
 
 # ranks of a concept for a node, best first
 DIRECT, VIA_UMLS, VIA_OTHER, OWN, MINTED, ASSIGNED = 1, 2, 3, 4, 5, 6
+#: List rows of a group of nodes that one task walks; a few megabytes.
+GROUP_ROWS = 100_000
+PICKED = "node_id string, cui string"
 CHOICE = ["rank", "xref_ord", "step", "ord", "pos"]
 
 
@@ -154,36 +160,73 @@ def resolve_shared(choice: DataFrame) -> DataFrame:
     )
 
 
-def resolve_shared_greedy(choice: DataFrame, lists: DataFrame, node_ord: DataFrame) -> DataFrame:
+def _walk(group: pd.DataFrame) -> pd.DataFrame:
+    """First free concept of each node of one group, in node order."""
+    taken: set[str] = set()
+    picked = []
+    for (_, node), cuis in group.sort_values(["ord", "node_id", "pos"]).groupby(["ord", "node_id"], sort=False)["cui"]:
+        free = next((cui for cui in cuis if cui not in taken), None)
+        if free is not None:
+            taken.add(free)
+            picked.append((node, free))
+    return pd.DataFrame(picked, columns=["node_id", "cui"], dtype="object")
+
+
+def _offers_round(offers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node_id, cui) that are settled for good, and the offers that are still open, after one round.
+
+    Each node asks for its best open concept and each concept keeps the earliest node that asks.
+    Only an earlier node can take a concept away again, so the nodes before the first one that
+    was turned down are settled, and a group without any such node is done.
+    """
+    asked = cut_lineage(
+        offers.groupBy("node_id").agg(F.min(F.struct("pos", "cui", "grp", "ord")).alias("o")).select("node_id", "o.*")
+    )
+    kept = asked.groupBy("grp", "cui").agg(F.min(F.struct("ord", "node_id")).alias("k")).select("grp", "cui", "k.*")
+    refused = cut_lineage(asked.join(kept.select("node_id"), "node_id", "left_anti"))
+    first_refused = refused.groupBy("grp").agg(F.min(F.struct("ord", "node_id")).alias("bar"))
+    settled = cut_lineage(
+        kept.join(first_refused, ["grp"], "left")
+        .where(F.col("bar").isNull() | (F.struct("ord", "node_id") < F.col("bar")))
+        .select("grp", "node_id", "cui")
+    )
+    still_open = (
+        offers.join(refused.select("node_id", "cui"), ["node_id", "cui"], "left_anti")
+        .join(settled.select("node_id"), ["node_id"], "left_anti")
+        .join(settled.select("grp", "cui"), ["grp", "cui"], "left_anti")
+    )
+    return settled.select("node_id", "cui"), still_open
+
+
+def resolve_shared_greedy(choice: DataFrame, lists: DataFrame, node_ord: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Nodes that share a first choice take, in node order, the first concept still free.
 
-    The walk is done for all groups at once by offers: each node asks for its best concept
-    that has not turned it down, each concept of a group keeps the earliest node and turns
-    the others down, until nobody is turned down. That ends in the same place as the walk
-    and needs only minima per key. A node that was turned down everywhere mints its code.
+    A group (the nodes of one first choice) with at most ``group_rows`` open list rows is walked
+    by one task. In larger ones every node makes offers, round by round, until the group is done
+    or what is open is small enough to be walked; both end in the same place. A node that was
+    turned down everywhere mints its code. Nodes of one ``ord`` come in the order of their ids.
 
     ``lists`` holds (node_id, pos, cui), ``node_ord`` holds (node_id, ord).
     """
+    spark = choice.sparkSession
     shared = shared_concepts(choice).select("cui")
     in_group = choice.join(shared, ["cui"], "left_semi").select("node_id", F.col("cui").alias("grp"))
-    open_offers = cut_lineage(
+    offers = cut_lineage(
         lists.select("node_id", "pos", "cui").join(in_group.join(node_ord, "node_id"), ["node_id"])
     )
-    n_open = open_offers.count()
-    while True:
-        asked = open_offers.groupBy("node_id").agg(F.min(F.struct("pos", "cui", "grp", "ord")).alias("o")).select(
-            "node_id", "o.*"
-        )
-        kept = asked.groupBy("grp", "cui").agg(F.min(F.struct("ord", "node_id")).alias("k")).select(
-            F.col("k.node_id").alias("node_id")
-        )
-        refused = asked.join(kept, "node_id", "left_anti").select("node_id", "cui")
-        left_open = cut_lineage(open_offers.join(refused, ["node_id", "cui"], "left_anti"))
-        n_left = left_open.count()
-        if n_left == n_open:
+    settled = shared_folder(spark, "settled")
+    for number in count():
+        small = offers.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= group_rows).select("grp")
+        walked = offers.join(small, ["grp"], "left_semi").groupBy("grp").applyInPandas(_walk, PICKED)
+        walked.write.parquet(f"{settled}/part={2 * number}")
+        large = cut_lineage(offers.join(small, ["grp"], "left_anti"))
+        if large.isEmpty():
             break
-        open_offers, n_open = left_open, n_left
-    grouped = in_group.join(asked.select("node_id", "cui"), "node_id", "left").select(
+        done, still_open = _offers_round(large)
+        done.write.parquet(f"{settled}/part={2 * number + 1}")
+        offers = cut_lineage(still_open)
+    picked = spark.read.schema(PICKED).parquet(f"{settled}/part=*")
+    grouped = in_group.join(picked, "node_id", "left").select(
         "node_id", F.coalesce("cui", F.col("node_id")).alias("greedy_cui")
     )
     return choice.join(grouped, "node_id", "left").select(

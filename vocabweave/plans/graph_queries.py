@@ -122,7 +122,23 @@ def shared_concept_members(inputs: Inputs) -> DataFrame:
     return resolve.shared_members(resolve.resolve_shared(choice(inputs))).select("first_cui", "node_id")
 
 
-@query("preferred_concept_greedy")
+@query("preferred_concept_greedy", """
+WITH RECURSIVE members AS MATERIALIZED (
+  SELECT c.node_id, c.cui AS grp, row_number() OVER (PARTITION BY c.cui ORDER BY n.ord, c.node_id) AS k FROM ox_choice c JOIN ox_nodes n ON c.node_id = n.node_id
+  WHERE c.cui IN (SELECT cui FROM ox_choice GROUP BY cui HAVING count(*) > 1)),
+options AS MATERIALIZED (
+  SELECT node_id, list(cui ORDER BY rnk, xref_ord, cord, cui) AS cuis FROM (
+    SELECT *, row_number() OVER (PARTITION BY node_id, cui ORDER BY rnk, xref_ord, cord) AS rn FROM ox_candidates) WHERE rn = 1 GROUP BY node_id),
+queue AS MATERIALIZED (SELECT m.grp, m.k, m.node_id, coalesce(o.cuis, CAST([] AS VARCHAR[])) AS cuis FROM members m LEFT JOIN options o ON m.node_id = o.node_id),
+walked AS (
+  SELECT DISTINCT grp, CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS taken, CAST(NULL AS VARCHAR) AS node_id, CAST(NULL AS VARCHAR) AS pick FROM members
+  UNION ALL
+  SELECT grp, k, CASE WHEN free IS NULL THEN taken ELSE list_append(taken, free) END, node_id, coalesce(free, node_id) FROM (
+    SELECT q.grp, q.k, w.taken, q.node_id, list_filter(q.cuis, lambda c: NOT list_contains(w.taken, c))[1] AS free
+    FROM walked w JOIN queue q ON q.grp = w.grp AND q.k = w.k + 1))
+SELECT c.node_id, c.rnk AS rank, c.cui AS first_cui, coalesce(w.pick, c.cui) AS assigned_cui
+FROM ox_choice c LEFT JOIN (SELECT node_id, pick FROM walked WHERE k > 0) w ON c.node_id = w.node_id
+""")
 def preferred_concept_greedy(inputs: Inputs) -> DataFrame:
     assigned, _ = resolve.assign_concepts(whole_nodes(inputs), base_coderels(inputs), "greedy", source_xrefs(inputs))
     return assigned.select("node_id", "rank", "first_cui", "assigned_cui")
