@@ -231,6 +231,20 @@ def test_text_files(spark, tmp_path):
     assert tables.first_existing(spark, str(tmp_path), ["no.tsv", "nodes.tsv"]).endswith("nodes.tsv")
 
 
+def test_many_tasks_read_what_one_gz_task_has_written(spark, tmp_path):
+    import gzip
+
+    rng = random.Random(4)
+    with gzip.open(tmp_path / "a.tsv.gz", "wt", compresslevel=1) as out:
+        out.write("k\tv\n")
+        for i in range(300_000):
+            out.write(f"{i}\t{rng.getrandbits(400):x}\n")
+    table = tables.read_text_table(spark, str(tmp_path / "a.tsv.gz"))
+    tasks = table.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first")).orderBy("first").collect()
+    assert len(tasks) >= 3 and max(t.n for t in tasks) < 200_000
+    assert table.where("CAST(k AS BIGINT) <> ord").isEmpty() and table.count() == 300_000
+
+
 def test_gtf_and_skipped_header(spark, tmp_path):
     (tmp_path / "a.gtf").write_text('##comment\nchr1\tsrc\tgene\t1\t9\t.\t+\t.\tgene_id "E.1"; level 2;\n')
     row = tables.read_gtf(spark, str(tmp_path / "a.gtf")).first()

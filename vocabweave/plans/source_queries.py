@@ -71,14 +71,18 @@ VIEWS["ox_valueset"] = "SELECT node_label, arg_min(node_id, ord) AS code FROM fx
 GTF_KEYS_USED = ["gene_id", "transcript_id", "gene_type", "gene_name", "transcript_type", "transcript_name", "ont", "hgnc_id"]
 
 
-def enriched(inputs: Inputs) -> DataFrame:
-    rows = annotations.split_key_values(annotations.filter_features(inputs.view("fx_gtf")), GTF_KEYS_USED)
-    return annotations.enrich(cut_lineage(rows), {name: inputs.view(f"fx_{name}") for name in annotations.METADATA_COLUMNS})
+def parsed(inputs: Inputs) -> DataFrame:
+    landed = cut_lineage(annotations.filter_features(inputs.view("fx_gtf")), spread=True)
+    return cut_lineage(annotations.split_key_values(landed, GTF_KEYS_USED))
+
+
+def metadata(inputs: Inputs) -> dict[str, DataFrame]:
+    return {name: inputs.view(f"fx_{name}") for name in annotations.METADATA_COLUMNS}
 
 
 @query("annotation_enrich", "SELECT feature_type, gene_id, transcript_id, ont, hgnc_id, entrez, rna, prot, sp, tr FROM ox_enriched")
 def annotation_enrich(inputs: Inputs) -> DataFrame:
-    return enriched(inputs).select(
+    return annotations.enrich(parsed(inputs), metadata(inputs)).select(
         "feature_type", "gene_id", "transcript_id", "ont", "hgnc_id", F.col("Entrez_Gene_id").alias("entrez"), F.col("RefSeq_RNA_id").alias("rna"),
         F.col("RefSeq_protein_id").alias("prot"), F.col("UNIPROTKB_SwissProt_AN").alias("sp"), F.col("UNIPROTKB_TrEMBL_AN").alias("tr"),
     )
@@ -98,7 +102,7 @@ UNION SELECT feature, 'isa', unnest(string_split(ont, ',')) FROM ox_enriched WHE
 UNION SELECT v.feature, v.predicate, s.code FROM v JOIN ox_valueset s ON s.node_label = v.value
 """)
 def annotation_edges(inputs: Inputs) -> DataFrame:
-    return annotations.annotation_edges(cut_lineage(enriched(inputs)), inputs.view("fx_valueset"))
+    return annotations.annotation_edges(parsed(inputs), metadata(inputs), inputs.view("fx_valueset"))
 
 
 @query("annotation_nodes", """
@@ -112,7 +116,7 @@ UNION ALL SELECT DISTINCT concat('REFSEQ:', rna), rna, '', '', '', '' FROM ox_en
 UNION ALL SELECT DISTINCT concat('REFSEQ:', prot), prot, '', '', '', '' FROM ox_enriched WHERE prot <> ''
 """)
 def annotation_nodes(inputs: Inputs) -> DataFrame:
-    return annotations.annotation_nodes(cut_lineage(enriched(inputs))).select(
+    return annotations.annotation_nodes(parsed(inputs), metadata(inputs)).select(
         "node_id", "node_label", "node_dbxrefs", "value", "lowerbound", "upperbound"
     )
 

@@ -28,14 +28,21 @@ def local_session(cores: str = "*", app: str = "vocabweave", **conf) -> SparkSes
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+#: Bytes of a row group of rows that a single task may have written.
+SPREAD_BYTES = 8 << 20
+
+
+def cut_lineage(df: DataFrame, spread: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a frame that reads it.
 
     A lost executor then costs a re-read, not the whole history; readers take only the
-    columns they need, and the planner knows the size.
+    columns they need, and the planner knows the size. With ``spread``, rows come from files
+    that Spark cannot split; they are written in small row groups, so that many tasks read
+    what one has written, without a shuffle.
     """
     path = shared_folder(df.sparkSession, "step")
-    df.write.parquet(path)
+    writer = df.write.option("parquet.block.size", SPREAD_BYTES) if spread else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,7 +20,6 @@ METADATA_COLUMNS = {
     "swissprot": ["UNIPROTKB_SwissProt_AN", "UNIPROTKB_SwissProt_AN2"],
     "trembl": ["UNIPROTKB_TrEMBL_AN", "UNIPROTKB_TrEMBL_AN2"],
 }
-ROW_ORDER = ["ord", *[f"{name}_ord" for name in METADATA_COLUMNS]]
 
 
 def filter_features(annotations: DataFrame, feature_types: Sequence[str] = ("all",)) -> DataFrame:
@@ -57,8 +56,24 @@ def _ensembl(accession: str) -> Column:
     return F.concat(F.lit("ENSEMBL:"), strip_version(F.col(accession)))
 
 
-def first_transcripts(enriched: DataFrame) -> DataFrame:
-    return first_per_key(enriched.where("feature_type = 'transcript'"), ["transcript_id"], ROW_ORDER)
+def first_transcripts(annotations: DataFrame, metadata: dict[str, DataFrame], names: Sequence[str]) -> DataFrame:
+    """First row of each transcript, with the first row that each file in ``names`` has for it.
+
+    The first of all combinations is the combination of the firsts, so the files are cut to a
+    row per transcript before they meet, and no transcript fans out.
+    """
+    whole = first_per_key(annotations.where("feature_type = 'transcript'"), ["transcript_id"], ["ord"])
+    for name in names:
+        side = metadata[name].select("transcript_id", *METADATA_COLUMNS[name], F.col("ord").alias(f"{name}_ord"))
+        whole = whole.join(first_per_key(side.where("transcript_id <> ''"), ["transcript_id"], [f"{name}_ord"]), ["transcript_id"], "left")
+    return whole
+
+
+def molecules_of(annotations: DataFrame, metadata: dict[str, DataFrame]) -> DataFrame:
+    """Distinct (transcript_id, RefSeq ids) of the transcripts that any row of the annotations names."""
+    named = annotations.where("transcript_id <> ''").select("transcript_id").distinct()
+    listed = metadata["refseq"].select("transcript_id", *METADATA_COLUMNS["refseq"])
+    return listed.where(" OR ".join(f"{name} <> ''" for name in METADATA_COLUMNS["refseq"])).distinct().join(named, ["transcript_id"], "left_semi")
 
 
 def valueset_codes(values: DataFrame, valueset: DataFrame, value: str = "value") -> DataFrame:
@@ -69,11 +84,12 @@ def valueset_codes(values: DataFrame, valueset: DataFrame, value: str = "value")
     return values.join(codes, [value])
 
 
-def annotation_edges(enriched: DataFrame, valueset: DataFrame) -> DataFrame:
+def annotation_edges(annotations: DataFrame, metadata: dict[str, DataFrame], valueset: DataFrame) -> DataFrame:
     """Distinct edges of transcripts and features.
 
-    The columns that edges come from are made distinct before they are spread, as metadata
-    repeats most of them; value-set objects of all predicates are looked up in one join.
+    What the annotations say themselves is read from them as they are; only distinct transcripts
+    meet the metadata files, never each of their exons. Value-set objects of all predicates are
+    looked up in one join.
     """
     def one(subject: Column, predicate: str, obj: Column, keep: Column) -> Column:
         return F.struct(subject.alias("subject"), F.lit(predicate).alias("predicate"), F.when(keep, obj).alias("object"))
@@ -85,7 +101,7 @@ def annotation_edges(enriched: DataFrame, valueset: DataFrame) -> DataFrame:
     prefixed = lambda sab, name: F.concat(F.lit(sab + ":"), F.col(name))
     transcript = _ensembl("transcript_id")
     of_transcripts = exploded(
-        first_transcripts(enriched),
+        first_transcripts(annotations, metadata, ["swissprot", "trembl"]),
         one(transcript, "transcribed_from", _ensembl("gene_id"), F.lit(True)),
         *[
             one(transcript, "has_gene_product", prefixed("UNIPROTKB", name), filled(name))
@@ -96,17 +112,17 @@ def annotation_edges(enriched: DataFrame, valueset: DataFrame) -> DataFrame:
     feature = F.when(filled("transcript_id"), transcript).otherwise(_ensembl("gene_id"))
     strand = F.when(F.col("genomic_strand") == "+", "positive").when(F.col("genomic_strand") == "-", "negative")
     plain = exploded(
-        enriched.select(feature.alias("feature"), "RefSeq_RNA_id", "RefSeq_protein_id").where(filled("RefSeq_RNA_id") | filled("RefSeq_protein_id")).distinct(),
+        molecules_of(annotations, metadata),
         *[
-            one(F.col("feature"), "has_refSeq_ID", prefixed("REFSEQ", name), filled(name))
+            one(transcript, "has_refSeq_ID", prefixed("REFSEQ", name), filled(name))
             for name in ("RefSeq_RNA_id", "RefSeq_protein_id")
         ],
     )
-    parents = enriched.where(F.trim("ont") != "").select(feature.alias("feature"), "ont").distinct().select(
+    parents = annotations.where(F.trim("ont") != "").select(feature.alias("feature"), "ont").distinct().select(
         F.col("feature").alias("subject"), F.lit("isa").alias("predicate"), F.explode(F.split("ont", ",")).alias("object")
     )
     own = F.col("feature")
-    described = enriched.select(
+    described = annotations.select(
         feature.alias("feature"), "chromosome_name", "feature_type", "gene_type", "transcript_type", strand.alias("strand")
     ).distinct()
     valued = exploded(
@@ -123,7 +139,7 @@ def annotation_edges(enriched: DataFrame, valueset: DataFrame) -> DataFrame:
     return union_sources([of_transcripts, plain, parents, coded]).distinct()
 
 
-def annotation_nodes(enriched: DataFrame) -> DataFrame:
+def annotation_nodes(annotations: DataFrame, metadata: dict[str, DataFrame]) -> DataFrame:
     """Nodes of genes, transcripts, Entrez genes and RefSeq molecules with their bounds."""
     blank = F.lit("")
 
@@ -136,15 +152,13 @@ def annotation_nodes(enriched: DataFrame) -> DataFrame:
             bound("genomic_end_location").alias("upperbound"), blank.alias("unit"),
         )
 
-    genes = first_per_key(enriched.where("feature_type = 'gene'"), ["gene_id"], ROW_ORDER)
-    transcripts = first_transcripts(enriched)
-    entrez = first_per_key(transcripts.where("Entrez_Gene_id <> ''"), ["Entrez_Gene_id"], ROW_ORDER)
+    genes = first_per_key(annotations.where("feature_type = 'gene'"), ["gene_id"], ["ord"])
+    transcripts = first_transcripts(annotations, metadata, ["entrez"])
+    entrez = first_per_key(transcripts.where("Entrez_Gene_id <> ''"), ["Entrez_Gene_id"], ["ord", "entrez_ord"])
+    named = molecules_of(annotations, metadata)
     molecules = [
-        node(
-            first_per_key(enriched.where(F.col(name) != ""), [name], ROW_ORDER),
-            F.concat(F.lit("REFSEQ:"), F.col(name)), F.col(name), located=False,
-        )
-        for name in ("RefSeq_RNA_id", "RefSeq_protein_id")
+        node(named.select(name).where(F.col(name) != "").distinct(), F.concat(F.lit("REFSEQ:"), F.col(name)), F.col(name), located=False)
+        for name in METADATA_COLUMNS["refseq"]
     ]
     return union_sources([
         node(genes, _ensembl("gene_id"), F.trim("gene_name"), F.col("hgnc_id"), version_of(F.col("gene_id"))),

@@ -80,7 +80,7 @@ def in_file_order(placed: DataFrame, name: str = "ord", within: str | None = Non
     Spark reads the splits of a folder in any order, but each from front to back. The rows are
     written once; one row per split gives the shift, so no row passes through a shuffle.
     """
-    rows = cut_lineage(placed)
+    rows = cut_lineage(placed, spread=True)
     splits = rows.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = lambda *keys: F.coalesce(
         F.sum("_n").over(Window.partitionBy(*keys).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
@@ -104,7 +104,7 @@ def read_text_table(
     lines are left out at the front of every file. Quoted cells may hold line breaks (read as line
     feeds) when rows are skipped or ``line_breaks`` is set, in files of any number of splits.
     ``source_file`` names a column for the file a row came from. ``.gz`` files are read as they
-    are; one such file is one task, so spread it before heavy work.
+    are; one task unpacks such a file, and many read what it has written.
     """
     options = {
         "sep": sep, "quote": quote, "escape": quote or "\\", "encoding": "UTF-8", "mode": "DROPMALFORMED" if skip_malformed else "PERMISSIVE",
