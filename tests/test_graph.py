@@ -231,6 +231,20 @@ def test_text_files(spark, tmp_path):
     assert tables.first_existing(spark, str(tmp_path), ["no.tsv", "nodes.tsv"]).endswith("nodes.tsv")
 
 
+def test_counts_read_each_table_once(spark, small, tmp_path):
+    tables.save_graph(small.graph, str(tmp_path / "g"))
+    tables.save_graph(small.added, str(tmp_path / "a"))
+    whole, added = tables.load_graph(spark, str(tmp_path / "g")), tables.load_graph(spark, str(tmp_path / "a"))
+    grown = ingest.grown_counts(whole, added)
+    plan = grown._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 * len(ingest.KINDS) == plan.count("ReadSchema: struct<>")
+    rows = {r.node_type: (r.before, r.after) for r in grown.collect()}
+    assert rows == {k: (getattr(whole, t).count(), getattr(whole, t).count() + getattr(added, t).count()) for k, t in ingest.KINDS.items()}
+    assert {r.node_type: (r.after, r.after + rows[r.node_type][1] - rows[r.node_type][0]) for r in small.counts.collect()} == rows
+    again = ingest.next_counts(small.counts, added)
+    assert {tuple(r) for r in again.collect()} == {(k, *v) for k, v in rows.items()}
+
+
 def test_many_tasks_read_what_one_gz_task_has_written(spark, tmp_path):
     import gzip
 

@@ -142,17 +142,18 @@ def only_new(new: DataFrame, old: DataFrame) -> DataFrame:
     return new.join(old.select("start_id", "codeid").distinct(), ["start_id", "codeid"], "left_anti")
 
 
+KINDS = {
+    "Source": "sources", "Node_Label": "node_labels", "Rel_Label": "rel_labels",
+    "Concept": "concepts", "Term": "terms", "CODE rels": "coderels", "non-CODE rels": "rels",
+}
+
+
 def node_counts(before: Graph, after: Graph) -> DataFrame:
     """Rows per kind of object before and after an ingest."""
-    kinds = [
-        ("Source", "sources"), ("Node_Label", "node_labels"), ("Rel_Label", "rel_labels"),
-        ("Concept", "concepts"), ("Term", "terms"), ("CODE rels", "coderels"), ("non-CODE rels", "rels"),
-    ]
-
     def counted(kind: str, state: str, table: DataFrame) -> DataFrame:
         return table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("node_type"), F.lit(state).alias("state"), "n")
 
-    counts = [counted(k, s, getattr(g, t)) for k, t in kinds for s, g in (("before", before), ("after", after))]
+    counts = [counted(k, s, getattr(g, t)) for k, t in KINDS.items() for s, g in (("before", before), ("after", after))]
     return (
         union_sources(counts)
         .groupBy("node_type")
@@ -163,11 +164,34 @@ def node_counts(before: Graph, after: Graph) -> DataFrame:
     )
 
 
+def grown_counts(before: Graph, added: Graph) -> DataFrame:
+    """``node_counts`` of a graph to which rows are added only; each table is read once."""
+    def counted(kind: str, table: str) -> DataFrame:
+        rows = getattr(before, table).select(F.lit(1).alias("old")).union(getattr(added, table).select(F.lit(0)))
+        return rows.agg(F.coalesce(F.sum("old"), F.lit(0)).alias("before"), F.count(F.lit(1)).alias("after")).select(
+            F.lit(kind).alias("node_type"), "before", "after"
+        )
+
+    return union_sources([counted(kind, table) for kind, table in KINDS.items()])
+
+
+def next_counts(previous: DataFrame, added: Graph) -> DataFrame:
+    """``node_counts`` of a step, from those of the step before it and the rows that it adds."""
+    new = union_sources([
+        getattr(added, table).agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("node_type"), "n") for kind, table in KINDS.items()
+    ])
+    return previous.select("node_type", F.col("after").alias("before")).join(new, ["node_type"]).select(
+        "node_type", "before", (F.col("before") + F.col("n")).alias("after")
+    )
+
+
 @dataclass(frozen=True)
 class Ingest:
     """The graph after an ingest and the tables that explain it."""
 
     graph: Graph
+    #: The rows of ``graph`` that this source adds.
+    added: Graph
     nodes: DataFrame
     assigned: DataFrame
     concept_list: DataFrame
@@ -178,12 +202,13 @@ class Ingest:
     changed: DataFrame
     moved: DataFrame
 
-    def write_diagnostics(self, folder: str, mode: str = "error") -> None:
+    def write_diagnostics(self, folder: str, mode: str = "error", counts: DataFrame | None = None) -> None:
+        """Write the tables that explain the ingest; ``counts`` are its counts, where they are known from written tables."""
         write_text_table(self.missing, f"{folder}/missing_nodes", mode=mode)
         write_text_table(self.assigned, f"{folder}/node_concept_assignments", mode=mode)
         write_text_table(shared_members(self.assigned), f"{folder}/shared_concept_members", mode=mode)
         write_text_table(self.self_edges.drop("props"), f"{folder}/self_referential_edges", sep=",", mode=mode)
-        write_text_table(self.counts, f"{folder}/node_counts", mode=mode)
+        write_text_table(self.counts if counts is None else counts, f"{folder}/node_counts", mode=mode)
         write_text_table(self.changed, f"{folder}/changed_concepts", sep=",", mode=mode)
 
 
@@ -232,35 +257,42 @@ def ingest_source(
     assigned, listed = assign_concepts(whole, known.codes, mode, xrefs, known.concepts)
     concept_list = cut_lineage(listed)
 
-    def added(old: DataFrame, new: DataFrame) -> DataFrame:
-        if "ord" not in new.columns:
-            new = new.withColumn("ord", F.lit(0).cast("bigint"))
-        return old.unionByName(new.withColumn("step", F.lit(step)).select(*old.columns), allowMissingColumns=True)
-
     links = build_coderels(whole, concept_list, sab, synonyms)
     if only_new_links:
         links = only_new(links, known.codes)
     rels, self_edges = split_self_edges(edges_to_rels(edges, assigned, sab))
-    concepts, all_links, all_rels = graph.concepts, added(graph.coderels, links), added(graph.rels, rels)
-    concepts = added(concepts, new_concepts(whole, concept_list, known.concepts, sab))
+    new = {
+        "sources": source,
+        "rel_labels": new_rel_labels(edges, graph.rel_labels, sab),
+        "concepts": new_concepts(whole, concept_list, known.concepts, sab),
+        "terms": new_terms(whole, known.terms, synonyms),
+        "coderels": links,
+        "rels": rels,
+    }
+
+    def stepped(table: str, rows: DataFrame) -> DataFrame:
+        if "ord" not in rows.columns:
+            rows = rows.withColumn("ord", F.lit(0).cast("bigint"))
+        return rows.withColumn("step", F.lit(step)).select(*getattr(graph, table).columns)
+
+    added = Graph(**{
+        table: stepped(table, new[table]) if table in new else old.limit(0) for table, old in graph.tables().items()
+    })
+    after = Graph(**{
+        table: old.unionByName(getattr(added, table), allowMissingColumns=True) if table in new else old
+        for table, old in graph.tables().items()
+    })
     changed = changed_concepts(links, known.codes)
-    moved = changed.select("old_cui", "new_cui").limit(0)
     if move_concepts:
         moved = cut_lineage(moved_concepts(changed, assigned))
-        all_rels, all_links = rewrite_moved(all_rels, all_links, moved)
-        concepts = without_moved(concepts, moved)
-    after = replace(
-        graph,
-        sources=added(graph.sources, source),
-        rel_labels=added(graph.rel_labels, new_rel_labels(edges, graph.rel_labels, sab)),
-        concepts=concepts,
-        terms=added(graph.terms, new_terms(whole, known.terms, synonyms)),
-        coderels=all_links,
-        rels=all_rels,
-    )
-    return Ingest(
-        after, whole, assigned, concept_list, missing_nodes(edges, nodes), self_edges, node_counts(graph, after), changed, moved
-    )
+        all_rels, all_links = rewrite_moved(after.rels, after.coderels, moved)
+        after = replace(after, rels=all_rels, coderels=all_links, concepts=without_moved(after.concepts, moved))
+        added = Graph(**{table: rows.where(F.col("step") == step) for table, rows in after.tables().items()})
+        counts = node_counts(graph, after)
+    else:
+        moved = changed.select("old_cui", "new_cui").limit(0)
+        counts = grown_counts(graph, added)
+    return Ingest(after, added, whole, assigned, concept_list, missing_nodes(edges, nodes), self_edges, counts, changed, moved)
 
 
 def build_context(
@@ -290,29 +322,34 @@ def build_context(
         except AnalysisException:
             return False
 
-    def finish(step: int, added: Graph, counts: DataFrame) -> None:
-        save_graph(added, step_folder(folder, step), "overwrite")
+    def finish(step: int, counts: DataFrame) -> None:
         counts.write.mode("overwrite").parquet(f"{step_folder(folder, step)}/counts")
 
     if not finished(0):
         if bucketed:
             store_known(graph, f"{folder}/known")
-        finish(0, graph, node_counts(graph, graph))
+        save_graph(graph, step_folder(folder, 0), "overwrite")
+        start = load_graph(spark, step_folder(folder, 0))
+        finish(0, node_counts(start, start))
     for step, (sab, load) in enumerate(sources, start=1):
         if finished(step):
             continue
         before = load_context(spark, folder, range(step))
         edges, nodes, source = load()
         result = ingest_source(before, edges, nodes, source, sab, step, mode, move_concepts=move_concepts, known=load_known(spark, f"{folder}/known") if bucketed else None)
-        result.write_diagnostics(f"{step_folder(folder, step)}/diagnostics", "overwrite")
-        added = Graph(**{name: table.where(F.col("step") == step) for name, table in result.graph.tables().items()})
-        save_graph(added, step_folder(folder, step), "overwrite")
+        save_graph(result.added, step_folder(folder, step), "overwrite")
+        # counted where they lie: their files say how many rows they have
+        added = load_graph(spark, step_folder(folder, step))
         if bucketed:
-            add_known(load_graph(spark, step_folder(folder, step)), f"{folder}/known")
+            add_known(added, f"{folder}/known")
         if move_concepts:
             result.moved.write.mode("overwrite").parquet(f"{step_folder(folder, step)}/moved")
-        counts = node_counts(before, load_context(spark, folder, range(step + 1)))
-        counts.write.mode("overwrite").parquet(f"{step_folder(folder, step)}/counts")
+        if result.moved.isEmpty():
+            counts = next_counts(spark.read.parquet(f"{step_folder(folder, step - 1)}/counts"), added)
+        else:
+            counts = node_counts(before, load_context(spark, folder, range(step + 1)))
+        result.write_diagnostics(f"{step_folder(folder, step)}/diagnostics", "overwrite", counts)
+        finish(step, counts)
     return load_context(spark, folder, range(len(sources) + 1))
 
 
